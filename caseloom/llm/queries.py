@@ -1,10 +1,12 @@
 """The queries of the training-data operators, and their SQL where there is some."""
 
-from caseloom.llm import exact_dedup, simhash
+from caseloom.llm import exact_dedup, langid, mixing, simhash
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2,
+    "op3_mixing": mixing.op3,
     "op7_simhash": simhash.op7,
+    "op10_language": langid.op10,
 }
 
 ORACLE = {
