@@ -1,11 +1,13 @@
 """The queries of the training-data operators, and their SQL where there is some."""
 
-from caseloom.llm import exact_dedup, langid, mixing, simhash
+from caseloom.llm import exact_dedup, langid, mixing, sentencepiece_fst, sharding, simhash
 
 QUERIES = {
     "op2_exact_dedup": exact_dedup.op2,
     "op3_mixing": mixing.op3,
+    "op6_sharding": sharding.op6,
     "op7_simhash": simhash.op7,
+    "op8_sentencepiece": sentencepiece_fst.op8,
     "op10_language": langid.op10,
 }
 
