@@ -9,8 +9,9 @@ also carry the last piece: an arc weighs 0 if merging leaves that piece and the
 whose neighbours all stay apart is the merge result, and there is one for each prefix, so a single state lives at each
 position. The ids are those of the SentencePiece library; tests hold them against it.
 
-No piece holds an escaped space after another character, nor a character outside the pieces' alphabet (a newline, say);
-paths through such points can be found apart, so chunks between them are cached (CACHE of them in a worker).
+No piece holds an escaped space after another character, nor a character outside the pieces' alphabet (a newline, say),
+nor (this is looked up in the pieces) a Latin letter or digit before another kind of character; paths through such points can be
+found apart, so chunks between them are cached (twice CACHE of them in a worker at most).
 Null texts are encoded as empty ones: no ids. Very long texts are encoded whole; time is linear in length.
 """
 
@@ -33,7 +34,9 @@ from caseloom.llm.common import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Chunks whose shortest path is remembered, and the longest of them.
-CACHE, CACHED_CHARS = 300_000, 48
+CACHE, CACHED_CHARS = 400_000, 32
+#: Latin letters and digits, as a class of a regular expression.
+LATIN = "A-Za-zÀ-ÖØ-öø-ɏ0-9"
 
 #: Fixed values of the model file: kinds of pieces, and of models.
 NORMAL, UNKNOWN, CONTROL, USER, UNUSED, BYTE = 1, 2, 3, 4, 5, 6
@@ -67,15 +70,18 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
 
 
 class _Chunks(dict):
-    """Shortest paths' output (ids as 4-byte integers) by chunk."""
+    """Shortest paths' output (ids as 4-byte integers) by chunk: those used lately, and those used before."""
 
     def __init__(self, solve) -> None:
-        self.solve = solve
+        self.solve, self.before = solve, {}
 
     def __missing__(self, chunk: str) -> bytes:
-        made = self.solve(chunk)
+        made = self.before.get(chunk)
+        if made is None:
+            made = self.solve(chunk)
         if len(chunk) <= CACHED_CHARS:
             if len(self) >= CACHE:
+                self.before = dict(self)
                 self.clear()
             self[chunk] = made
         return made
@@ -103,14 +109,30 @@ class Transducer:
         self.byte = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(self.pieces) if k == BYTE}
         self.longest = max(map(len, self.arcs), default=1)
         self.alphabet = set("".join(self.arcs))
-        inner = any(SPACE in p.lstrip(SPACE) for p in self.arcs)
-        apart = "".join(c for c in "\n\t\r" if c not in self.alphabet)
-        self.split = re.compile(f"{SPACE}*[^{SPACE}{apart}]+|{SPACE}+" + f"|[{apart}]" * bool(apart) if not inner else r"(?s).+").findall
+        self.split = re.compile(self._boundaries()).findall
+        #: The pieces backwards, as a trie: arcs into a position are read from their ends.
+        self.ends: dict = {}
+        for p, i in self.arcs.items():
+            node = self.ends
+            for c in reversed(p):
+                node = node.setdefault(c, {})
+            node[""] = i
         self.apart: dict[tuple[int, int], bool] = {}
         self.chunk = _Chunks(self._bpe if self.kind == BPE else self._unigram)
         #: The inverse transducer's output by id.
         self.said = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else p.replace(SPACE, " ").encode() for p, _, k in self.pieces]
 
+    def _boundaries(self) -> str:
+        """A pattern of chunks between which no piece can reach."""
+        if any(SPACE in p.lstrip(SPACE) for p in self.arcs):
+            return r"(?s).+"
+        apart = "".join(c for c in "\n\t\r" if c not in self.alphabet)
+        other = f"[^{SPACE}{apart}]+"
+        if not any(re.search(f"[{LATIN}][^{LATIN}]", p) for p in self.arcs):
+            mark = f"[^{SPACE}{apart}{LATIN}]"
+            other = f"{mark}*[{LATIN}]+|{SPACE}*{mark}+"
+        return f"{SPACE}*{other}|{SPACE}+" + f"|[{apart}]" * bool(apart)
+
     def normalise(self, text: str) -> str:
         if self.squeeze:
             text = re.sub(" +", " ", text).strip(" ")
@@ -140,30 +162,35 @@ class Transducer:
         return self._merged(a + b) == ([a, b] if a else [b])
 
     def _bpe(self, s: str) -> bytes:
-        arcs, apart, longest = self.arcs, self.apart, self.longest
+        ends, apart = self.ends, self.apart
         n = len(s)
         #: At each position: the last piece of the path there (-1: none that could merge), and where it starts.
         last, start = [-1] * (n + 1), [0] * (n + 1)
         for j in range(1, n + 1):
-            for i in range(max(0, j - longest), j):
-                piece = arcs.get(s[i:j])
-                if piece is None:
-                    continue
-                key = (last[i], piece)
+            node, i, found = ends, j, []
+            while i:
+                node = node.get(s[i - 1])
+                if node is None:
+                    break
+                i -= 1
+                if "" in node:
+                    found.append((i, node[""]))
+            start[j] = j - 1
+            while found:  # the longest first
+                i, piece = found.pop()
+                key = last[i], piece
                 ok = apart.get(key)
                 if ok is None:
                     ok = apart[key] = self._stays(*key)
                 if ok:
                     last[j], start[j] = piece, i
                     break
-            else:
-                last[j], start[j] = -1, j - 1
         out: list[int] = []
         j = n
         while j:
             out += [last[j]] if last[j] >= 0 else self._fallback(s[start[j] : j])[::-1]
             j = start[j]
-        return np.array(out[::-1], "<i4").tobytes()
+        return struct.pack(f"<{len(out)}i", *reversed(out))
 
     def _unigram(self, s: str) -> bytes:
         arcs, longest = self.arcs, self.longest
@@ -182,7 +209,7 @@ class Transducer:
         while j:
             out += [last[j]] if last[j] >= 0 else self._fallback(s[start[j] : j])[::-1]
             j = start[j]
-        return np.array(out[::-1], "<i4").tobytes()
+        return struct.pack(f"<{len(out)}i", *reversed(out))
 
     def encode(self, text: str | None) -> bytes:
         """The ids as 4-byte little-endian integers."""

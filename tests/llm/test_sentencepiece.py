@@ -59,3 +59,9 @@ def test_unigram_takes_the_cheapest_path():
     t = fst.Transducer(model)
     assert np.frombuffer(t.encode("ab"), "<i4").tolist() == [4, 3]
     assert np.frombuffer(t.encode("az"), "<i4").tolist() == [1, 0]
+
+
+@given(st.text(alphabet="abthe rn.,!*&0192é(\n'", max_size=60))
+@settings(max_examples=400, deadline=None)
+def test_chunk_boundaries_match_the_library(text):
+    assert ids(text) == LIB.encode(text)
