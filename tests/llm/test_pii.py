@@ -1,0 +1,58 @@
+import random
+import re
+
+import pyarrow.parquet as pq
+
+from caseloom.llm import pii
+from tests.conftest import SF
+
+MODEL = pii.fitted()
+
+
+def brute(t):
+    """Base spans as the contract words them."""
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", t)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", t) if all(int(p) <= 255 for p in m.group().split("."))]
+    for m in re.finditer(r"[0-9]([\x20-]?[0-9])+", t):
+        d = re.sub("[^0-9]", "", m.group())
+        if 13 <= len(d) <= 19 and pii.luhn(d):
+            out.append(("card", *m.span()))
+    out += [("phone", *m.span()) for m in re.finditer(r"\+[0-9][\x20().0-9-]+[0-9]", t) if 9 <= len(re.sub("[^0-9]", "", m.group())) <= 15]
+    return out
+
+
+def test_base_spans_against_brute_force():
+    for t in pq.read_table(f"{SF}/documents.parquet", columns=["text"])["text"].to_pylist():
+        assert pii.base_spans(t) == brute(t)
+    rnd = random.Random(5)
+    for _ in range(20_000):
+        t = "".join(rnd.choices("aB1.@-+ ()%0 25", k=rnd.randint(0, 30)))
+        assert pii.base_spans(t) == brute(t), t
+
+
+def test_model_on_unseen_examples():
+    rows = pii.examples(1500, 99)
+    found = [MODEL.trees.predict(pii.np.array([pii.features(*r[:4])]))[0] >= MODEL.threshold[r[0]] for r in rows]
+    hits = sum(f and r[4] for f, r in zip(found, rows))
+    assert hits / sum(found) > 0.95 and hits / sum(r[4] for r in rows) > 0.9
+
+
+def test_additions_and_redaction():
+    t = "write to anna.b at post dot com or call (212) 555-0143, version 1.2.3.4, mail x@y.org"
+    base, every = pii.spans(t, MODEL)
+    assert set(base) <= set(every) and [k for k, _, _ in base] == ["email", "ip"]
+    assert {t[s:e] for k, s, e in set(every) - set(base)} == {"anna.b at post dot com", "(212) 555-0143"}
+    assert "x@y.org" not in pii.redacted(t, every) and "[PHONE]" in pii.redacted(t, every)
+    assert pii.spans("Nothing here, on 2024-01-05 at noon.", MODEL)[1] == []
+
+
+def test_long_texts_take_linear_time():
+    for t in ("1" * 300_000, "a" * 300_000 + "@", "1." * 150_000, "+1 " * 100_000, "(12) " * 60_000):
+        pii.spans(t, MODEL)
+
+
+def test_edges(spark):
+    rows = spark.createDataFrame([(1, None, "x"), (None, "", "x"), (2, "a@b.co", "x"), (2, "a@b.co", "x"), (3, "é a@b.co " * 20_000, "x")], "doc_id long, text string, pii string")
+    got = pii.with_pii(rows.drop("pii")).select("doc_id", "pii.*").collect()
+    assert [r.n_email for r in got] == [0, 0, 1, 1, 20_000] and got[2].spans == "email:0:6" and got[0].redacted is None
+    assert pii.with_pii(rows.drop("pii").limit(0)).count() == 0
