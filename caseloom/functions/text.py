@@ -50,31 +50,44 @@ def ratio(a: Column, b: Column) -> Column:
     return F.when(b > 0, a / b).otherwise(F.lit(0.0))
 
 
-def text_quality(c: Column) -> dict[str, Column]:
-    """Length, ratios and shapes of an analysed text."""
-    bare = F.regexp_replace(c, r"\s", "")
+def bare(c: Column) -> Column:
+    """The text without white space."""
+    return F.regexp_replace(c, r"\s+", "")
+
+
+def shape_tokens(c: Column) -> Column:
+    """Shapes of the first tokens: A, a, 0 and _ stand for their kinds, - for the rest."""
     shaped = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"[^\p{Lu}\p{Ll}\p{Nd}_\s]", "-"), r"\p{Lu}", "A"), r"\p{Ll}", "a"), r"\p{Nd}", "0")
-    tokens = F.slice(F.filter(F.split(shaped, r"\s+"), lambda t: t != ""), 1, SHAPED)
-    shapes = F.array_distinct(F.transform(tokens, lambda t: F.substring(t, 1, SHAPE)))
+    return F.slice(F.filter(F.split(shaped, r"\s+"), lambda t: t != ""), 1, SHAPED)
+
+
+def lines_of(c: Column) -> Column:
+    ends = F.regexp_replace(c, r"\R\z", "")
+    return F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(ends, r"\R"))
+
+
+def text_quality(c: Column, bare: Column, tokens: Column, n_shapes: Column) -> dict[str, Column]:
+    """Length, ratios and shapes of an analysed text; bare, tokens and n_shapes as above, computed once."""
+    # Only runs of two or more are listed: most characters stand alone.
+    runs = F.transform(F.regexp_extract_all(bare, F.lit(r"(?s)((.)\2+)"), 1), F.length)
     return {
         "char_len": F.length(c),
         "non_ws_ratio": F.round(ratio(F.length(bare), F.length(c)), 6),
         "punctuation_ratio": F.round(ratio(count_of(c, r"\p{P}"), F.length(bare)), 6),
-        "replacement_char_count": count_of(c, "�"),
-        "max_repeated_char_run": F.coalesce(F.array_max(F.transform(F.regexp_extract_all(bare, F.lit(r"(?s)((.)\2*)"), 1), F.length)), F.lit(0)),
+        "replacement_char_count": _with(c, ["�"], count_of(c, "�")),
+        "max_repeated_char_run": F.coalesce(F.array_max(runs), F.when(bare == "", 0).otherwise(1)),
         "tokens_sampled_for_shapes": F.size(tokens),
-        "unique_word_shapes": F.size(shapes),
-        "word_shape_diversity": F.round(ratio(F.size(shapes), F.size(tokens)), 6),
+        "unique_word_shapes": n_shapes,
+        "word_shape_diversity": F.round(ratio(n_shapes, F.size(tokens)), 6),
     }
 
 
-def structure(c: Column) -> dict[str, Column]:
-    """Lines, bullets and table-like lines."""
-    ends = F.regexp_replace(c, r"\R\z", "")
-    lines = F.when(c == "", F.array().cast("array<string>")).otherwise(F.split(ends, r"\R"))
-    full = F.filter(lines, lambda x: x.rlike(r"\S"))
-    bullets = F.size(F.filter(full, lambda x: x.rlike(BULLET)))
-    table = F.size(F.filter(full, lambda x: x.contains("\t") | (F.length(x) - F.length(F.replace(x, F.lit("|"), F.lit(""))) >= 2) | x.rlike(r"\S\s{2,}\S")))
+def distinct_shapes(tokens: Column) -> Column:
+    return F.size(F.array_distinct(F.transform(tokens, lambda t: F.substring(t, 1, SHAPE))))
+
+
+def structure(lines: Column, full: Column, bullets: Column, table: Column) -> dict[str, Column]:
+    """Counts of lines, full (not blank) ones, bullets and table-like lines."""
     return {
         "line_count": F.size(lines),
         "nonempty_line_count": F.size(full),
@@ -85,8 +98,35 @@ def structure(c: Column) -> dict[str, Column]:
     }
 
 
+def full_lines(lines: Column) -> Column:
+    return F.filter(lines, lambda x: x.rlike(r"\S"))
+
+
+def bullet_lines(full: Column) -> Column:
+    return F.size(F.filter(full, lambda x: x.rlike(BULLET)))
+
+
+def table_lines(full: Column) -> Column:
+    """Lines with a tab, two bars, or two spaces between words."""
+    return F.size(F.filter(full, lambda x: x.contains("\t") | (F.length(x) - F.length(F.replace(x, F.lit("|"), F.lit(""))) >= 2) | x.rlike(r"\S\s{2,}\S")))
+
+
+def _with(c: Column, marks: list[str], found: Column) -> Column:
+    """found where the text has one of the marks that any match has, else 0: a plain search spares the pattern."""
+    some = c.contains(marks[0])
+    for m in marks[1:]:
+        some = some | c.contains(m)
+    return F.when(some, found).otherwise(0)
+
+
+#: Characters that every match of a pattern has one of.
+MARKS = {"dialogue_marker_count": [":", "—", '"'], "time_like_count": [":"], "initials_count": ["."]}
+
+
 def pattern_counts(c: Column) -> dict[str, Column]:
     counts = {name: count_of(c, p) for name, p in PATTERNS.items()}
+    counts = {name: _with(c, MARKS[name], n) if name in MARKS else n for name, n in counts.items()}
+    counts["date_like_count"] = F.when(c.rlike("[0-9]"), counts["date_like_count"]).otherwise(0)
     # The costly search near dates is made only where there is a date.
     return counts | {"on_at_by_date_count": F.when(counts["date_like_count"] > 0, count_of(c, NEAR_DATE)).otherwise(0)}
 
@@ -94,14 +134,17 @@ def pattern_counts(c: Column) -> dict[str, Column]:
 def keyword_pattern(keyword: str) -> str:
     """Word boundaries only at an edge that is a word character."""
     word = lambda ch: ch.isascii() and (ch.isalnum() or ch == "_")
-    quoted = "".join(ch if ch.isalnum() or ch == " " else "\\" + ch for ch in keyword)
-    return "(?i)" + r"(?<![A-Za-z0-9_])" * word(keyword[0]) + quoted + r"(?![A-Za-z0-9_])" * word(keyword[-1])
+    quoted = "".join(ch if ch.isalnum() or ch == " " else "\\" + ch for ch in keyword.lower())
+    return quoted + r"(?![a-z0-9_])" * word(keyword[-1]) if not word(keyword[0]) else r"(?<![a-z0-9_])" + quoted + r"(?![a-z0-9_])" * word(keyword[-1])
 
 
 def keyword_hits(c: Column, packs: dict[str, list[str]] | None = None) -> dict[str, Column]:
-    """Hits by pack: each keyword is counted by itself, as they may overlap."""
-    total = lambda words: sum((count_of(c, keyword_pattern(w)) for w in words[1:]), count_of(c, keyword_pattern(words[0])))
-    return {pack: total(words) if words else F.lit(0) for pack, words in (packs or PACKS).items()}
+    """Hits by pack in a lower-case text: each keyword is counted by itself, as they may overlap.
+
+    A text without the keyword's characters is told by a plain search; its pattern isn't tried.
+    """
+    one = lambda w: _with(c, [w.lower()], count_of(c, keyword_pattern(w)))
+    return {pack: sum((one(w) for w in words[1:]), one(words[0])) if words else F.lit(0) for pack, words in (packs or PACKS).items()}
 
 
 def token_estimate(c: Column) -> Column:

@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from caseloom.functions.text import analysed, keyword_hits, pattern_counts, structure, text_quality, token_estimate
+from caseloom.functions import text as T
+from caseloom.functions.text import analysed, token_estimate
 
 #: Scores below are skipped; from the second on the large model reads the chunk.
 SKIP, LARGE = 0.10, 0.75
@@ -13,12 +14,16 @@ SKIP, LARGE = 0.10, 0.75
 
 def features(chunks: DataFrame, packs: dict[str, list[str]] | None = None, text: str = "text") -> DataFrame:
     """chunks with a flat column for each feature."""
+    # What several features share is a column of its own, so that it is computed once.
     df = chunks.withColumn("__t", analysed(F.col(text)))
-    cols = text_quality(F.col("__t")) | structure(F.col("__t")) | pattern_counts(F.col("__t"))
-    hits = keyword_hits(F.col("__t"), packs)
+    df = df.withColumns({"__l": F.lower("__t"), "__bare": T.bare(F.col("__t")), "__tokens": T.shape_tokens(F.col("__t")), "__lines": T.lines_of(F.col("__t"))})
+    df = df.withColumns({"__shapes": T.distinct_shapes(F.col("__tokens")), "__full": T.full_lines(F.col("__lines"))})
+    df = df.withColumns({"__bullets": T.bullet_lines(F.col("__full")), "__table": T.table_lines(F.col("__full"))})
+    cols = T.text_quality(*map(F.col, ("__t", "__bare", "__tokens", "__shapes"))) | T.structure(*map(F.col, ("__lines", "__full", "__bullets", "__table"))) | T.pattern_counts(F.col("__t"))
+    hits = T.keyword_hits(F.col("__l"), packs)
     cols |= {f"kw_{k}": v for k, v in hits.items()}
     df = df.withColumns(cols)
-    return df.withColumn("keyword_hit_total", sum((F.col(f"kw_{k}") for k in hits), F.lit(0))).drop("__t")
+    return df.withColumn("keyword_hit_total", sum((F.col(f"kw_{k}") for k in hits), F.lit(0))).drop(*(c for c in df.columns if c.startswith("__")))
 
 
 def score() -> Column:
