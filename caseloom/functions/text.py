@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import hashlib
+import unicodedata
+
+import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -131,20 +135,25 @@ def pattern_counts(c: Column) -> dict[str, Column]:
     return counts | {"on_at_by_date_count": F.when(counts["date_like_count"] > 0, count_of(c, NEAR_DATE)).otherwise(0)}
 
 
-def keyword_pattern(keyword: str) -> str:
-    """Word boundaries only at an edge that is a word character."""
+def keyword_patterns(keywords: list[str]) -> list[str]:
+    """Patterns whose matches, added up, are the hits of each keyword by itself, though keywords may overlap.
+
+    A match is empty, where a keyword starts; boundaries only at an edge that is a word character. Of one pattern no
+    keyword begins with another, so at most one starts at a place: a pack is a pattern or two instead of one a keyword.
+    """
     word = lambda ch: ch.isascii() and (ch.isalnum() or ch == "_")
-    quoted = "".join(ch if ch.isalnum() or ch == " " else "\\" + ch for ch in keyword.lower())
-    return quoted + r"(?![a-z0-9_])" * word(keyword[-1]) if not word(keyword[0]) else r"(?<![a-z0-9_])" + quoted + r"(?![a-z0-9_])" * word(keyword[-1])
+    groups: list[list[str]] = []
+    for k in dict.fromkeys(w.lower() for w in keywords if w):
+        free = next((g for g in groups if word(g[0][0]) == word(k[0]) and not any(o.startswith(k) or k.startswith(o) for o in g)), None)
+        groups.append([k]) if free is None else free.append(k)
+    one = lambda k: "".join(ch if ch.isalnum() or ch == " " else "\\" + ch for ch in k) + r"(?![a-z0-9_])" * word(k[-1])
+    return [r"(?<![a-z0-9_])" * word(g[0][0]) + f"(?={'|'.join(map(one, g))})" for g in groups]
 
 
 def keyword_hits(c: Column, packs: dict[str, list[str]] | None = None) -> dict[str, Column]:
-    """Hits by pack in a lower-case text: each keyword is counted by itself, as they may overlap.
-
-    A text without the keyword's characters is told by a plain search; its pattern isn't tried.
-    """
-    one = lambda w: _with(c, [w.lower()], count_of(c, keyword_pattern(w)))
-    return {pack: sum((one(w) for w in words[1:]), one(words[0])) if words else F.lit(0) for pack, words in (packs or PACKS).items()}
+    """Hits by pack in a lower-case text. A keyword that is listed twice counts once."""
+    counts = {pack: [count_of(c, p) for p in keyword_patterns(words)] for pack, words in (packs or PACKS).items()}
+    return {pack: sum(ns[1:], ns[0]) if ns else F.lit(0) for pack, ns in counts.items()}
 
 
 def token_estimate(c: Column) -> Column:
@@ -202,24 +211,17 @@ def clean_float(c: Column) -> Column:
     return F.when(~F.isnan(v), v)
 
 
-def _nfc_hash():
-    import hashlib
-    import unicodedata
+def canonical(text: str | None) -> str:
+    """Without NUL, in NFC, lines stripped and white space inside them collapsed."""
+    text = unicodedata.normalize("NFC", (text or "").replace("\x00", ""))
+    return "\n".join(" ".join(line.split()) for line in text.split("\n")).strip()
 
-    import pyarrow as pa
 
-    @F.arrow_udf("string")
-    def canonical(texts: pa.Array) -> pa.Array:
-        out = []
-        for x in texts:
-            t = unicodedata.normalize("NFC", (x.as_py() or "").replace("\x00", ""))
-            t = "\n".join(" ".join(line.split()) for line in t.split("\n")).strip()
-            out.append(hashlib.sha256(t.encode("utf-8", "replace")).hexdigest())
-        return pa.array(out, pa.string())
-
-    return canonical
+def canonical_hash(c: Column) -> Column:
+    """sha256 of the canonical text. Vectorised Python: Spark has no NFC."""
 
+    @F.arrow_udf("string")
+    def hashed(texts: pa.Array) -> pa.Array:
+        return pa.array([hashlib.sha256(canonical(x.as_py()).encode("utf-8", "replace")).hexdigest() for x in texts], pa.string())
 
-def canonical_hash(c: Column) -> Column:
-    """sha256 of the text without NUL, in NFC, lines stripped and white space collapsed. Vectorised Python: Spark has no NFC."""
-    return _nfc_hash()(c)
+    return hashed(c)

@@ -19,9 +19,14 @@ def load_new(stream: DataFrame, target: str, checkpoint: str, key: str = "chunk_
     return good.writeStream.foreachBatch(lambda batch, _: append_new(batch, target, key) and None).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
 
 
+def _timed(events: DataFrame, late: str) -> DataFrame:
+    """A stream with its watermark; watermarks want a timestamp with a zone (the session's)."""
+    return events.withColumn("ts", F.col("ts").cast("timestamp")).withWatermark("ts", late) if events.isStreaming else events
+
+
 def windowed_counts(events: DataFrame, size: str = "1 hour", slide: str | None = None, late: str = "2 hours") -> DataFrame:
     """Events and mean value by type and window; works on a table as on a stream."""
-    e = events.withWatermark("ts", late) if events.isStreaming else events
+    e = _timed(events, late)
     w = F.window("ts", size, slide) if slide else F.window("ts", size)
     out = e.groupBy(w.alias("w"), "event_type").agg(F.count("*").alias("n"), F.round(F.avg("value"), 6).alias("avg_value"))
     return out.select(F.col("w.start").alias("window_start"), "event_type", "n", "avg_value")
@@ -29,13 +34,13 @@ def windowed_counts(events: DataFrame, size: str = "1 hour", slide: str | None =
 
 def sessions(events: DataFrame, gap: str = "30 minutes", late: str = "2 hours") -> DataFrame:
     """Sessions by user: start, end of the last event's gap, events."""
-    e = events.withWatermark("ts", late) if events.isStreaming else events
+    e = _timed(events, late)
     out = e.groupBy(F.session_window("ts", gap).alias("w"), "user_id").agg(F.count("*").alias("n"))
     return out.select("user_id", F.col("w.start").alias("session_start"), F.col("w.end").alias("session_end"), "n")
 
 
 def deduplicated(events: DataFrame, key: str = "event_id", late: str = "2 hours") -> DataFrame:
-    return events.withWatermark("ts", late).dropDuplicatesWithinWatermark([key]) if events.isStreaming else events.dropDuplicates([key])
+    return _timed(events, late).dropDuplicatesWithinWatermark([key]) if events.isStreaming else events.dropDuplicates([key])
 
 
 def running_budget(stream: DataFrame, budget: int) -> DataFrame:
