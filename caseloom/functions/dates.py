@@ -126,7 +126,8 @@ def relative(c: Column, anchor_date: Column) -> Column:
     unit = F.regexp_replace(F.coalesce(group(later, 2), group(ago, 2)), "s$", "")
     days = r"^(last|next|this)\s+(" + "|".join(sorted(WEEKDAY_OF, key=len, reverse=True)) + ")$"
     way = group(days, 1)
-    target = F.create_map(*[F.lit(x) for kv in WEEKDAY_OF.items() for x in kv])[group(days, 2)]
+    # Every name of a weekday begins with the same three letters.
+    target = F.array_position(F.array(*[F.lit(names[:3]) for names in WEEKDAY]), F.substring(group(days, 2), 1, 3)) - 1
     now = F.weekday(anchor_date)
     back, forth = F.pmod(now - target, F.lit(7)), F.pmod(target - now, F.lit(7))
     by_day = (
@@ -136,8 +137,12 @@ def relative(c: Column, anchor_date: Column) -> Column:
         .when((unit == "day") & (F.abs(n) < 3_000_000), n).when((unit == "week") & (F.abs(n) < 400_000), n * 7)
     )
     by_month = F.when((unit == "month") & (F.abs(n) < 100_000), n).when((unit == "year") & (F.abs(n) < 8_000), n * 12)
-    found = F.when(by_day.isNotNull(), F.date_add(anchor_date, by_day)).otherwise(F.add_months(anchor_date, by_month))
-    return F.when(found.between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date")), found)
+    return F.coalesce(F.date_add(anchor_date, by_day.cast("int")), F.add_months(anchor_date, by_month))
+
+
+def in_calendar(c: Column) -> Column:
+    """A day if its year has four digits, else null."""
+    return F.when(c.between(F.lit("0001-01-01").cast("date"), F.lit("9999-12-31").cast("date")), c)
 
 
 def is_relative(c: Column) -> Column:

@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.functions.dates import absolute, anchor, is_relative, iso_day, relative
+from caseloom.functions.dates import absolute, anchor, in_calendar, is_relative, iso_day, relative
 
 
 def chunk_anchors(chunks: DataFrame) -> DataFrame:
@@ -25,8 +25,11 @@ def event_times(events: DataFrame, chunks: DataFrame, files: DataFrame) -> DataF
     found = chunk_anchors(chunks.join(need, "chunk_id", "left_semi"))
     days = files.select("file_id", iso_day(F.col("mtime")).alias("file_anchor"))
     e = e.join(found, "chunk_id", "left").join(days, "file_id", "left").withColumn("pending", pending)
-    base = F.coalesce("chunk_anchor", "file_anchor").try_cast("date")
-    day = F.when(F.col("pending"), relative(F.col("date_raw"), base)).cast("string")
+    # Columns of their own, so that each is computed once.
+    e = e.withColumn("base", F.coalesce("chunk_anchor", "file_anchor").try_cast("date"))
+    e = e.withColumn("resolved", F.when(F.col("pending"), relative(F.col("date_raw"), F.col("base"))))
+    e = e.withColumn("day", in_calendar(F.col("resolved")).cast("string"))
+    base, day = F.col("base"), F.col("day")
     status = (
         F.when(F.col("a.status").isNotNull(), F.col("a.status")).when(F.col("a.date_start").isNotNull(), "ok").when(~F.col("pending"), "invalid_format")
         .when(base.isNull(), "missing_anchor").when(day.isNull(), "unresolved_relative").otherwise("ok")
