@@ -117,27 +117,35 @@ def anchor(c: Column) -> Column:
 
 
 def relative(c: Column, anchor_date: Column) -> Column:
-    """The day that a relative expression means, seen from an anchor (a date); null if it is none or can't be resolved."""
+    """The day that a relative expression means, seen from an anchor (a date); null if it is none or can't be resolved.
+
+    The text's parts are bound once, by a lambda over an array of one: inlined where they are used they would make code
+    that is too large to compile.
+    """
     t = F.lower(F.trim(c))
     group = lambda p, i: F.nullif(F.regexp_extract(t, p, i), F.lit(""))
-    word = group(r"^(today|yesterday|tomorrow)$", 1)
     later, ago = rf"^in\s+(\d+)\s+({UNITS})$", rf"^(\d+)\s+({UNITS})\s+ago$"
-    n = F.coalesce(group(later, 1).try_cast("int"), -group(ago, 1).try_cast("int"))
-    unit = F.regexp_replace(F.coalesce(group(later, 2), group(ago, 2)), "s$", "")
     days = r"^(last|next|this)\s+(" + "|".join(sorted(WEEKDAY_OF, key=len, reverse=True)) + ")$"
-    way = group(days, 1)
     # Every name of a weekday begins with the same three letters.
     target = F.array_position(F.array(*[F.lit(names[:3]) for names in WEEKDAY]), F.substring(group(days, 2), 1, 3)) - 1
-    now = F.weekday(anchor_date)
-    back, forth = F.pmod(now - target, F.lit(7)), F.pmod(target - now, F.lit(7))
-    by_day = (
-        F.when(way == "last", -F.when(back == 0, 7).otherwise(back)).when(way == "next", F.when(forth == 0, 7).otherwise(forth)).when(way == "this", forth)
-        .when(word == "today", 0).when(word == "yesterday", -1).when(word == "tomorrow", 1)
-        # Distances beyond any calendar are not resolved.
-        .when((unit == "day") & (F.abs(n) < 3_000_000), n).when((unit == "week") & (F.abs(n) < 400_000), n * 7)
+    parts = F.struct(
+        group(r"^(today|yesterday|tomorrow)$", 1).alias("word"), F.coalesce(group(later, 1).try_cast("int"), -group(ago, 1).try_cast("int")).alias("n"),
+        F.regexp_replace(F.coalesce(group(later, 2), group(ago, 2)), "s$", "").alias("unit"), group(days, 1).alias("way"), target.alias("target"), F.weekday(anchor_date).alias("now"), anchor_date.alias("base"),
     )
-    by_month = F.when((unit == "month") & (F.abs(n) < 100_000), n).when((unit == "year") & (F.abs(n) < 8_000), n * 12)
-    return F.coalesce(F.date_add(anchor_date, by_day.cast("int")), F.add_months(anchor_date, by_month))
+    ways = lambda p: F.struct(p.alias("parts"), F.pmod(p["now"] - p["target"], F.lit(7)).alias("back"), F.pmod(p["target"] - p["now"], F.lit(7)).alias("forth"))
+
+    def day(x: Column) -> Column:
+        p, back, forth = x["parts"], x["back"], x["forth"]
+        by_day = (
+            F.when(p["way"] == "last", -F.when(back == 0, 7).otherwise(back)).when(p["way"] == "next", F.when(forth == 0, 7).otherwise(forth)).when(p["way"] == "this", forth)
+            .when(p["word"] == "today", 0).when(p["word"] == "yesterday", -1).when(p["word"] == "tomorrow", 1)
+            # Distances beyond any calendar are not resolved.
+            .when((p["unit"] == "day") & (F.abs(p["n"]) < 3_000_000), p["n"]).when((p["unit"] == "week") & (F.abs(p["n"]) < 400_000), p["n"] * 7)
+        )
+        by_month = F.when((p["unit"] == "month") & (F.abs(p["n"]) < 100_000), p["n"]).when((p["unit"] == "year") & (F.abs(p["n"]) < 8_000), p["n"] * 12)
+        return F.coalesce(F.date_add(p["base"], by_day.cast("int")), F.add_months(p["base"], by_month))
+
+    return F.transform(F.transform(F.array(parts), ways), day)[0]
 
 
 def in_calendar(c: Column) -> Column:
