@@ -6,6 +6,7 @@ Every verb reads what the stages before it wrote below --root and writes its own
 from __future__ import annotations
 
 import argparse
+import functools
 import json
 import time
 
@@ -13,12 +14,14 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import normal_name
-from caseloom.operators import chunking, extract, graph, ingest, loading, resolve, threads, timeline, triage, validate
+from caseloom.operators import chunking, extract, graph, ingest, loading, resolve, routeml, threads, timeline, triage, validate
 from caseloom.sources import export, jsonl
 from caseloom.sources.scratch import written
 from caseloom.sources.store import CaseStore
 
 KINDS = ("entities", "events", "conversations", "identity_signals")
+#: Score bands to label by hand.
+LOW_BAND, HIGH_BAND = (0.05, 0.20), (0.65, 0.85)
 IDS = {"entities": "entity_id", "events": "event_id", "conversations": "conversation_id", "identity_signals": "signal_id"}
 
 
@@ -31,10 +34,28 @@ def manifest(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 
 def detect(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    files = spark.read.parquet(f"{a.root}/manifest")
-    data = spark.read.format("binaryFile").option("recursiveFileLookup", "true").load(a.input).select(F.col("path").alias("virtual_path"), "content")
-    probe = ingest.classified(ingest.probed(files.join(data, "virtual_path")))
-    return _save(probe, f"{a.root}/phase1")
+    probe = ingest.classified(ingest.probed(ingest.contents(spark, a.input)))
+    return _save(spark.read.parquet(f"{a.root}/manifest").join(probe, "file_id"), f"{a.root}/phase1")
+
+
+def phase2(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    targets = ingest.ocr_targets(spark.read.parquet(f"{a.root}/phase1"), a.include_unknown)
+    files = ingest.contents(spark, a.input)
+    plan = _save(ingest.ocr_plan(targets, ingest.page_texts(files), a.ocr_mode), f"{a.root}/ocr_plan")
+    return _save(ingest.ocr_files(files, plan), f"{a.root}/phase2")
+
+
+def extract_text(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    texts = written(ingest.page_texts(ingest.contents(spark, a.input)))
+    scanned = spark.read.parquet(f"{a.root}/phase2") if jsonl.exists(spark, f"{a.root}/phase2") else spark.createDataFrame([], "file_id string, page_index int, text string, status string")
+    return _save(ingest.document_pages(spark.read.parquet(f"{a.root}/phase1"), texts, scanned), f"{a.root}/pages")
+
+
+def pipeline(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Listing, classes and OCR in one go."""
+    manifest(spark, a)
+    detect(spark, a)
+    return phase2(spark, a)
 
 
 def report(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
@@ -59,27 +80,47 @@ def run_triage(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return _save(live.select("chunk_id", "file_id", "route", "token_est", "score"), f"{a.root}/selected")
 
 
+def _kinds(a: argparse.Namespace) -> tuple[str, ...]:
+    return KINDS if a.kind in (None, "all") else (a.kind.replace("-", "_"),)
+
+
 def llm(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
-    chunks = spark.read.parquet(f"{a.root}/chunks").join(spark.read.parquet(f"{a.root}/selected").select("chunk_id"), "chunk_id", "left_semi")
+    """The small model over the selected chunks; with --large-model another pass over what failed or is routed to it."""
+    chosen = spark.read.parquet(f"{a.root}/selected").select("chunk_id", "route")
+    chunks = spark.read.parquet(f"{a.root}/chunks").join(chosen.select("chunk_id"), "chunk_id", "left_semi")
     out = None
-    for kind in KINDS:
-        got = _save(extract.extracted(chunks, kind, extract.Rules()).withColumn("extractor", F.lit(kind)), f"{a.root}/llm/{kind}")
+    for kind in _kinds(a):
+        got = _save(extract.extracted(chunks, kind, extract.provider(a.provider, a.model)).withColumn("extractor", F.lit(kind)), f"{a.root}/llm/{kind}")
         out = got if out is None else out.unionByName(got)
+    if a.large_model:
+        again = written(validate.retry_chunks(out, len(_kinds(a))).union(chosen.where("route = 'llm_large'").select("chunk_id")).distinct())
+        for kind in _kinds(a):
+            second = extract.extracted(chunks.join(again, "chunk_id", "left_semi"), kind, extract.provider(a.provider, a.large_model))
+            out = out.unionByName(_save(second.withColumn("extractor", F.lit(kind)), f"{a.root}/llm_large/{kind}"))
     return out
 
 
+def _records(spark: SparkSession, a: argparse.Namespace, folder: str, kinds: tuple[str, ...] = KINDS) -> DataFrame | None:
+    """What the models answered, of all kinds that were asked for."""
+    there = [spark.read.parquet(p) for k in kinds if jsonl.exists(spark, p := f"{a.root}/{folder}/{k}")]
+    return functools.reduce(DataFrame.unionByName, there) if there else None
+
+
 def load(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     store = CaseStore(spark, f"{a.root}/store")
     counts = None
-    for kind in KINDS:
+    for kind in _kinds(a):
         raw = spark.read.parquet(f"{a.root}/llm/{kind}")
+        if (large := _records(spark, a, "llm_large", (kind,))) is not None:
+            raw = raw.unionByName(large)
         items = loading.record_schema(kind).split(">>, ")[0].removeprefix("items ") + ">>"
         records = raw.select("file_id", "chunk_id", F.col("page_range").cast("array<string>").alias("page_range"), F.from_json("items", items).alias("items"), "model", "error", F.lit(None).cast("string").alias("source_phase"), "extractor_version", F.lit(None).cast("string").alias("prompt_hash"))
         rows = loading.observations(records, kind)
         store.write(kind, rows.withColumn(IDS[kind], F.xxhash64(*loading.KEYS[kind])))
         one = loading.load_counts(records).withColumn("table", F.lit(kind))
         counts = one if counts is None else counts.unionByName(one)
-    store.write("mentions", loading.mentions(store.read("entities")))
+    if "entities" in _kinds(a):
+        store.write("mentions", loading.mentions(store.read("entities")))
     return counts
 
 
@@ -134,22 +175,79 @@ def kg(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     return graph.parity(s.read("kg_edges"), written(back), "edges")
 
 
+def route_dataset(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    s = CaseStore(spark, f"{a.root}/store")
+    none = spark.createDataFrame([], "chunk_id string, extractor string, n_items int, error string")
+    asked = lambda folder: routeml.outcomes((none if (r := _records(spark, a, folder)) is None else r).withColumn("order", F.lit(0)), "order")
+    human = spark.read.schema("chunk_id string, chunk_text_hash string, label_route string").json(a.labels).where(F.col("label_route").isin(*routeml.ROUTES)) if a.labels else None
+    used = [s.has(t) for t in ("events", "event_times", "person_observations", "person_cluster_members")]
+    useful = routeml.utility(*[s.read(t) for t in ("events", "event_times", "person_observations", "person_cluster_members")]) if all(used) else None
+    chunks, scored = spark.read.parquet(f"{a.root}/chunks"), spark.read.parquet(f"{a.root}/triage")
+    return _save(routeml.route_dataset(chunks, scored, asked("llm"), asked("llm_large"), human, useful), f"{a.root}/route_dataset")
+
+
+def route_train(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Fit on the training files, save vocabulary and model; per-class figures of the test files."""
+    rows = spark.read.parquet(f"{a.root}/route_dataset").select(F.col("chunk_id").alias("row_id"), "file_id", F.col("label_route").alias("label"), "text")
+    rows = written(routeml.group_split(rows, "file_id", a.test_fraction, a.seed))
+    train, test = rows.where("NOT is_test"), rows.where("is_test")
+    vocab = _save(routeml.vocabulary(train, a.max_features, a.min_df), f"{a.root}/route_model/vocabulary")
+    prior, seen = routeml.bayes(train, vocab, alpha=a.alpha)
+    prior, seen = _save(prior, f"{a.root}/route_model/prior"), _save(seen, f"{a.root}/route_model/tokens")
+    got = routeml.bayes_predict(test, vocab, prior, seen).join(test.select("row_id", F.col("label").alias("actual")), "row_id")
+    matrix = _save(routeml.confusion(got), f"{a.root}/route_model/confusion")
+    return _save(routeml.class_metrics(matrix), f"{a.root}/route_model/metrics")
+
+
+def route_sample_labels(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    rows = spark.read.parquet(f"{a.root}/route_dataset").where("label_source <> 'human' AND score IS NOT NULL")
+    return _save(routeml.label_bands(rows, LOW_BAND, HIGH_BAND, a.per_band, a.seed), f"{a.root}/labels_queue")
+
+
+def run_validate(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
+    """Headline metrics, yields and pages; page texts are reported where pages are."""
+    records = [r for r in (_records(spark, a, "llm"), _records(spark, a, "llm_large")) if r is not None]
+    none = spark.createDataFrame([], "chunk_id string, extractor string, n_items int, error string, model string")
+    recs = functools.reduce(DataFrame.unionByName, records) if records else none
+    scored, pages = spark.read.parquet(f"{a.root}/triage"), spark.read.parquet(f"{a.root}/pages")
+    _save(validate.yield_sets(validate.llm_rows(recs, scored)), f"{a.root}/validate/yields")
+    if "quality_score_page" in pages.columns:
+        _save(validate.page_report(pages), f"{a.root}/validate/pages")
+    return _save(validate.rollup(pages, spark.read.parquet(f"{a.root}/chunks"), scored, recs), f"{a.root}/validate/rollup")
+
+
 def _save(df: DataFrame, path: str) -> DataFrame:
     df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 
-VERBS = {"manifest": manifest, "phase1": detect, "report": report, "chunk": chunk, "triage": run_triage, "llm": llm, "load": load, "resolve": run_resolve, "timeline": run_timeline, "thread": thread, "kg": kg}
+VERBS = {
+    "manifest": manifest, "phase1": detect, "report": report, "phase2": phase2, "pipeline": pipeline, "extract-text": extract_text, "chunk": chunk, "triage": run_triage, "llm": llm, "load": load, "route-dataset": route_dataset,
+    "route-train": route_train, "route-sample-labels": route_sample_labels, "validate": run_validate, "resolve": run_resolve, "timeline": run_timeline, "thread": thread, "kg": kg,
+}
 #: What `run` does, in order.
-DEFAULT = ("chunk", "triage", "llm", "load", "resolve", "timeline", "thread", "kg")
+DEFAULT = ("chunk", "triage", "llm", "load", "resolve", "timeline", "thread", "kg", "validate")
 
 
 def main(argv: list[str] | None = None) -> int:
     p = argparse.ArgumentParser(prog="caseloom", description=__doc__)
     p.add_argument("verb", choices=[*VERBS, "run"])
+    p.add_argument("kind", nargs="?", choices=["all", *(k.replace("_", "-") for k in KINDS)], help="of llm and load: one kind only")
     p.add_argument("--root", required=True, help="where tables are read and written")
     p.add_argument("--input", help="files to list or probe")
     p.add_argument("--steps", default=",".join(DEFAULT), help="of run, in order")
+    p.add_argument("--include-unknown", action="store_true", help="of phase2: files of no known class too")
+    p.add_argument("--ocr-mode", choices=["image-heavy", "all"], default="image-heavy")
+    p.add_argument("--provider", choices=["rules", *extract.Http.SERVERS], default="rules")
+    p.add_argument("--model")
+    p.add_argument("--large-model")
+    p.add_argument("--labels", help="of route-dataset: JSON Lines of labels by hand")
+    p.add_argument("--test-fraction", type=float, default=0.2)
+    p.add_argument("--seed", type=int, default=17)
+    p.add_argument("--max-features", type=int, default=5000)
+    p.add_argument("--min-df", type=int, default=1)
+    p.add_argument("--alpha", type=float, default=1.0)
+    p.add_argument("--per-band", type=int, default=100)
     p.add_argument("--size", type=int, default=2)
     p.add_argument("--overlap", type=int, default=1)
     p.add_argument("--packs")

@@ -13,13 +13,16 @@ NAME = r"\b[A-Z][a-z]+\s+[A-Z][a-z]+\b"
 
 
 def page_score(length: Column, confidence: Column, review: Column, flags: Column) -> Column:
-    """Mean of length (50 characters are full) and confidence, less for low text, review, errors; 0 to 1, six digits."""
-    base = F.least(F.lit(1.0), length / 50.0)
-    base = F.when(confidence.isNotNull(), (base + confidence) / 2).otherwise(base)
+    """Mean of length (50 characters are full) and confidence (1 if unknown), less for low text, review, errors; 0 to 1, six digits.
+
+    A page without text scores 0.
+    """
+    one = lambda c: F.greatest(F.lit(0.0), F.least(F.lit(1.0), c))
+    base = (one(length / 50.0) + one(F.coalesce(confidence, F.lit(1.0)))) / 2
     base = F.when(F.array_contains(flags, "low_text"), base * 0.6).otherwise(base)
     base = F.when(review, base * 0.7).otherwise(base)
     base = F.when(F.arrays_overlap(flags, F.array(F.lit("ocr_error"), F.lit("missing_source"))), F.least(base, F.lit(0.2))).otherwise(base)
-    return F.round(F.greatest(F.lit(0.0), F.least(F.lit(1.0), base)), 6)
+    return F.round(F.when(F.array_contains(flags, "empty_text"), 0.0).otherwise(one(base)), 6)
 
 
 def _signals(pages: Column, text: Column) -> Column:

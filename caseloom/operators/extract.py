@@ -18,6 +18,16 @@ from caseloom.functions.text import canonical_hash
 KINDS = ("entities", "events", "conversations", "identity_signals")
 
 
+_ASK = 'Answer with JSON only: {"items": [...]}. Quote the text exactly; confidence is between 0 and 1. Each item has '
+#: What a model is asked for, by kind, if nothing else is given.
+PROMPTS = {
+    "entities": f"List the people, organisations and places named in the text. {_ASK}entity, type, quote, confidence.",
+    "events": f"List the events that the text tells of. {_ASK}event, date (as written, or null), quote, confidence.",
+    "conversations": f"List the utterances in the text. {_ASK}speaker, quote, confidence.",
+    "identity_signals": f"List the birth dates (dob), addresses (address) and case numbers (case_id) of people in the text. {_ASK}person, attribute, value, quote, confidence.",
+}
+
+
 class Provider(Protocol):
     name: str
 
@@ -77,6 +87,15 @@ class Http:
             return self.said(json.load(r))
 
 
+def provider(name: str = "rules", model: str | None = None, url: str | None = None) -> Provider:
+    """A provider by name: rules (offline), ollama, openai or gemini."""
+    if name == "rules":
+        return Rules()
+    if name not in Http.SERVERS:
+        raise ValueError(f"unknown provider {name}")
+    return Http(name, model or "llama3", PROMPTS, url)
+
+
 def parse_answer(answer: str) -> tuple[list[dict], str | None]:
     """Items, and invalid_json or missing_items."""
     try:

@@ -14,6 +14,8 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.operators.chunking import page_score
+
 #: Pages of a file that its class is told by; characters that make a page text, and low text.
 SAMPLED, TEXT_CHARS, LOW_CHARS = 20, 50, 20
 
@@ -24,37 +26,41 @@ def file_id(source_type: Column, container: Column, virtual: Column) -> Column:
     return F.sha2(F.concat_ws("|", source_type, F.coalesce(container, F.lit("")), virtual), 256)
 
 
-def manifest(spark: SparkSession, root: str) -> DataFrame:
-    """PDF files below root and inside its zip archives: file_id, source_type, container_path, virtual_path, size_bytes, mtime, ext."""
+def contents(spark: SparkSession, root: str) -> DataFrame:
+    """PDF files below root and inside its zip archives, with their bytes: the manifest's columns and content.
+
+    Ids follow from the paths alone, so no join brings bytes and manifest together; what isn't selected isn't read.
+    """
     read = lambda glob: spark.read.format("binaryFile").option("recursiveFileLookup", "true").option("pathGlobFilter", glob).load(root)
     iso = F.date_format("modificationTime", "yyyy-MM-dd'T'HH:mm:ssXXX")
-    plain = read("*.[pP][dD][fF]").select(F.lit("fs").alias("source_type"), F.lit(None).cast("string").alias("container_path"), F.col("path").alias("virtual_path"), F.col("length").alias("size_bytes"), iso.alias("mtime"))
+    plain = read("*.[pP][dD][fF]").select(F.lit("fs").alias("source_type"), F.lit(None).cast("string").alias("container_path"), F.col("path").alias("virtual_path"), F.col("length").alias("size_bytes"), iso.alias("mtime"), "content")
 
     def members(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        columns = ["source_type", "container_path", "virtual_path", "size_bytes", "mtime", "content"]
         for b in batches:
-            rows = []
             for path, content in zip(b["path"], b["content"]):
                 try:
-                    for m in zipfile.ZipFile(BytesIO(content)).infolist():
-                        name = m.filename.replace("\\", "/")
-                        if not m.is_dir() and name.lower().endswith(".pdf"):
-                            at = "{:04}-{:02}-{:02}T{:02}:{:02}:{:02}".format(*m.date_time)
-                            rows.append(("zip", path, f"zip://{path}::{name}", m.file_size, at))
+                    with zipfile.ZipFile(BytesIO(content)) as z:
+                        for m in z.infolist():
+                            name = m.filename.replace("\\", "/")
+                            if not m.is_dir() and name.lower().endswith(".pdf"):
+                                at = "{:04}-{:02}-{:02}T{:02}:{:02}:{:02}".format(*m.date_time)
+                                try:
+                                    data = z.read(m)
+                                except (zipfile.BadZipFile, RuntimeError, NotImplementedError):  # damaged, encrypted or of an unknown method
+                                    data = None
+                                yield pd.DataFrame([("zip", path, f"zip://{path}::{name}", m.file_size, at, data)], columns=columns)
                 except zipfile.BadZipFile:
                     continue
-            yield pd.DataFrame(rows, columns=["source_type", "container_path", "virtual_path", "size_bytes", "mtime"])
 
-    packed = read("*.[zZ][iI][pP]").select("path", "content").mapInPandas(members, "source_type string, container_path string, virtual_path string, size_bytes long, mtime string")
+    packed = read("*.[zZ][iI][pP]").select("path", "content").mapInPandas(members, "source_type string, container_path string, virtual_path string, size_bytes long, mtime string, content binary")
     both = plain.unionByName(packed)
     return both.select(file_id(F.col("source_type"), F.col("container_path"), F.col("virtual_path")).alias("file_id"), *both.columns, F.lit("pdf").alias("ext"))
 
 
-def open_bytes(source_type: str, container: str | None, virtual: str) -> bytes:
-    """A file's bytes, from the file system or out of its archive."""
-    if source_type == "zip":
-        with zipfile.ZipFile(container) as z:
-            return z.read(virtual.split("::", 1)[1])
-    return Path(virtual.removeprefix("file:")).read_bytes()
+def manifest(spark: SparkSession, root: str) -> DataFrame:
+    """PDF files below root and inside its zip archives: file_id, source_type, container_path, virtual_path, size_bytes, mtime, ext."""
+    return contents(spark, root).drop("content")
 
 
 def pypdf_pages(content: bytes) -> list[tuple[str, bool]]:
@@ -139,17 +145,90 @@ def ocr(pages: DataFrame, engine: Callable[[bytes, int], tuple[str, str | None]]
     return pages.select("file_id", "page_index", "content").mapInPandas(run, "file_id string, page_index int, text string, status string")
 
 
-def merged_pages(pdf: DataFrame, scanned: DataFrame) -> DataFrame:
-    """Page texts of mixed files: OCR text where there is some and the embedded text is short, else the embedded one.
+def ocr_files(files: DataFrame, plan: DataFrame, engine: Callable[[bytes, int], tuple[str, str | None]] = tesseract_page) -> DataFrame:
+    """ocr() for the planned pages of whole files (file_id, content): a file's bytes travel once, not once a page."""
+    wanted = plan.where("decision = 'ocr'").groupBy("file_id").agg(F.sort_array(F.collect_set("page_index")).alias("wanted"))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i, content, pages in zip(b["file_id"], b["content"], b["wanted"]):
+                got = [engine(bytes(content or b""), int(k)) for k in pages]
+                yield pd.DataFrame({"file_id": i, "page_index": list(map(int, pages)), "text": [g[0] for g in got], "status": [g[1] or "ok" for g in got]})
+
+    return files.select("file_id", "content").join(wanted, "file_id").mapInPandas(run, "file_id string, page_index int, text string, status string")
+
+
+def page_texts(files: DataFrame, reader: PageReader = pypdf_pages) -> DataFrame:
+    """file_id, page_index, text, has_image of each page of files (file_id, content); files that can't be read have none."""
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            for i, content in zip(b["file_id"], b["content"]):
+                try:
+                    got = reader(bytes(content))
+                except Exception:  # the probe has the file's error
+                    continue
+                yield pd.DataFrame({"file_id": i, "page_index": range(len(got)), "text": [t for t, _ in got], "has_image": [im for _, im in got]})
+
+    return files.select("file_id", "content").mapInPandas(run, "file_id string, page_index int, text string, has_image boolean")
+
 
-    pdf: file_id, page_index, text; scanned: also confidence, status. One full join on the page.
+def ocr_plan(phase1: DataFrame, texts: DataFrame, mode: str = "image-heavy") -> DataFrame:
+    """file_id, page_index, decision, reason for each page of the files to be read by OCR.
+
+    Scanned and unknown files are read whole; of mixed ones the pages that ocr_decision names.
+    """
+    pages = phase1.where("page_count > 0").select("file_id", "classification", F.explode(F.sequence(F.lit(0), F.col("page_count") - 1)).alias("page_index"))
+    seen = texts.select("file_id", "page_index", F.length(F.trim("text")).alias("__n"), "has_image")
+    whole = F.struct(F.lit("ocr").alias("decision"), F.lit("classification_requires_ocr").alias("reason"))
+    plan = F.when(F.col("classification") == "mixed", ocr_decision(F.col("__n"), F.col("has_image"), mode)).otherwise(whole)
+    return pages.join(seen, ["file_id", "page_index"], "left").select("file_id", "page_index", plan.alias("plan")).select("file_id", "page_index", "plan.decision", "plan.reason")
+
+
+def merged_pages(pdf: DataFrame, scanned: DataFrame, text_min: int = TEXT_CHARS) -> DataFrame:
+    """Page texts of mixed files: the embedded text if it is long enough, else what OCR found, else nothing, for review.
+
+    pdf: file_id, page_index, text; scanned: also status and, if there is any, confidence. One full join on the page.
     """
     p = pdf.select("file_id", "page_index", F.col("text").alias("pdf_text"))
     o = scanned.select("file_id", "page_index", F.col("text").alias("ocr_text"), F.col("confidence") if "confidence" in scanned.columns else F.lit(None).cast("double").alias("confidence"), "status")
-    has = lambda c: F.length(F.trim(F.coalesce(c, F.lit("")))) > 0
     df = p.join(o, ["file_id", "page_index"], "full")
-    long_text = F.length(F.trim(F.coalesce("pdf_text", F.lit("")))) >= TEXT_CHARS
-    source = F.when(long_text, "pdf_text").when(has("ocr_text"), "ocr").when(has("pdf_text"), "pdf_text")
-    text = F.when(source == "ocr", F.col("ocr_text")).otherwise(F.coalesce("pdf_text", F.lit("")))
-    reason = F.when(source.isNotNull(), None).when(F.col("status").isNull(), "missing_phase2_page").when(F.col("status") != "ok", "missing_ocr_text").otherwise("missing_mixed_text_sources")
-    return df.select("file_id", "page_index", text.alias("text"), source.alias("source"), F.when(source == "ocr", F.col("confidence")).alias("confidence"), reason.isNotNull().alias("review_required"), reason.alias("review_reason"))
+    embedded = F.length(F.coalesce("pdf_text", F.lit(""))) >= text_min
+    found = ~embedded & (F.trim(F.coalesce("ocr_text", F.lit(""))) != "")
+    reason = F.when(embedded | found, None).when(F.col("status").isNull(), "missing_phase2_page").when(F.col("status") == "ok", "missing_ocr_text").otherwise("missing_mixed_text_sources")
+    text = F.when(embedded, F.col("pdf_text")).when(found, F.col("ocr_text")).otherwise("")
+    return df.select("file_id", "page_index", text.alias("text"), F.when(embedded, "pdf_text").otherwise("ocr").alias("source"), F.when(~embedded, F.col("confidence")).alias("confidence"), reason.isNotNull().alias("review_required"), reason.alias("review_reason"))
+
+
+def document_pages(phase1: DataFrame, texts: DataFrame, scanned: DataFrame) -> DataFrame:
+    """The pages of all files with text, source, review and quality: embedded texts of text files, merged ones of mixed files,
+    OCR's of the others and of text files that can't be read.
+
+    phase1: file_id, classification, page_count; texts: page_texts(); scanned: ocr().
+    """
+    kind = F.when(F.col("classification").isin("text", "mixed", "scanned"), F.col("classification")).otherwise("unknown")
+    files = phase1.where(F.coalesce("file_id", F.lit("")) != "").select("file_id", kind.alias("classification"), F.col("page_count").alias("__pages"))
+    of = lambda df, k: df.join(files.where(F.col("classification") == k).select("file_id"), "file_id", "left_semi")
+    read = of(texts, "text").select("file_id", "page_index", F.coalesce("text", F.lit("")).alias("text"), F.lit("pdf_text").alias("source"), F.lit(None).cast("double").alias("confidence"), F.lit(False).alias("review_required"), F.lit(None).cast("string").alias("review_reason"))
+    listed = lambda rows: rows.where("__pages > 0").select("file_id", F.explode(F.sequence(F.lit(0), F.col("__pages") - 1)).alias("page_index"))
+    mixed = files.where("classification = 'mixed'")
+    both = merged_pages(listed(mixed).join(of(texts, "mixed").select("file_id", "page_index", "text"), ["file_id", "page_index"], "left"), of(scanned, "mixed"))
+    others = files.where("classification IN ('scanned', 'unknown')").unionByName(files.where("classification = 'text'").join(texts.select("file_id"), "file_id", "left_anti"))
+    confidence = F.col("confidence") if "confidence" in scanned.columns else F.lit(None).cast("double")
+    done = scanned.select("file_id", "page_index", "text", confidence.alias("confidence"), "status")
+    # A page that OCR should have read and has not is one for review; pages beyond those that OCR knows are just empty.
+    failed = F.coalesce(F.col("status") != "ok", F.lit(False))
+    ocr_only = listed(others).join(done, ["file_id", "page_index"], "left").select("file_id", "page_index", F.coalesce("text", F.lit("")).alias("text"), F.lit("ocr").alias("source"), "confidence", failed.alias("review_required"), F.when(failed, "missing_text_path").alias("review_reason"))
+    return with_page_quality(read.unionByName(both).unionByName(ocr_only))
+
+
+def with_page_quality(pages: DataFrame) -> DataFrame:
+    """pages with text_char_count, quality_flags and quality_score_page."""
+    text = F.coalesce("text", F.lit(""))
+    empty = ~text.rlike(r"\S")
+    flags = F.array_compact(F.array(
+        F.when(~F.coalesce(F.col("source").isin("pdf_text", "ocr"), F.lit(False)), "missing_source"), F.when(empty, "empty_text").when(F.length(text) <= LOW_CHARS, "low_text"),
+        F.when((F.col("source") == "ocr") & F.col("review_reason").isin("unreadable_text_path", "missing_text_path"), "ocr_error"),
+    ))
+    pages = pages.withColumns({"text_char_count": F.length(text), "quality_flags": flags})
+    return pages.withColumn("quality_score_page", page_score(F.col("text_char_count"), F.col("confidence"), F.coalesce("review_required", F.lit(False)), F.col("quality_flags")))

@@ -1,4 +1,5 @@
 import json
+import zipfile
 
 import pytest
 
@@ -21,6 +22,28 @@ def test_run_from_pages_to_graph(spark, tmp_path, capsys):
     assert store.read("conversation_threads").count() >= 1
     parity = cli.VERBS["kg"](spark, cli.argparse.Namespace(root=root, people=None, events=None)).collect()
     assert all(r.n == 0 for r in parity)
+    assert spark.read.parquet(f"{root}/validate/rollup").first().records == 4 * spark.read.parquet(f"{root}/selected").count()
+    for verb in ("route-dataset", "route-train", "route-sample-labels"):
+        assert cli.main([verb, "--root", root]) == 0
+    labelled = spark.read.parquet(f"{root}/route_dataset")
+    assert labelled.count() == spark.read.parquet(f"{root}/chunks").count() and labelled.where("label_source = 'heuristic_from_yield' AND label_route = 'llm_small'").count() > 0
+    assert spark.read.parquet(f"{root}/route_model/prior").count() == 3 and spark.read.parquet(f"{root}/route_model/metrics").count() >= 1
+    assert cli.main(["llm", "events", "--root", root, "--large-model", "any"]) == 0 and spark.read.parquet(f"{root}/llm_large/events").count() > 0
+    n = store.read("events").count()
+    assert cli.main(["load", "events", "--root", root]) == 0 and store.read("events").count() == n  # the same answers again: nothing new
+
+
+def test_files_to_pages(spark, tmp_path):
+    """Without a PDF library and OCR programs files are listed and probed with an error, and nothing fails."""
+    (tmp_path / "in").mkdir()
+    (tmp_path / "in" / "a.pdf").write_bytes(b"%PDF-1.4 broken")
+    with zipfile.ZipFile(tmp_path / "in" / "z.zip", "w") as z:
+        z.writestr("b.pdf", "x")
+    args = ["--root", f"file://{tmp_path}/out", "--input", f"file://{tmp_path}/in"]
+    assert cli.main(["pipeline", *args, "--include-unknown"]) == 0 and cli.main(["extract-text", *args]) == 0
+    p1 = spark.read.parquet(f"file://{tmp_path}/out/phase1").collect()
+    assert len(p1) == 2 and {r.classification for r in p1} == {"unknown"} and all(r.errors for r in p1)
+    assert spark.read.parquet(f"file://{tmp_path}/out/pages").count() == 0
 
 
 def test_unknown_verbs_are_refused():

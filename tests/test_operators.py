@@ -203,6 +203,7 @@ def test_ingestion(spark, tmp_path):
     (tmp_path / "broken.zip").write_bytes(b"no")
     rows = ingest.manifest(spark, f"file://{tmp_path}").collect()
     assert sorted(r.virtual_path.rsplit("/", 1)[1] for r in rows) == ["a.PDF", "b.pdf"] and len({r.file_id for r in rows}) == 2
+    assert {r.file_id: bytes(r.content) for r in ingest.contents(spark, f"file://{tmp_path}").collect()} == {r.file_id: b"%PDF" if r.source_type == "fs" else b"x" for r in rows}
 
     def reader(content):
         if content == b"bad":
@@ -218,7 +219,27 @@ def test_ingestion(spark, tmp_path):
     pdf = spark.createDataFrame([("f", 0, "x" * 60), ("f", 1, ""), ("f", 2, "")], "file_id string, page_index int, text string")
     scan = spark.createDataFrame([("f", 1, "read", "ok"), ("f", 3, "", "pending_ocr")], "file_id string, page_index int, text string, status string")
     m = {r.page_index: (r.source, r.review_reason) for r in ingest.merged_pages(pdf, scan).collect()}
-    assert m == {0: ("pdf_text", None), 1: ("ocr", None), 2: (None, "missing_phase2_page"), 3: (None, "missing_ocr_text")}
+    # Pages with neither text stay, empty, for review; a failed page isn't the same as one that OCR found empty.
+    assert m == {0: ("pdf_text", None), 1: ("ocr", None), 2: ("ocr", "missing_phase2_page"), 3: ("ocr", "missing_mixed_text_sources")}
+
+
+def test_document_pages(spark):
+    """Text files by their own text, mixed ones merged, others by OCR; each page with its quality."""
+    p1 = spark.createDataFrame([("t", "text", 1), ("m", "mixed", 3), ("s", "scanned", 2), ("u", "odd", 1), ("b", "text", 1), ("e", "unknown", 0), ("", "text", 1)], "file_id string, classification string, page_count int")
+    files = spark.createDataFrame([("t", b"t"), ("m", b"m"), ("s", b"s"), ("u", b"u"), ("b", b"bad")], "file_id string, content binary")
+    told = {b"t": [("word " * 20, False)], b"m": [("x" * 50, False), ("short", True), ("", True)], b"s": [("", True)] * 2, b"u": [("", False)]}
+    texts = ingest.page_texts(files, told.__getitem__).cache()
+    plan = ingest.ocr_plan(p1.where("classification <> 'text'"), texts)
+    assert {(r.file_id, r.page_index): r.decision for r in plan.collect()} == {("m", 0): "skip_pdf_text", ("m", 1): "ocr", ("m", 2): "ocr", ("s", 0): "ocr", ("s", 1): "ocr", ("u", 0): "ocr"}
+    done = ingest.ocr_files(files, plan, lambda content, k: ("", "pending_ocr") if k == 1 and content == b"s" else (f"seen {k}" if content != b"m" or k == 1 else "", None))
+    got = {(r.file_id, r.page_index): r for r in ingest.document_pages(p1, texts, done).collect()}
+    assert {k: (r.text, r.source, r.review_reason) for k, r in got.items()} == {
+        ("t", 0): ("word " * 20, "pdf_text", None), ("m", 0): ("x" * 50, "pdf_text", None), ("m", 1): ("seen 1", "ocr", None), ("m", 2): ("", "ocr", "missing_ocr_text"),
+        ("s", 0): ("seen 0", "ocr", None), ("s", 1): ("", "ocr", "missing_text_path"), ("u", 0): ("seen 0", "ocr", None), ("b", 0): ("", "ocr", None),
+    }
+    # Unknown confidence counts as 1: (6 / 50 + 1) / 2 * 0.6 for a page of six characters.
+    assert got["t", 0].quality_score_page == 1.0 and got["m", 1].quality_score_page == 0.336 and got["m", 2].quality_score_page == 0.0
+    assert got["s", 1].quality_flags == ["empty_text", "ocr_error"] and got["m", 1].quality_flags == ["low_text"]
 
 
 def test_route_model(spark):
