@@ -15,6 +15,7 @@ from __future__ import annotations
 
 import random
 import re
+from bisect import bisect_left
 from collections.abc import Iterator
 from dataclasses import dataclass
 from functools import lru_cache
@@ -256,12 +257,15 @@ def spans(text: str | None, model: Model) -> tuple[list[Span], list[Span]]:
     score = model.trees.predict(np.array([features(k, text, s, e) for k, s, e in found]))
     passed = sorted((-p, s, e, k) for p, (k, s, e) in zip(score.tolist(), found) if p >= model.threshold[k])
     added: list[Span] = []
+    starts: list[int] = []
+    ends: list[int] = []
     for _, s, e, k in passed:
-        if len(added) > 64:
-            if not _apart([(k, s, e)], [(a, b) for _, a, b in added]):
-                continue
-        elif any(s < b and a < e for _, a, b in added):
+        # What was added is apart, so of all that starts before e only the last can reach s.
+        i = bisect_left(starts, e)
+        if i and ends[i - 1] > s:
             continue
+        starts.insert(i, s)
+        ends.insert(i, e)
         added.append((k, s, e))
     return base, sorted(base + added, key=lambda c: (KINDS.index(c[0]), c[1]))
 

@@ -46,8 +46,22 @@ def test_additions_and_redaction():
     assert pii.spans("Nothing here, on 2024-01-05 at noon.", MODEL)[1] == []
 
 
+def test_additions_are_apart_and_none_is_left_out_without_need():
+    rnd = random.Random(3)
+    parts = ["(212) 555-0143", "call ", "0171 23 45 67 89", " 123-45-6789", "a@b.co", " at post dot com", " joe", "-", " ", "DE89 3704 0044 0532 0130 00"]
+    for _ in range(300):
+        t = "".join(rnd.choices(parts, k=rnd.randint(1, 40)))
+        base, every = pii.spans(t, MODEL)
+        apart = lambda a, b: a[1] >= b[2] or b[1] >= a[2]
+        added = [s for s in every if s not in base]
+        assert all(apart(a, b) for a in added for b in every if a is not b), t
+        for c in dict.fromkeys(pii.candidates(t)):
+            good = MODEL.trees.predict(pii.np.array([pii.features(c[0], t, c[1], c[2])]))[0] >= MODEL.threshold[c[0]]
+            assert not good or any(not apart(c, x) for x in every), t
+
+
 def test_long_texts_take_linear_time():
-    for t in ("1" * 300_000, "a" * 300_000 + "@", "1." * 150_000, "+1 " * 100_000, "(12) " * 60_000):
+    for t in ("1" * 300_000, "a" * 300_000 + "@", "1." * 150_000, "+1 " * 100_000, "(12) " * 60_000, "call (212) 555-0143 or " * 20_000):
         pii.spans(t, MODEL)
 
 
