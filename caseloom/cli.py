@@ -69,7 +69,8 @@ def chunk(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 
 def run_triage(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     packs = jsonl.read_packs(spark, a.packs) if a.packs else None
-    scored = triage.triaged(spark.read.parquet(f"{a.root}/chunks"), packs)
+    rows = spark.read.parquet(f"{a.root}/chunks")
+    scored = triage.triaged(triage.with_entities(rows) if a.ner else rows, packs)
     scored = triage.allowed_files(scored, jsonl.read_ids(spark, a.allow), jsonl.read_ids(spark, a.deny))
     out = _save(scored.drop("text"), f"{a.root}/triage")
     live = out.where("route <> 'skip'")
@@ -251,6 +252,7 @@ def main(argv: list[str] | None = None) -> int:
     p.add_argument("--size", type=int, default=2)
     p.add_argument("--overlap", type=int, default=1)
     p.add_argument("--packs")
+    p.add_argument("--ner", action="store_true", help="of triage: named entities count, where spaCy is")
     p.add_argument("--allow")
     p.add_argument("--deny")
     p.add_argument("--per-file", type=int)

@@ -11,7 +11,7 @@ from io import BytesIO
 from pathlib import Path
 
 import pandas as pd
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from caseloom.operators.chunking import page_score
@@ -185,6 +185,14 @@ def ocr_plan(phase1: DataFrame, texts: DataFrame, mode: str = "image-heavy") ->
     return pages.join(seen, ["file_id", "page_index"], "left").select("file_id", "page_index", plan.alias("plan")).select("file_id", "page_index", "plan.decision", "plan.reason")
 
 
+def page_batches(plan: DataFrame, most: int = 8) -> DataFrame:
+    """plan's pages with batch: runs of pages that follow each other, cut after `most` pages; numbered from 0 in a file."""
+    file = Window.partitionBy("file_id").orderBy("page_index")
+    runs = plan.withColumn("__run", F.col("page_index") - F.row_number().over(file))
+    place = F.row_number().over(Window.partitionBy("file_id", "__run").orderBy("page_index")) - 1
+    return runs.withColumn("__new", (place % most == 0).cast("int")).withColumn("batch", (F.sum("__new").over(file) - 1).cast("int")).drop("__run", "__new")
+
+
 def merged_pages(pdf: DataFrame, scanned: DataFrame, text_min: int = TEXT_CHARS) -> DataFrame:
     """Page texts of mixed files: the embedded text if it is long enough, else what OCR found, else nothing, for review.
 

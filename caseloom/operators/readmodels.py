@@ -11,7 +11,6 @@ from pyspark.sql import functions as F
 SOURCES = {"entities": "entity_id", "events": "event_id", "conversations": "conversation_id", "identity_signals": "signal_id"}
 SORTS = ("page_start", "confidence", "source_table", "file_id", "record_id")
 PAGE_SIZES, PAGE_SIZE = (10, 25, 50, 100), 25
-ROLES = ("investigator", "analyst", "admin")
 
 Store = dict[str, DataFrame]
 
@@ -214,15 +213,3 @@ def case_indicators(store: Store, case: str) -> Result:
     else:
         out.widgets["thread_indicators"] = "missing_thread_tables"
     return out
-
-
-def route_guard(path: str, role: str, case_exists: bool = True, resource_exists: bool = True) -> tuple[int, str]:
-    """Status and code of a page: unknown role or admin pages for others 403, missing case or resource 404."""
-    parts = [p for p in path.split("?")[0].split("/") if p]
-    if role not in ROLES or parts[:1] == ["admin"] and role != "admin":
-        return 403, "forbidden"
-    if not parts or parts[0] not in ("cases", "admin", "settings", "search"):
-        return 404, "route_not_found"
-    if parts[0] == "cases" and len(parts) > 1 and not case_exists:
-        return 404, "case_not_found"
-    return (200, "ok") if resource_exists else (404, "resource_not_found")

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections import Counter
+from collections.abc import Callable
+
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -26,8 +30,37 @@ def features(chunks: DataFrame, packs: dict[str, list[str]] | None = None, text:
     return df.withColumn("keyword_hit_total", sum((F.col(f"kw_{k}") for k in hits), F.lit(0))).drop(*(c for c in df.columns if c.startswith("__")))
 
 
-def score() -> Column:
-    """Weights added up in one order (sums of doubles depend on it), 0 to 1."""
+def spacy_counts(text: str, model: str = "en_core_web_sm") -> dict[str, int]:
+    """Named entities by label; needs spaCy and its model."""
+    import spacy
+
+    if model not in _LOADED:
+        _LOADED[model] = spacy.load(model)
+    return dict(Counter(e.label_ for e in _LOADED[model](text).ents if e.label_))
+
+
+_LOADED: dict = {}
+
+
+def with_entities(chunks: DataFrame, counter: Callable[[str], dict[str, int]] = spacy_counts, text: str = "text") -> DataFrame:
+    """chunks with ner, named entities by label; null where they can't be counted (a missing library or model fails softly)."""
+
+    @F.arrow_udf("map<string,int>")
+    def count(texts: pa.Array) -> pa.Array:
+        out = []
+        for t in texts.to_pylist():
+            try:
+                out.append(list(counter(t or "").items()))
+            except Exception:  # without the library or its model chunks are scored by the other signals
+                out.append(None)
+        return pa.array(out, pa.map_(pa.string(), pa.int32()))
+
+    return chunks.withColumn("ner", count(analysed(F.col(text))))
+
+
+def score(ner: bool = False) -> Column:
+    """Weights added up in one order (sums of doubles depend on it), 0 to 1; with ner, named entities count as well."""
+    named = [(F.coalesce(F.try_element_at("ner", F.lit(k)), F.lit(0)) > 0, w) for k, w in (("PERSON", 0.10), ("ORG", 0.05), ("GPE", 0.05), ("DATE", 0.08))] if ner else []
     on = lambda cond, w: F.when(cond, F.lit(w)).otherwise(F.lit(0.0))
     some = lambda name: F.col(name) > 0
     total = F.least(F.lit(0.4), F.lit(0.05) * F.col("keyword_hit_total"))
@@ -35,6 +68,7 @@ def score() -> Column:
         (some("badge_id_count"), 0.10), (some("capitalized_name_count"), 0.08), (some("honorific_count"), 0.05), (some("org_suffix_count"), 0.05),
         (some("date_like_count"), 0.15), (some("time_like_count"), 0.05), (some("on_at_by_date_count"), 0.10), (some("incident_verb_count"), 0.10),
         (some("dialogue_marker_count"), 0.08), (F.col("table_like"), 0.03), (F.col("bullet_density") >= 0.2, 0.03),
+        *named,
         (F.col("char_len") < 40, -0.20), (F.col("non_ws_ratio") < 0.05, -0.20), (F.col("punctuation_ratio") > 0.40, -0.10), (F.col("max_repeated_char_run") >= 10, -0.10),
     ):
         total = total + on(cond, w)
@@ -51,8 +85,8 @@ def complex_narrative() -> Column:
 
 
 def triaged(chunks: DataFrame, packs: dict[str, list[str]] | None = None, skip: float = SKIP, large: float = LARGE) -> DataFrame:
-    """Features, score, token_est, low_quality, complex_narrative and the heuristic route of each chunk."""
-    df = features(chunks, packs).withColumn("token_est", token_estimate(F.col("text"))).withColumn("score", score())
+    """Features, score, token_est, low_quality, complex_narrative and the heuristic route of each chunk; `ner` counts if there."""
+    df = features(chunks, packs).withColumn("token_est", token_estimate(F.col("text"))).withColumn("score", score("ner" in chunks.columns))
     df = df.withColumns({"low_quality": low_quality(), "complex_narrative": complex_narrative()})
     route = F.when(F.col("score") < skip, "skip").when((F.col("score") >= large) | F.col("complex_narrative"), "llm_large").otherwise("llm_small")
     return df.withColumn("route", route)

@@ -3,7 +3,7 @@ import json
 import pytest
 from pyspark.sql import functions as F
 
-from caseloom.operators import chunking, extract, graph, ingest, loading, nulls, readmodels, resolve, routeml, threads, timeline, triage, validate
+from caseloom.operators import chunking, extract, graph, ingest, loading, nulls, readmodels, resolve, routeml, shell, threads, timeline, triage, validate
 from caseloom.plans import adapters as A
 from tests.conftest import SF
 
@@ -153,7 +153,6 @@ def test_read_models(spark):
     assert p.status == 200 and p.frames["aliases"].count() == 1 and p.frames["linked_evidence"].count() > 0
     assert readmodels.person_profile(full | {"person_cluster_members": seen.limit(0)}, case, 1).code == "person_not_in_case"
     assert readmodels.case_indicators(s, case).widgets == {"dedupe_indicators": "missing_dedupe_tables", "thread_indicators": "missing_thread_tables"}
-    assert readmodels.route_guard("/cases/1", "analyst", case_exists=False) == (404, "case_not_found") and readmodels.route_guard("/admin", "analyst")[0] == 403 and readmodels.route_guard("/cases", "admin") == (200, "ok")
 
 
 def test_loading(spark, tmp_path):
@@ -242,6 +241,41 @@ def test_document_pages(spark):
     assert got["s", 1].quality_flags == ["empty_text", "ocr_error"] and got["m", 1].quality_flags == ["low_text"]
 
 
+def test_page_batches(spark):
+    plan = spark.createDataFrame([("f", p) for p in (0, 1, 2, 4, 5, 9)] + [("g", 3)], "file_id string, page_index int")
+    got = {(r.file_id, r.page_index): r.batch for r in ingest.page_batches(plan, 2).collect()}
+    assert got == {("f", 0): 0, ("f", 1): 0, ("f", 2): 1, ("f", 4): 2, ("f", 5): 2, ("f", 9): 3, ("g", 3): 0}
+
+
+def test_named_entities_raise_scores(spark):
+    rows = spark.createDataFrame([("c1", "x" * 60), ("c2", "fails " * 12), ("c3", None)], "chunk_id string, text string")
+
+    def counter(text):
+        if text.startswith("fails"):
+            raise ImportError
+        return {"PERSON": 2, "DATE": 1} if text else {}
+
+    plain = {r.chunk_id: r.score for r in triage.triaged(rows).collect()}
+    got = {r.chunk_id: r for r in triage.triaged(triage.with_entities(rows, counter)).collect()}
+    # A run of one character costs 0.1 of the 0.18 that a person and a date give.
+    assert round(got["c1"].score, 9) == 0.08 and plain["c1"] == 0.0 and got["c1"].ner == {"PERSON": 2, "DATE": 1}
+    assert got["c2"].ner is None and got["c2"].score == plain["c2"] and got["c3"].score == plain["c3"]
+    assert all(r.ner is None for r in triage.with_entities(rows).collect())  # no library here
+
+
+def test_shell():
+    assert shell.resolve("cases/A:1/people/7/?x=1") == (200, "ok", "person_profile", {"case_id": "A:1", "person_id": "7"}) and shell.resolve("/admin").code == shell.resolve("").code == "not_found"
+    assert [shell.guard("/cases/1/timeline", *a).code for a in (("guest",), ("admin", False), ("admin", True, False), ("analyst",))] == ["forbidden", "case_not_found", "resource_not_found", "ok"]
+    assert shell.guard("/nowhere", "guest").status == 404 and shell.guard("/cases", "admin", False, False).status == 200
+    f = shell.parse_filters("/cases?case_id_norm= A%3A1 &person_id=-3&date_start=2024-01-01&confidence_min=0.25")
+    assert (f.case_id, f.person_id, f.date_start, f.date_end, f.confidence_min) == ("A:1", None, "2024-01-01", None, 0.25)
+    assert shell.serialize_filters(f) == "case_id_norm=A%3A1&date_start=2024-01-01&confidence_min=0.25" and shell.parse_filters(shell.serialize_filters(f)) == f
+    assert shell.parse_filters("confidence_min=nan").confidence_min is None and shell.parse_filters(None) == shell.Filters() and shell.serialize_filters(shell.Filters(confidence_min=0.0)) == "confidence_min=0"
+    assert shell.navigation(" ")[1] == ("People", "/cases", False) and shell.navigation("B", f)[1] == ("People", "/cases/A:1/people?" + shell.serialize_filters(f), True)
+    w = [shell.widget_error("w", "c"), shell.Widget("v", "empty"), shell.Widget("u", "ready")]
+    assert w[0].error_code == "widget_data_unavailable" and shell.health(w) == {"total": 3, "loading": 0, "empty": 1, "errors": 1, "partial_failure": True}
+
+
 def test_route_model(spark):
     rows = spark.createDataFrame([(1, "skip", "blank blank page"), (2, "skip", "blank page"), (3, "llm_large", "long story here"), (4, "llm_large", "story long")], "row_id long, label string, text string")
     v = routeml.vocabulary(rows, 10, 2)
