@@ -52,5 +52,46 @@ def logistic(x: np.ndarray, y: np.ndarray, l2: float = 1.0, steps: int = 25, wei
     return w
 
 
+def logistic_sparse(row: np.ndarray, col: np.ndarray, val: np.ndarray, width: int, y: np.ndarray, l2: float = 1.0, steps: int = 25, weight: np.ndarray | None = None) -> np.ndarray:
+    """As logistic(), of the values val at (row, col) and 0 elsewhere; Newton's equations are solved by conjugate gradients, so no matrix is formed."""
+    n = len(y)
+    row, col, val = np.append(row, np.arange(n)), np.append(col, np.full(n, width)), np.append(val, np.ones(n))
+    weight = np.ones(n) if weight is None else weight
+    ridge = np.full(width + 1, l2)
+    ridge[-1] = 1e-6
+    times = lambda w: np.bincount(row, val * w[col], minlength=n)
+    back = lambda r: np.bincount(col, val * r[row], minlength=width + 1)
+    w = np.zeros(width + 1)
+    loss = np.inf
+    for _ in range(steps):
+        p = sigmoid(times(w))
+        grad, h = back(weight * (p - y)) + ridge * w, weight * p * (1 - p)
+        scale = 1 / (np.bincount(col, val * val * h[row], minlength=width + 1) + ridge + 1e-9)
+        step, rest = np.zeros(width + 1), grad
+        to = scale * rest
+        rz = rest @ to
+        enough = 1e-6 * rz
+        for _ in range(500):
+            if rz <= enough:
+                break
+            bent = back(h * times(to)) + (ridge + 1e-9) * to
+            a = rz / (to @ bent)
+            step, rest = step + a * to, rest - a * bent
+            near = scale * rest
+            rz, was = rest @ near, rz
+            to = near + rz / was * to
+        size = 1.0
+        while size > 1e-4:
+            z = times(new := w - size * step)
+            now = float(weight @ (np.logaddexp(0, z) - y * z) + 0.5 * ridge @ new**2)
+            if now <= loss:
+                break
+            size /= 2
+        if size <= 1e-4 or loss - now < 1e-9 * max(1.0, abs(now)):
+            break
+        w, loss = new, now
+    return w
+
+
 def sigmoid(z: np.ndarray) -> np.ndarray:
     return 0.5 * (1.0 + np.tanh(0.5 * np.asarray(z, np.float64)))

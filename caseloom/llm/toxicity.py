@@ -3,10 +3,12 @@
 Categories are predicted one after another; a category's linear model sees the text's features and the probabilities of the
 categories before it. In training those come from models that haven't seen the document (out-of-fold), as they will in use.
 The chain is abusive (a term of abuse occurs), severe (many do), toxic (the label itself). The terms are not a given list:
-they are the words that labelled toxic documents have far more often than others.
+they are the words, and beginnings and ends of words, that labelled toxic documents have far more often than others. Parts of
+words stand for compounds each of which is rare.
 
 Fitted on at most PER_CLASS labelled documents of each class, those with the smallest hashes of their ids; everything else is
-by the whole text of all documents. Features: which of the VOCABULARY most telling words occur, and number and share of terms.
+by the whole text of all documents. Features: the share of each telling word or part (all of them: the least number of documents
+is the same for a language with few), and number and share of terms.
 The threshold is the lowest whose out-of-fold precision is PRECISION, or else the best by F1.
 
 Null and empty texts have no words and get the models' base rates. Documents with contradicting labels, null labels or ids aren't
@@ -24,14 +26,16 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import table, written
-from caseloom.llm.linear import logistic, sigmoid
+from caseloom.llm.common import map_slices, table, written
+from caseloom.llm.linear import logistic_sparse, sigmoid
 
 CHAIN = ("abusive", "severe", "toxic")
-PER_CLASS, VOCABULARY, FOLDS, PRECISION = 3000, 200, 3, 0.97
-#: A word's least share of the toxic documents, and least z-score of its difference; how much more likely it is there if a
-#: term; terms that make a text severe.
-SUPPORT, Z, ODDS, SEVERE = 0.05, 5.0, 8.0, 3
+PER_CLASS, FOLDS, PRECISION = 3000, 3, 0.97
+#: A word's or part's least number of documents of the class it tells, and least z-score of its difference; how much larger its share of the
+#: words is there if a term; terms that make a text severe.
+LEAST, Z, ODDS, SEVERE = 5, 5.0, 8.0, 3
+#: Lengths of parts. Longer ones count by the part they begin or end with.
+PARTS = range(4, 8)
 
 _WORD = re.compile(r"[^\W\d_]+")
 
@@ -40,6 +44,30 @@ def tokens(text: str | None) -> list[str]:
     return _WORD.findall(text.lower()) if text else []
 
 
+def units(word: str) -> list[str]:
+    """The word, its beginnings ("abcd-") and ends ("-abcd"); a word's letters are never "-"."""
+    inner = [n for n in PARTS if n < len(word)]
+    return [word, *(f"{word[:n]}-" for n in inner), *(f"-{word[-n:]}" for n in inner)]
+
+
+def _within(unit: str) -> list[str]:
+    """The parts that each word with this unit has as well."""
+    body = unit.strip("-")
+    inner = [n for n in PARTS if n < len(body)]
+    heads = [] if unit[0] == "-" else [f"{body[:n]}-" for n in inner]
+    return heads + ([] if unit[-1] == "-" else [f"-{body[-n:]}" for n in inner])
+
+
+def telling(z: dict[str, float]) -> list[str]:
+    """Without words and parts that a more telling part stands for, and parts that say no more than a longer one does."""
+    out = set(z)
+    for u in z:
+        for part in _within(u):
+            if part in z and (z[part] > 0) == (z[u] > 0):
+                out.discard(u if abs(z[part]) > abs(z[u]) else part)
+    return sorted(out, key=lambda u: (-abs(z[u]), u))
+
+
 @dataclass
 class Model:
     vocabulary: dict[str, int] = field(default_factory=dict)
@@ -48,29 +76,46 @@ class Model:
     weights: list[np.ndarray] = field(default_factory=list)
     threshold: float = 2.0
 
-    def features(self, counts: Counter) -> np.ndarray:
-        x = np.zeros(len(self.vocabulary) + 2)
-        terms = 0
-        for w in self.vocabulary.keys() & counts.keys():
-            x[self.vocabulary[w]] = 1.0
-            terms += counts[w] if w in self.terms else 0
-        x[-2] = np.log1p(terms)
-        x[-1] = 100.0 * terms / max(1, sum(counts.values()))
-        x[-1] = min(x[-1], 20.0) / 4.0
-        return x
-
-    def n_terms(self, counts: Counter) -> int:
-        return sum(counts[w] for w in self.terms & counts.keys())
-
-    def predict(self, x: np.ndarray) -> np.ndarray:
+    def __post_init__(self) -> None:
+        least = PARTS[0]
+        self.heads = frozenset(u[:least] for u in self.vocabulary if u[-1] == "-")
+        self.tails = frozenset(u[-least:] for u in self.vocabulary if u[0] == "-")
+
+    @property
+    def width(self) -> int:
+        return len(self.vocabulary) + 2
+
+    def features(self, counts: Counter) -> tuple[list[int], list[float], int]:
+        """Places and values of the features that are not 0, and the number of terms."""
+        found: Counter = Counter()
+        terms, size = 0, max(1, sum(counts.values()))
+        least = PARTS[0]
+        for w, n in counts.items():
+            # Most words have no part of the vocabulary: they are known by their first and last letters.
+            if w in self.vocabulary or w[:least] in self.heads or w[-least:] in self.tails:
+                has = [u for u in units(w) if u in self.vocabulary]
+                for u in has:
+                    found[u] += n
+                terms += n if not self.terms.isdisjoint(has) else 0
+        share = 100.0 * terms / size
+        at = [self.vocabulary[u] for u in found] + [self.width - 2, self.width - 1]
+        return at, [*np.log1p([100.0 * n / size for n in found.values()]).tolist(), float(np.log1p(terms)), min(share, 20.0) / 4.0], terms
+
+    def predict(self, found: list[tuple[list[int], list[float], int]]) -> np.ndarray:
         """Probabilities (rows, categories) down the chain."""
-        done = np.zeros((len(x), 0))
+        row, col, val = _triples(found)
+        done = np.zeros((len(found), 0))
         for w in self.weights:
-            p = sigmoid(np.hstack([x, done, np.ones((len(x), 1))]) @ w)
-            done = np.hstack([done, p[:, None]])
+            z = np.bincount(row, val * w[col], minlength=len(found)) + done @ w[self.width : -1] + w[-1]
+            done = np.hstack([done, sigmoid(z)[:, None]])
         return done
 
 
+def _triples(found: list) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    row = np.repeat(np.arange(len(found)), [len(f[0]) for f in found])
+    return row, np.array([c for f in found for c in f[0]], np.int64), np.array([v for f in found for v in f[1]], np.float64)
+
+
 def _labelled(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
     """text, toxic, h of the sample."""
     agreed = labels.where("doc_id IS NOT NULL AND toxic IS NOT NULL").groupBy("doc_id").agg(F.min("toxic").alias("toxic"), F.max("toxic").alias("most")).where("toxic = most")
@@ -81,44 +126,58 @@ def _labelled(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
-    @F.arrow_udf("array<string>")
-    def words_of(texts: pa.Array) -> pa.Array:
-        return pa.array([sorted(set(tokens(x.as_py()))) for x in texts], pa.list_(pa.string()))
+    def units_of(batch: pa.RecordBatch) -> pa.RecordBatch:
+        toxic, unit, ppm = [], [], []
+        for t, x in zip(batch["toxic"].to_pylist(), batch["text"]):
+            words, n = Counter(tokens(x.as_py())), Counter()
+            for w, k in words.items():
+                for u in units(w):
+                    n[u] += k
+            size = sum(words.values())
+            toxic += [t] * len(n)
+            unit += n
+            ppm += [k * 1_000_000 // size for k in n.values()]
+        return pa.RecordBatch.from_arrays([pa.array(toxic, pa.int32()), pa.array(unit, pa.string()), pa.array(ppm, pa.int64())], names=["toxic", "unit", "ppm"])
 
     sample = written(_labelled(docs, labels, per_class))
     size = {r.toxic: r["count"] for r in sample.groupBy("toxic").count().collect()}
     n, p = size.get(0, 0), size.get(1, 0)
     if not n or not p:
         return Model()
-    seen = sample.select("toxic", F.explode(words_of("text")).alias("word")).groupBy("word").agg(F.sum("toxic").alias("p"), F.count("*").alias("all"))
-    seen = seen.withColumn("n", F.col("all") - F.col("p")).where(F.col("p") >= max(2.0, SUPPORT * p))
+    seen = map_slices(sample.select("toxic", "text"), units_of, "toxic int, unit string, ppm bigint").groupBy("unit")
+    seen = seen.agg(F.sum("toxic").alias("p"), F.count("*").alias("all"), F.sum(F.col("toxic") * F.col("ppm")).alias("p_ppm"), F.sum("ppm").alias("ppm")).withColumn("n", F.col("all") - F.col("p"))
     share = F.col("all") / (p + n)
-    z = (F.col("p") / p - F.col("n") / n) / F.sqrt(share * (1 - share + 1e-6) * (1 / p + 1 / n))
-    words = seen.withColumn("z", F.abs(z)).where(F.col("z") >= Z).orderBy(F.desc("z"), "word").limit(VOCABULARY).collect()
-    odds = lambda r: ((r.p + 0.5) / (p + 1)) / ((r.n + 0.5) / (n + 1))
-    model = Model({r.word: i for i, r in enumerate(words)}, frozenset(r.word for r in words if odds(r) >= ODDS))
-
-    @F.arrow_udf("array<double>")
+    more = F.col("p") / p - F.col("n") / n
+    # With the correction for continuity: few documents tell less than the normal law says.
+    z = F.signum(more) * F.greatest(F.abs(more) - 0.5 * (1 / p + 1 / n), F.lit(0.0)) / F.sqrt(share * (1 - share + 1e-6) * (1 / p + 1 / n))
+    words = {r.unit: r for r in seen.withColumn("z", z).where((F.col("z") >= Z) & (F.col("p") >= LEAST) | (F.col("z") <= -Z) & (F.col("n") >= LEAST)).collect()}
+    kept = telling({u: r.z for u, r in words.items()})
+    odds = lambda r: ((r.p_ppm + 1000) / (p + 1)) / ((r.ppm - r.p_ppm + 1000) / (n + 1))
+    model = Model({u: i for i, u in enumerate(kept)}, frozenset(u for u in kept if odds(words[u]) >= ODDS))
+
+    @F.arrow_udf("at array<int>, value array<double>, n_terms int")
     def features_of(texts: pa.Array) -> pa.Array:
-        return pa.array([[*model.features(c := Counter(tokens(x.as_py()))).tolist(), float(model.n_terms(c))] for x in texts], pa.list_(pa.float64()))
-
-    rows = sample.select("toxic", "h", features_of("text").alias("x")).collect()
-    rows.sort(key=lambda r: (r.h, r.toxic, r.x))
-    x = np.array([r.x[:-1] for r in rows])
-    count = np.array([r.x[-1] for r in rows])
+        found = [model.features(Counter(tokens(x.as_py()))) for x in texts]
+        kinds = (pa.list_(pa.int32()), pa.list_(pa.float64()), pa.int32())
+        return pa.StructArray.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], names=["at", "value", "n_terms"])
+
+    rows = sample.select("toxic", "h", features_of("text").alias("x")).select("toxic", "h", "x.*").collect()
+    rows.sort(key=lambda r: (r.h, r.toxic, r.at, r.value))
+    row, col, val = _triples([(r.at, r.value) for r in rows])
+    count = np.array([r.n_terms for r in rows])
     y = {"abusive": count >= 1, "severe": count >= SEVERE, "toxic": np.array([r.toxic for r in rows]) > 0}
     fold = np.array([r.h % FOLDS for r in rows])
-    done = np.zeros((len(x), 0))
-    for category in CHAIN:
+    for k, category in enumerate(CHAIN):
         t = y[category].astype(np.float64)
-        seen_by = np.hstack([x, done])
-        out = np.full(len(x), t.mean())
-        for k in range(FOLDS):
-            if (fold == k).any() and len(set(t[fold != k])) == 2:
-                w = logistic(seen_by[fold != k], t[fold != k], l2=0.3)
-                out[fold == k] = sigmoid(np.hstack([seen_by[fold == k], np.ones(((fold == k).sum(), 1))]) @ w)
-        model.weights.append(logistic(seen_by, t, l2=0.3))
-        done = np.hstack([done, out[:, None]])
+        width = model.width + k
+        out = np.full(len(rows), t.mean())
+        for f in range(FOLDS):
+            if (fold == f).any() and len(set(t[fold != f])) == 2:
+                w = logistic_sparse(row, col, val, width, t, l2=0.3, weight=(fold != f).astype(np.float64))
+                z = np.bincount(row, val * w[col], minlength=len(rows)) + w[-1]
+                out[fold == f] = sigmoid(z[fold == f])
+        model.weights.append(logistic_sparse(row, col, val, width, t, l2=0.3))
+        row, col, val = np.append(row, np.arange(len(rows))), np.append(col, np.full(len(rows), width)), np.append(val, out)
     order = np.argsort(-out, kind="stable")
     truth = y["toxic"][order]
     hits, tried = np.cumsum(truth), np.arange(1, len(truth) + 1)
@@ -135,10 +194,10 @@ def with_toxicity(docs: DataFrame, model: Model) -> DataFrame:
 
     @F.arrow_udf("p_abusive double, p_severe double, p_toxic double, toxic boolean, n_terms int")
     def score(texts: pa.Array) -> pa.Array:
-        counts = [Counter(tokens(x.as_py())) for x in texts]
-        p = model.predict(np.array([model.features(c) for c in counts]).reshape(len(counts), -1)) if model.weights else np.zeros((len(counts), len(CHAIN)))
+        found = [model.features(Counter(tokens(x.as_py()))) for x in texts]
+        p = model.predict(found) if model.weights else np.zeros((len(found), len(CHAIN)))
         cols = [pa.array(p[:, k]) for k in range(len(CHAIN))]
-        cols += [pa.array(p[:, -1] >= model.threshold), pa.array([model.n_terms(c) for c in counts], pa.int32())]
+        cols += [pa.array(p[:, -1] >= model.threshold), pa.array([f[2] for f in found], pa.int32())]
         return pa.StructArray.from_arrays(cols, names=["p_abusive", "p_severe", "p_toxic", "toxic", "n_terms"])
 
     return docs.withColumn("toxicity", score(F.col("text")))

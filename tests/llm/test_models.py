@@ -50,6 +50,17 @@ def test_toxicity_generalises(spark):
     assert flagged and sum(test[i] for i in flagged) / len(flagged) > 0.9
 
 
+def test_toxicity_in_each_language(spark):
+    large = SF.replace("sf0.001", "sf0.1")
+    docs, labels = spark.read.parquet(f"{large}/documents.parquet"), spark.read.parquet(f"{large}/labels.parquet")
+    model = toxicity.learn(docs, labels.where("doc_id % 3 <> 0"))
+    got = toxicity.with_toxicity(docs, model).join(labels.where("doc_id % 3 = 0 AND toxic IS NOT NULL").withColumnRenamed("toxic", "label"), "doc_id").select("lang", "label", "toxicity.toxic").collect()
+    assert sum(r.label for r in got if r.toxic) / sum(r.toxic for r in got) > 0.9
+    assert sum(r.toxic for r in got if r.label) / sum(r.label for r in got) > 0.9
+    for lang in {r.lang for r in got}:
+        assert sum(r.toxic for r in got if r.label and r.lang == lang) / sum(r.label for r in got if r.lang == lang) > 0.8, lang
+
+
 def test_toxicity_edges(spark):
     docs = spark.createDataFrame([(1, None, 1), (None, "", 2), (2, "a bad word " * 20_000, 3)], "doc_id long, text string, toxic int")
     labels = spark.createDataFrame([(1, None), (None, 1), (2, 1), (2, 0)], "doc_id long, toxic int")
