@@ -4,7 +4,8 @@ A page is read into text leaves, each with its path of tags from the root. Over
 punctuation are summed; the ratios to the number of leaves are smoothed along the page, fused into one score, and
 a threshold relative to the page's own mean selects paths. Elements that say what they are (menus, headers, footers, sidebars, forms,
 notices, adverts, reader comments: by tag, role, class or id) have score zero. What stands between the selected paths,
-below their common ancestor, is content as well, so short headings and paragraphs stay.
+below their common ancestor, is content as well, so short headings and paragraphs stay. A link belongs to the path of its block if
+that is prose (a paragraph, a heading), or if the block, or the list or table it is in, has words outside of links as well.
 
 The whole page is read in linear time; unclosed and stray tags, quotes and comments are as browsers would roughly have them.
 Null and empty pages, and pages without any text, give an empty text. White space is what Unicode says it is.
@@ -40,12 +41,16 @@ ASIDE_WORDS = frozenset(
     "breadcrumb breadcrumbs pagination pager footer header masthead topbar comment comments disqus replies respond share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay widget toolbar search complementary contentinfo".split()
 )
 MAIN_WORDS = frozenset("content main article post story entry body text".split())
+#: Blocks whose links are always part of their text; what groups items.
+PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
+LISTS = frozenset("ul ol menu dl table".split())
 KEPT_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p li blockquote pre td th dd dt figcaption article main".split())
 
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>\"']*+(?:\"[^\"]*\"[^>\"']*+|'[^']*'[^>\"']*+)*+)>")
 _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 _WORDS = re.compile("[a-z]+")
+_SAYS = re.compile(r"[^\W_]")
 _PUNCT = re.compile(r"[.,;:!?…。，、；：！？]")
 _END = {t: re.compile(f"</{t}(?=[\\s/>])", re.I) for t in RAW}
 
@@ -54,7 +59,7 @@ NEIGHBOUR, THRESHOLD = 0.25, 0.3
 
 
 class _Element:
-    __slots__ = ("tag", "path", "aside", "named", "article")
+    __slots__ = ("tag", "path", "aside", "named", "article", "block", "items", "prose", "link", "says")
 
     def __init__(self, tag: str, parent: _Element | None, attrs: str) -> None:
         self.tag = tag
@@ -66,12 +71,23 @@ class _Element:
             words = {w for m in _ATTR.finditer(attrs) for w in _WORDS.findall((m[2] or m[3] or m[4] or "").lower())}
             self.named = bool(words & ASIDE_WORDS) and not words & MAIN_WORDS
         base = parent.path if parent else ()
-        self.path = base if tag in INLINE and tag != "a" else (*base, tag)
+        inline = tag in INLINE
+        self.path = base if inline else (*base, tag)
+        #: The nearest block and list, whether in prose or a link; of blocks and lists, whether they have words outside of links.
+        self.block = parent.block if inline and parent else self
+        self.items = self if tag in LISTS or not parent else parent.items
+        self.prose = tag in PROSE or bool(parent and parent.prose)
+        self.link = tag == "a" or inline and bool(parent and parent.link)
+        self.says = False
+
+    def running(self) -> bool:
+        """A link's words are part of a text."""
+        return self.prose or self.block.says or self.items.tag != "" and self.items.says
 
 
 def leaves(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
     """Text leaves in page order: path, whether not article by tag, by name, and the text (a space at each end of a block)."""
-    out: list[tuple[tuple[str, ...], bool, bool, str]] = []
+    out: list[tuple[_Element, str]] = []
     stack: list[_Element] = [_Element("", None, "")]
     stack[0].path = ()
     at, n = 0, len(page)
@@ -80,12 +96,13 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
     def text(s: str) -> None:
         if s:
             e = stack[-1]
-            out.append((e.path, e.aside, e.named, html.unescape(s) if "&" in s else s))
+            out.append((e, s := html.unescape(s) if "&" in s else s))
+            if not (e.link or e.block.says and e.items.says) and _SAYS.search(s):
+                e.block.says = e.items.says = True
 
     def gap() -> None:
-        if out and not out[-1][3].endswith(" "):
-            e = stack[-1]
-            out.append((e.path, e.aside, e.named, " "))
+        if out and not out[-1][1].endswith(" "):
+            out.append((stack[-1], " "))
 
     while at < n:
         lt = page.find("<", at)
@@ -147,7 +164,7 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
             continue
         if len(stack) < 256:  # deeper elements count as part of the one at this depth
             stack.append(_Element(tag, stack[-1], m[3]))
-    return out
+    return [((*e.path, "a") if e.link and not e.running() else e.path, e.aside, e.named, s) for e, s in out]
 
 
 def _common(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[str, ...]:
@@ -189,7 +206,10 @@ def main_text(page: str | None) -> str:
             root = _common(root, p)
     inside = root and root[-1] not in ("html", "body")
     kept = {p for p in paths if p in chosen or p[: len(root)] == root and (inside or p[-1:] and p[-1] in KEPT_BLOCKS)}
-    return " ".join("".join(s if path in kept or not s.strip() else " " for path, _, _, s in use).split())
+    # What is not a link and stands between selected texts stays even where the paths meet only at the page's body.
+    at = [i for i, x in enumerate(use) if x[0] in chosen and x[3].strip()]
+    between = lambda i, p: at[0] < i < at[-1] and p[: len(root)] == root and p[-1:] != ("a",)
+    return " ".join("".join(s if path in kept or not s.strip() or between(i, path) else " " for i, (path, _, _, s) in enumerate(use)).split())
 
 
 def with_main_text(pages: DataFrame) -> DataFrame:

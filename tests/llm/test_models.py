@@ -92,6 +92,13 @@ def test_main_text_of_pages(spark):
         assert html_text.main_text(r.html) == want
 
 
+def test_main_text_without_container():
+    long = "This paragraph is long enough to be chosen, and it has commas, as running text does; it goes on for a while."
+    body = f"<h1>A <a href=h>headline</a></h1><p>{long}</p><p>See the <a href=x><b>report</b></a> for more, it says.</p><div>A note.</div><ul><li>Read <a href=y>this</a> too</ul><p>{long}</p><blockquote><a href=z>Quoted source</a></blockquote>"
+    page = f"<html><body><ul><li><a href=1>Home</a></li><li><a href=2>About</a></li></ul>{body}<div><a href=3>Imprint</a> <a href=4>Contact</a></div></body></html>"
+    assert html_text.main_text(page) == f"A headline {long} See the report for more, it says. A note. Read this too {long} Quoted source"
+
+
 def test_main_text_edges(spark):
     assert [html_text.main_text(x) for x in (None, "", "   ", "<br>", "plain text", "<p>a", "< 5 & <b>6</b>", "<p class='x>open")] == ["", "", "", "", "plain text", "a", "< 5 & 6", "open"]
     for bad in ("<" * 200_000, "<!--" * 50_000, "<a x='" * 50_000, "<p>" * 100_000, "<b>" * 100_000, "<script>" * 50_000, "&" * 100_000):
