@@ -7,7 +7,7 @@ notices, adverts, reader comments: by tag, role, class or id) have score zero. W
 below their common ancestor, is content as well, so short headings and paragraphs stay. A link belongs to the path of its block if
 that is prose (a paragraph, a heading), or if the block, or the list or table it is in, has words outside of links as well.
 
-The whole page is read in linear time; unclosed and stray tags, quotes and comments are as browsers would roughly have them.
+The whole page is read in linear time, however deep its elements are; unclosed and stray tags, quotes and comments are as browsers would roughly have them.
 Null and empty pages, and pages without any text, give an empty text. White space is what Unicode says it is.
 Repeated rows get equal results.
 """
@@ -17,6 +17,7 @@ from __future__ import annotations
 import html
 import math
 import re
+from collections.abc import Iterable
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -29,6 +30,8 @@ VOID = frozenset("area base br col embed hr img input link meta param source tra
 RAW = frozenset("script style noscript template iframe svg math object canvas textarea title select datalist".split())
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img label".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
+#: A paragraph outside of these is not ended by what is inside.
+HOLDS_P = frozenset("button td th caption table object html".split())
 #: Elements that a start tag ends, if open below the nearest of those after the bar.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -58,11 +61,22 @@ _END = {t: re.compile(f"</{t}(?=[\\s/>])", re.I) for t in RAW}
 NEIGHBOUR, THRESHOLD = 0.25, 0.3
 
 
+class _Path:
+    """Tags from the root, each path once on a page; `order` is its place among them, after its parent's."""
+
+    __slots__ = ("tag", "parent", "below", "order", "article")
+
+    def __init__(self, tag: str, parent: _Path | None, order: int) -> None:
+        self.tag, self.parent, self.order = tag, parent, order
+        self.below: dict[str, _Path] = {}
+        self.article = tag in ("article", "main") or bool(parent and parent.article)
+
+
 class _Element:
     __slots__ = ("tag", "path", "aside", "named", "article", "block", "items", "prose", "link", "says")
 
-    def __init__(self, tag: str, parent: _Element | None, attrs: str) -> None:
-        self.tag = tag
+    def __init__(self, tag: str, parent: _Element | None, attrs: str, path: _Path) -> None:
+        self.tag, self.path = tag, path
         self.article = tag in ("article", "main") or bool(parent and parent.article)
         self.aside = bool(parent and parent.aside) or tag in ASIDE_TAGS or tag == "header" and not self.article
         # What only its name speaks against is told apart: if nothing else is left on the page, it stays.
@@ -70,9 +84,7 @@ class _Element:
         if attrs and tag not in ("html", "body", "main", "article") and not (self.aside or self.named):
             words = {w for m in _ATTR.finditer(attrs) for w in _WORDS.findall((m[2] or m[3] or m[4] or "").lower())}
             self.named = bool(words & ASIDE_WORDS) and not words & MAIN_WORDS
-        base = parent.path if parent else ()
         inline = tag in INLINE
-        self.path = base if inline else (*base, tag)
         #: The nearest block and list, whether in prose or a link; of blocks and lists, whether they have words outside of links.
         self.block = parent.block if inline and parent else self
         self.items = self if tag in LISTS or not parent else parent.items
@@ -85,12 +97,27 @@ class _Element:
         return self.prose or self.block.says or self.items.tag != "" and self.items.says
 
 
-def leaves(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
-    """Text leaves in page order: path, whether not article by tag, by name, and the text (a space at each end of a block)."""
+def leaves(page: str) -> tuple[list[tuple[_Path, bool, bool, str]], list[_Path]]:
+    """Text leaves in page order: path, whether not article by tag, by name, and the text (a space at each end of a block); all paths by `order`."""
     out: list[tuple[_Element, str]] = []
-    stack: list[_Element] = [_Element("", None, "")]
-    stack[0].path = ()
+    paths = [_Path("", None, 0)]
+    stack: list[_Element] = [_Element("", None, "", paths[0])]
+    #: Where in the stack the elements of each tag are, so that none is searched for.
+    places: dict[str, list[int]] = {}
     at, n = 0, len(page)
+
+    def below(path: _Path, tag: str) -> _Path:
+        if tag not in path.below:
+            paths.append(path.below.setdefault(tag, _Path(tag, path, len(paths))))
+        return path.below[tag]
+
+    def nearest(tags: Iterable[str]) -> int:
+        return max((places[t][-1] for t in tags if places.get(t)), default=0)
+
+    def end_from(k: int) -> None:
+        while len(stack) > k:
+            places[stack.pop().tag].pop()
+
     broken = False  # no comment is closed from here on
 
     def text(s: str) -> None:
@@ -134,10 +161,8 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
         if tag not in INLINE:
             gap()
         if m[1]:
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == tag:
-                    del stack[k:]
-                    break
+            if k := nearest((tag,)):
+                end_from(k)
             continue
         if tag in VOID:
             continue
@@ -147,41 +172,39 @@ def leaves(page: str) -> list[tuple[tuple[str, ...], bool, bool, str]]:
                 close = page.find(">", end.end()) if end else -1
                 at = n if close < 0 else close + 1
             continue
-        if tag in CLOSES_P and any(e.tag == "p" for e in stack[-8:]):
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag == "p":
-                    del stack[k:]
-                    break
-        if tag in ENDS:
-            ended, within = ENDS[tag]
-            for k in range(len(stack) - 1, 0, -1):
-                if stack[k].tag in within:
-                    break
-                if stack[k].tag in ended:
-                    del stack[k:]
-                    break
+        if tag in CLOSES_P and (k := nearest(("p",))) > nearest(HOLDS_P):
+            end_from(k)
+        if tag in ENDS and (k := nearest(ENDS[tag][0])) > nearest(ENDS[tag][1]):
+            end_from(k)
         if m[3].endswith("/") and tag in INLINE:
             continue
-        if len(stack) < 256:  # deeper elements count as part of the one at this depth
-            stack.append(_Element(tag, stack[-1], m[3]))
-    return [((*e.path, "a") if e.link and not e.running() else e.path, e.aside, e.named, s) for e, s in out]
+        up = stack[-1]
+        places.setdefault(tag, []).append(len(stack))
+        stack.append(_Element(tag, up, m[3], up.path if tag in INLINE else below(up.path, tag)))
+    return [(below(e.path, "a") if e.link and not e.running() else e.path, e.aside, e.named, s) for e, s in out], paths
 
 
-def _common(a: tuple[str, ...], b: tuple[str, ...]) -> tuple[str, ...]:
-    k = 0
-    while k < min(len(a), len(b)) and a[k] == b[k]:
-        k += 1
-    return a[:k]
+def _common(found: set[_Path], paths: list[_Path]) -> _Path:
+    """The longest path that all of found begin with."""
+    n = [0] * len(paths)
+    for p in found:
+        n[p.order] = 1
+    for p in reversed(paths):
+        if n[p.order] == len(found):
+            return p
+        if p.parent:
+            n[p.parent.order] += n[p.order]
+    return paths[0]
 
 
 def main_text(page: str | None) -> str:
     if not page:
         return ""
-    found = leaves(page)
+    found, every = leaves(page)
     use = [x for x in found if not x[1] and not x[2]]
     if not any(x[3].strip() for x in use):
         use = [x for x in found if not x[1]]
-    stats: dict[tuple[str, ...], list[int]] = {}
+    stats: dict[_Path, list[int]] = {}
     for path, _, _, s in use:
         if s.strip():
             row = stats.setdefault(path, [0, 0, 0])
@@ -194,21 +217,21 @@ def main_text(page: str | None) -> str:
     ratio = [[stats[p][k] / stats[p][2] for p in paths] for k in (0, 1)]
     smooth = [[(r[i] + NEIGHBOUR * sum(r[j] for j in (i - 1, i + 1) if 0 <= j < len(r))) / (1 + NEIGHBOUR * sum(0 <= j < len(r) for j in (i - 1, i + 1))) for i in range(len(r))] for r in ratio]
     # A path of links is mostly for going elsewhere.
-    score = {p: t * (1 + math.log1p(q)) * (0.25 if p and p[-1] == "a" else 2.0 if "article" in p or "main" in p else 1.0) for p, t, q in zip(paths, *smooth)}
+    score = {p: t * (1 + math.log1p(q)) * (0.25 if p.tag == "a" else 2.0 if p.article else 1.0) for p, t, q in zip(paths, *smooth)}
     chars = sum(v[0] for v in stats.values())
     mean = sum(score[p] * stats[p][0] for p in paths) / chars
     chosen = {p for p in paths if score[p] >= THRESHOLD * mean}
-    best = max(chosen, key=lambda p: (score[p] * stats[p][0], p))
-    strip = lambda p: p[:-1] if p and p[-1] in KEPT_BLOCKS - {"article", "main"} | {"a"} else p
-    root = strip(best)
-    for p in sorted(chosen, key=lambda p: -stats[p][0]):
-        if stats[p][0] >= 0.1 * stats[best][0]:
-            root = _common(root, p)
-    inside = root and root[-1] not in ("html", "body")
-    kept = {p for p in paths if p in chosen or p[: len(root)] == root and (inside or p[-1:] and p[-1] in KEPT_BLOCKS)}
+    best = max(chosen, key=lambda p: (score[p] * stats[p][0], p.order))
+    strip = best.parent if best.tag in KEPT_BLOCKS - {"article", "main"} | {"a"} else best
+    root = _common({strip} | {p for p in chosen if stats[p][0] >= 0.1 * stats[best][0] and p is not best}, every)
+    inside = root.tag not in ("", "html", "body")
+    under = [False] * len(every)
+    for p in every:
+        under[p.order] = p is root or p.parent is not None and under[p.parent.order]
+    kept = {p for p in paths if p in chosen or under[p.order] and (inside or p.tag in KEPT_BLOCKS)}
     # What is not a link and stands between selected texts stays even where the paths meet only at the page's body.
     at = [i for i, x in enumerate(use) if x[0] in chosen and x[3].strip()]
-    between = lambda i, p: at[0] < i < at[-1] and p[: len(root)] == root and p[-1:] != ("a",)
+    between = lambda i, p: at[0] < i < at[-1] and under[p.order] and p.tag != "a"
     return " ".join("".join(s if path in kept or not s.strip() or between(i, path) else " " for i, (path, _, _, s) in enumerate(use)).split())
 
 

@@ -99,6 +99,16 @@ def test_main_text_without_container():
     assert html_text.main_text(page) == f"A headline {long} See the report for more, it says. A note. Read this too {long} Quoted source"
 
 
+def test_main_text_of_deep_pages():
+    for deep in (300, 20_000):
+        nested = "<div>" * deep + PAGE[PAGE.index("<body>") + 6 : PAGE.index("</body>")] + "</div>" * deep
+        assert html_text.main_text(f"<html><body>{nested}<footer>(c) 2024</footer></body></html>") == TEXT
+        inline = PAGE.replace("First paragraph", "<i>" * deep + "First paragraph")
+        assert html_text.main_text(inline) == TEXT
+    both = "<div>" * 300 + "<article><p>Before it, text.</p><div class=ad><div><div>Buy now!</div></div>Really, do.</div><p>After it, text.</p></article>" + "</div>" * 300
+    assert html_text.main_text(both) == "Before it, text. After it, text."
+
+
 def test_main_text_edges(spark):
     assert [html_text.main_text(x) for x in (None, "", "   ", "<br>", "plain text", "<p>a", "< 5 & <b>6</b>", "<p class='x>open")] == ["", "", "", "", "plain text", "a", "< 5 & 6", "open"]
     for bad in ("<" * 200_000, "<!--" * 50_000, "<a x='" * 50_000, "<p>" * 100_000, "<b>" * 100_000, "<script>" * 50_000, "&" * 100_000):
