@@ -27,11 +27,17 @@ from caseloom.llm.common import table
 
 #: Kinds of elements in HTML.
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
-RAW = frozenset("script style noscript template iframe svg math object canvas textarea title select datalist".split())
+RAW = frozenset("script style noscript template iframe textarea title".split())
+#: Elements whose text isn't shown, or not as text; those of them that hold no blocks of text, but for what is in FOREIGN.
+HIDDEN = frozenset("svg math object canvas select datalist option optgroup".split())
+NO_BLOCKS = ("svg", "math", "select", "datalist")
+FOREIGN = ("foreignobject", "desc", "annotation-xml")
+#: What is in these ends nothing outside.
+SCOPES = ("object", "canvas", *FOREIGN)
 INLINE = frozenset("a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd mark q rp rt ruby s samp small span strike strong sub sup time tt u var wbr img label".split())
 CLOSES_P = frozenset("address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split())
 #: A paragraph outside of these is not ended by what is inside.
-HOLDS_P = frozenset("button td th caption table object html".split())
+HOLDS_P = frozenset("button td th caption table html".split()) | {*SCOPES}
 #: Elements that a start tag ends, if open below the nearest of those after the bar.
 ENDS = {
     "li": ({"li"}, {"ul", "ol", "menu"}), "dt": ({"dt", "dd"}, {"dl"}), "dd": ({"dt", "dd"}, {"dl"}), "tr": ({"tr", "td", "th"}, {"table"}), "td": ({"td", "th"}, {"tr", "table"}),
@@ -56,6 +62,7 @@ _WORDS = re.compile("[a-z]+")
 _SAYS = re.compile(r"[^\W_]")
 _PUNCT = re.compile(r"[.,;:!?…。，、；：！？]")
 _END = {t: re.compile(f"</{t}(?=[\\s/>])", re.I) for t in RAW}
+_BOTH = {t: re.compile(f"<(/?){t}(?=[\\s/>])", re.I) for t in ("object", "canvas")}
 
 #: Weights of a path's neighbours in smoothing; the share of the mean score that selects a path.
 NEIGHBOUR, THRESHOLD = 0.25, 0.3
@@ -78,7 +85,7 @@ class _Element:
     def __init__(self, tag: str, parent: _Element | None, attrs: str, path: _Path) -> None:
         self.tag, self.path = tag, path
         self.article = tag in ("article", "main") or bool(parent and parent.article)
-        self.aside = bool(parent and parent.aside) or tag in ASIDE_TAGS or tag == "header" and not self.article
+        self.aside = bool(parent and parent.aside) or tag in ASIDE_TAGS or tag in HIDDEN or tag == "header" and not self.article
         # What only its name speaks against is told apart: if nothing else is left on the page, it stays.
         self.named = bool(parent and parent.named)
         if attrs and tag not in ("html", "body", "main", "article") and not (self.aside or self.named):
@@ -104,6 +111,7 @@ def leaves(page: str) -> tuple[list[tuple[_Path, bool, bool, str]], list[_Path]]
     stack: list[_Element] = [_Element("", None, "", paths[0])]
     #: Where in the stack the elements of each tag are, so that none is searched for.
     places: dict[str, list[int]] = {}
+    with_end: dict[str, set[int]] = {}
     at, n = 0, len(page)
 
     def below(path: _Path, tag: str) -> _Path:
@@ -111,6 +119,17 @@ def leaves(page: str) -> tuple[list[tuple[_Path, bool, bool, str]], list[_Path]]
             paths.append(path.below.setdefault(tag, _Path(tag, path, len(paths))))
         return path.below[tag]
 
+    def ended(tag: str) -> set[int]:
+        """Where those start that have an end tag of their own."""
+        if tag not in with_end:
+            with_end[tag], begun = set(), []
+            for m in _BOTH[tag].finditer(page):
+                if not m[1]:
+                    begun.append(m.start())
+                elif begun:
+                    with_end[tag].add(begun.pop())
+        return with_end[tag]
+
     def nearest(tags: Iterable[str]) -> int:
         return max((places[t][-1] for t in tags if places.get(t)), default=0)
 
@@ -172,9 +191,15 @@ def leaves(page: str) -> tuple[list[tuple[_Path, bool, bool, str]], list[_Path]]
                 close = page.find(">", end.end()) if end else -1
                 at = n if close < 0 else close + 1
             continue
+        if tag in HIDDEN:
+            # One that holds blocks and is never ended would hide what comes after it.
+            if m[3].endswith("/") or tag in SCOPES and lt not in ended(tag):
+                continue
+        if (tag in CLOSES_P or tag in ENDS and tag != "option") and (k := nearest(NO_BLOCKS)) > nearest(FOREIGN):
+            end_from(k)
         if tag in CLOSES_P and (k := nearest(("p",))) > nearest(HOLDS_P):
             end_from(k)
-        if tag in ENDS and (k := nearest(ENDS[tag][0])) > nearest(ENDS[tag][1]):
+        if tag in ENDS and (k := nearest(ENDS[tag][0])) > max(nearest(ENDS[tag][1]), nearest(SCOPES)):
             end_from(k)
         if m[3].endswith("/") and tag in INLINE:
             continue

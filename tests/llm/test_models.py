@@ -109,6 +109,18 @@ def test_main_text_of_deep_pages():
     assert html_text.main_text(both) == "Before it, text. After it, text."
 
 
+def test_main_text_after_unclosed_elements():
+    for tag in ("<select><option>A<option>B", "<svg><path d=x><text>A</text>", "<math><mi>x", "<canvas>", "<object data=x>", "<datalist><option>A"):
+        inside, before = PAGE.replace("<ul><li>One", f"{tag}<ul><li>One"), PAGE.replace("<main>", f"{tag}<main>")
+        assert html_text.main_text(inside) == TEXT and html_text.main_text(before) == TEXT, tag
+        again = before.replace("<p>Second", "<canvas>no</canvas><object>no</object><svg></svg><select></select><p>Second")
+        assert html_text.main_text(again) == TEXT, tag
+        ended = PAGE.replace("<ul><li>One", f"<div>{tag}hidden</div><ul><li>One")
+        assert html_text.main_text(ended) == (TEXT if tag[1] not in "co" else TEXT.replace("One", "hidden One")), tag
+    for whole in ("<select><option>A</select>", "<svg><title>t</title><foreignObject><div>no</div></foreignObject></svg>", "<object><p>no</p></object>", "<canvas><p>no</p></canvas>", "<object><object>no</object><ul><li>no</ul></object>", "<svg viewBox='0'/>"):
+        assert html_text.main_text(PAGE.replace("<ul><li>One", f"{whole}<ul><li>One")) == TEXT, whole
+
+
 def test_main_text_edges(spark):
     assert [html_text.main_text(x) for x in (None, "", "   ", "<br>", "plain text", "<p>a", "< 5 & <b>6</b>", "<p class='x>open")] == ["", "", "", "", "plain text", "a", "< 5 & 6", "open"]
     for bad in ("<" * 200_000, "<!--" * 50_000, "<a x='" * 50_000, "<p>" * 100_000, "<b>" * 100_000, "<script>" * 50_000, "&" * 100_000):
