@@ -30,8 +30,22 @@ class Tree:
         return value[at]
 
 
-def _grow(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, depth: int, l2: float, least: float) -> Tree:
+#: Cuts tried in a feature at most: between all its values, or at its quantiles if it has more.
+BINS = 64
+
+
+def _cuts(v: np.ndarray) -> np.ndarray:
+    values = np.unique(v)
+    if len(values) > BINS:
+        values = np.unique(np.quantile(v, np.linspace(0, 1, BINS)))
+    return (values[1:] + values[:-1]) / 2
+
+
+def _grow(binned: np.ndarray, cuts: list[np.ndarray], grad: np.ndarray, hess: np.ndarray, depth: int, l2: float, least: float) -> Tree:
+    """binned: for each row and feature, how many of the feature's cuts are below the value, plus BINS times the feature's number."""
     t = Tree([], [], [], [], [])
+    width = binned.shape[1]
+    real = np.arange(BINS)[None, :] < np.array([len(c) for c in cuts])[:, None]
 
     def node(rows: np.ndarray, depth: int) -> int:
         g, h = grad[rows].sum(), hess[rows].sum()
@@ -40,28 +54,20 @@ def _grow(x: np.ndarray, grad: np.ndarray, hess: np.ndarray, depth: int, l2: flo
             column.append(v)
         if depth == 0 or len(rows) < 2:
             return me
-        best = (1e-6, -1, 0.0)
-        for f in range(x.shape[1]):
-            v = x[rows, f]
-            order = np.argsort(v, kind="stable")
-            v, gs, hs = v[order], np.cumsum(grad[rows][order]), np.cumsum(hess[rows][order])
-            cut = np.flatnonzero(v[1:] > v[:-1])
-            if not len(cut):
-                continue
-            gl, hl = gs[cut], hs[cut]
-            gain = gl**2 / (hl + l2) + (g - gl) ** 2 / (h - hl + l2) - g**2 / (h + l2)
-            gain[(hl < least) | (h - hl < least)] = 0
-            k = int(np.argmax(gain))
-            if gain[k] > best[0]:
-                best = (float(gain[k]), f, float((v[cut[k]] + v[cut[k] + 1]) / 2))
-        if best[1] >= 0:
-            t.feature[me], t.threshold[me] = best[1], best[2]
-            mask = x[rows, best[1]] <= best[2]
+        at = binned[rows].ravel()
+        gl, hl = (np.bincount(at, np.repeat(v[rows], width), minlength=width * BINS).reshape(width, BINS).cumsum(axis=1) for v in (grad, hess))
+        gain = gl**2 / (hl + l2) + (g - gl) ** 2 / (h - hl + l2) - g**2 / (h + l2)
+        gain[~real | (hl < least) | (h - hl < least)] = 0
+        best = int(gain.argmax())
+        if gain.flat[best] > 1e-6:
+            f, k = divmod(best, BINS)
+            t.feature[me], t.threshold[me] = f, float(cuts[f][k])
+            mask = binned[rows, f] - f * BINS <= k
             t.low[me] = node(rows[mask], depth - 1)
             t.high[me] = node(rows[~mask], depth - 1)
         return me
 
-    node(np.arange(len(x)), depth)
+    node(np.arange(len(binned)), depth)
     return t
 
 
@@ -88,9 +94,11 @@ def boost(x: np.ndarray, y: np.ndarray, trees: int = 60, depth: int = 3, rate: f
     mean = min(max(float(y.mean()), 1e-3), 1 - 1e-3)
     model = Boosted(float(np.log(mean / (1 - mean))), rate, [])
     margin = np.full(len(x), model.start)
+    cuts = [_cuts(x[:, f]) for f in range(x.shape[1])]
+    binned = np.stack([np.searchsorted(c, x[:, f]) + f * BINS for f, c in enumerate(cuts)], axis=1)
     for _ in range(trees):
         p = sigmoid(margin)
-        t = _grow(x, p - y, p * (1 - p), depth, l2, least)
+        t = _grow(binned, cuts, p - y, p * (1 - p), depth, l2, least)
         model.trees.append(t)
         margin += rate * t.predict(x)
     return model
