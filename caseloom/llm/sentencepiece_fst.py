@@ -1,18 +1,24 @@
-"""SentencePiece encoding and decoding with a weighted finite-state transducer.
+"""SentencePiece encoding and decoding with weighted finite-state transducers.
 
-The model file is compiled to a transducer: the normaliser's arcs (escaped spaces, a leading one), an arc for each piece
-from its characters to its id, and byte-fallback arcs for characters that no piece starts from. An input is composed with
-it lazily, one chunk at a time, and the encoding is the shortest path in the tropical semiring.
+The model file is compiled to transducers, each a table of arcs from a state and an input symbol to (output, weight, next state):
 
-Weights. In a unigram model an arc weighs minus its score. In a BPE model scores order merges and don't add up, so states
-also carry the last piece: an arc weighs 0 if merging leaves that piece and the next one apart, else infinity. A sequence
-whose neighbours all stay apart is the merge result, and there is one for each prefix, so a single state lives at each
-position. The ids are those of the SentencePiece library; tests hold them against it.
+* R, the model's rewriting rules, leftmost-longest; the identity if the model has none;
+* W, white space: three states (text's begin, in a word, spaces pending) that drop, join and escape spaces and set one before the text;
+* L, the lexicon: the pieces as a trie, a piece's last arc gives its id and leads back to the root;
+* B, byte fallback: an arc back to the root for each character outside the pieces, giving its bytes' ids (or the unknown one's);
+* G, the grammar. In a unigram model it has one state, and a piece weighs minus its score. In a BPE model scores order merges and don't add
+  up, so a state for each piece: its arc to another piece weighs 0 if merging leaves the two apart, else infinity (there is none).
 
-No piece holds an escaped space after another character, nor a character outside the pieces' alphabet (a newline, say),
-nor (this is looked up in the pieces) a Latin letter or digit before another kind of character; paths through such points can be
-found apart, so chunks between them are cached (twice CACHE of them in a worker at most).
-Null texts are encoded as empty ones: no ids. Very long texts are encoded whole; time is linear in length.
+An input is composed with R, W, L or B, and G, lazily, and its encoding is the output of the shortest path in the tropical semiring. States of
+the composition are (position, last piece); a BPE input has one path of finite weight for each of its prefixes, so one of them is live at each position,
+and arcs into it are read backwards, from L reversed. The ids are those of the SentencePiece library; tests hold them against it.
+
+Where no piece can reach across (before a run of spaces; around a character outside the pieces' alphabet, a newline, say; looked up in
+the pieces: after a Latin letter or digit before another kind of character), every path passes through one state of L, so the segments between such points
+are composed apart. Their paths are remembered by W's state and the segment, twice CACHE of them in a worker at most.
+
+Null texts are encoded as empty ones: no ids. Very long texts are encoded whole; time is linear in length. Repeated rows get equal ids, empty tables give no
+rows. A column named as the one that a function adds (`token_ids`, `decoded`, `token_digest`) is replaced.
 """
 
 from __future__ import annotations
@@ -33,8 +39,8 @@ from caseloom.llm.common import table
 #: The public model's place; a parameter of every function here.
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
-#: Chunks whose shortest path is remembered, and the longest of them.
-CACHE, CACHED_CHARS = 400_000, 32
+#: Segments whose shortest path is remembered, and the longest of them; pairs of pieces whose weight in G is.
+CACHE, CACHED_CHARS, PAIRS = 200_000, 32, 500_000
 #: Latin letters and digits, as a class of a regular expression.
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ0-9"
 
@@ -69,28 +75,77 @@ def _fields(data: bytes) -> Iterator[tuple[int, int | bytes]]:
             at += n
 
 
-class _Chunks(dict):
-    """Shortest paths' output (ids as 4-byte integers) by chunk: those used lately, and those used before."""
+class _Remembered(dict):
+    """Values of `solve` by key: those used lately (`most` of them), and those used before."""
 
-    def __init__(self, solve) -> None:
-        self.solve, self.before = solve, {}
+    def __init__(self, solve, most: int) -> None:
+        self.solve, self.most, self.before = solve, most, {}
 
-    def __missing__(self, chunk: str) -> bytes:
-        made = self.before.get(chunk)
+    def __missing__(self, key):
+        made = self.before.get(key)
         if made is None:
-            made = self.solve(chunk)
-        if len(chunk) <= CACHED_CHARS:
-            if len(self) >= CACHE:
+            made = self.solve(key)
+        if not isinstance(key, str) or len(key) <= CACHED_CHARS:
+            if len(self) >= self.most:
                 self.before = dict(self)
                 self.clear()
-            self[chunk] = made
+            self[key] = made
         return made
 
 
+class Rules:
+    """R: the model's precompiled rules, a double-array trie of UTF-8 keys (in the public format of that structure) and their replacements."""
+
+    def __init__(self, blob: bytes) -> None:
+        size = struct.unpack_from("<I", blob)[0] if blob else 0
+        self.units, self.to = np.frombuffer(blob[4 : 4 + size], "<u4").tolist(), blob[4 + size :]
+
+    def _longest(self, data: bytes, at: int) -> tuple[int, bytes] | None:
+        """End and replacement of the longest key that starts at `at`."""
+        units, found = self.units, None
+        step = lambda u: (u >> 10) << ((u & 512) >> 6)
+        node = step(units[0])
+        for i in range(at, len(data)):
+            node ^= data[i]
+            if node >= len(units) or units[node] & 0x800000FF != data[i]:
+                break
+            leaf = units[node] >> 8 & 1
+            node ^= step(units[node])
+            if leaf:
+                start = units[node] & 0x7FFFFFFF
+                found = i + 1, self.to[start : self.to.index(0, start)]
+        return found
+
+    def apply(self, text: str) -> str:
+        if not self.units:
+            return text
+        data, out, at = text.encode("utf-8", "replace"), [], 0
+        while at < len(data):
+            end, made = self._longest(data, at) or (0, b"")
+            if not end:
+                end = at + (1 if data[at] < 0x80 else 2 if data[at] < 0xE0 else 3 if data[at] < 0xF0 else 4)
+                made = data[at:end]
+            out.append(made)
+            at = end
+        return b"".join(out).decode()
+
+
+#: W's states.
+BEGIN, WORD, GAP = 0, 1, 2
+
+
+def spaces(prefix: bool, squeeze: bool) -> list[tuple[tuple[str, int], tuple[str, int]]]:
+    """W: for each state the arc of a space and that of any other character: (what it gives before the character itself, next state)."""
+    first = SPACE if prefix else ""
+    if squeeze:
+        return [(("", BEGIN), (first, WORD)), (("", GAP), ("", WORD)), (("", GAP), (SPACE, WORD))]
+    return [((first + SPACE, WORD), (first, WORD)), ((SPACE, WORD), ("", WORD)), ((SPACE, WORD), (SPACE, WORD))]
+
+
 class Transducer:
     def __init__(self, model: bytes) -> None:
         self.pieces: list[tuple[str, float, int]] = []
-        self.kind, self.bytes_too, self.prefix, self.squeeze, charsmap = UNIGRAM, False, True, True, b""
+        self.kind, self.bytes_too, self.prefix, self.squeeze, rules = UNIGRAM, False, True, True, b""
         for n, v in _fields(model):
             if n == 1:
                 f = dict(_fields(v))
@@ -100,112 +155,151 @@ class Transducer:
                 self.kind, self.bytes_too = f.get(3, UNIGRAM), bool(f.get(35, 0))
             elif n == 3:
                 f = dict(_fields(v))
-                charsmap, self.prefix, self.squeeze = f.get(2, b""), bool(f.get(3, 1)), bool(f.get(4, 1))
-        if self.kind not in (UNIGRAM, BPE) or charsmap or any(k == USER for _, _, k in self.pieces):
-            raise ValueError("only unigram and BPE models with the identity normaliser and no user-defined symbols are compiled")
-        self.arcs = {p: i for i, (p, _, k) in enumerate(self.pieces) if k == NORMAL}
+                rules, self.prefix, self.squeeze = f.get(2, b""), bool(f.get(3, 1)), bool(f.get(4, 1))
+        if self.kind not in (UNIGRAM, BPE) or any(k == USER for _, _, k in self.pieces):
+            raise ValueError("only unigram and BPE models without user-defined symbols are compiled")
+        self.ids = {p: i for i, (p, _, k) in enumerate(self.pieces) if k == NORMAL}
         self.score = [s for _, s, _ in self.pieces]
+        self.alphabet = set("".join(self.ids))
+        self.rules, self.spaces = Rules(rules), spaces(self.prefix, self.squeeze)
+        self.lexicon = self._compiled(lambda p: p)
+        self.reversed = self._compiled(lambda p: p[::-1])
+        # An unknown character weighs 10 more than the dearest piece (a fixed value of the library).
+        self.other = 10.0 - min((s for _, s, k in self.pieces if k == NORMAL), default=0.0)
         self.unk = next((i for i, (_, _, k) in enumerate(self.pieces) if k == UNKNOWN), 0)
         self.byte = {int(p[3:5], 16): i for i, (p, _, k) in enumerate(self.pieces) if k == BYTE}
-        self.longest = max(map(len, self.arcs), default=1)
-        self.alphabet = set("".join(self.arcs))
-        self.split = re.compile(self._boundaries()).findall
-        #: The pieces backwards, as a trie: arcs into a position are read from their ends.
-        self.ends: dict = {}
-        for p, i in self.arcs.items():
-            node = self.ends
-            for c in reversed(p):
-                node = node.setdefault(c, {})
-            node[""] = i
-        self.apart: dict[tuple[int, int], bool] = {}
-        self.chunk = _Chunks(self._bpe if self.kind == BPE else self._unigram)
+        self.cut = re.compile(self._boundaries()).findall
+        self.merges = _Remembered(self._merges, len(self.pieces))
+        self.apart = _Remembered(self._apart, PAIRS)
+        solve = self._bpe if self.kind == BPE else self._unigram
+        #: By W's state: a segment's ids (4-byte integers) and the state behind it.
+        self.solved = [_Remembered(lambda seg, q=q: self._solved(seg, q, solve), CACHE) for q in (BEGIN, WORD, GAP)]
         #: The inverse transducer's output by id.
         self.said = [bytes([int(p[3:5], 16)]) if k == BYTE else b"" if k == CONTROL else " ⁇ ".encode() if k == UNKNOWN else p.replace(SPACE, " ").encode() for p, _, k in self.pieces]
 
+    def _compiled(self, turned) -> dict:
+        """A trie of the pieces: a state is the dict of its arcs by character; the arc "" gives the piece's id and leads to the root."""
+        root: dict = {}
+        for p, i in self.ids.items():
+            state = root
+            for c in turned(p):
+                state = state.setdefault(c, {})
+            state[""] = i
+        return root
+
     def _boundaries(self) -> str:
-        """A pattern of chunks between which no piece can reach."""
-        if any(SPACE in p.lstrip(SPACE) for p in self.arcs):
+        """A pattern of segments of the text behind R, between which no piece can reach."""
+        if any(SPACE in p.lstrip(SPACE) for p in self.ids):
             return r"(?s).+"
+        gap = f" {SPACE}"
         apart = "".join(c for c in "\n\t\r" if c not in self.alphabet)
-        other = f"[^{SPACE}{apart}]+"
-        if not any(re.search(f"[{LATIN}][^{LATIN}]", p) for p in self.arcs):
-            mark = f"[^{SPACE}{apart}{LATIN}]"
-            other = f"{mark}*[{LATIN}]+|{SPACE}*{mark}+"
-        return f"{SPACE}*{other}|{SPACE}+" + f"|[{apart}]" * bool(apart)
+        other = f"[^{gap}{apart}]+"
+        if not any(re.search(f"[{LATIN}][^{LATIN}]", p) for p in self.ids):
+            mark = f"[^{gap}{apart}{LATIN}]"
+            other = f"{mark}*[{LATIN}]+|[{gap}]*{mark}+"
+        return f"[{gap}]*{other}|[{gap}]+" + f"|[{apart}]" * bool(apart)
 
     def normalise(self, text: str) -> str:
-        if self.squeeze:
-            text = re.sub(" +", " ", text).strip(" ")
-        if not text:
-            return ""
-        return (SPACE if self.prefix else "") + text.replace(" ", SPACE)
+        """The output of R and W."""
+        return self._spaced(self._rewritten(text), BEGIN)[0]
+
+    def _rewritten(self, text: str) -> str:
+        """R's output; where spaces are joined those at the end have no use, nor (as in the library) their escaped forms."""
+        text = self.rules.apply(text)
+        return text.rstrip(f" {SPACE}") if self.squeeze else text
+
+    def _spaced(self, segment: str, state: int) -> tuple[str, int]:
+        """W's output for the segment from a state, and the state behind it."""
+        out = []
+        for c in segment:
+            before, state = self.spaces[state][c != " "]
+            out.append(before if c == " " else before + c)
+        return "".join(out), state
+
+    def _solved(self, segment: str, state: int, solve) -> tuple[bytes, int]:
+        s, state = self._spaced(segment, state)
+        return solve(s), state
 
     def _fallback(self, c: str) -> list[int]:
+        """B's output."""
         return [self.byte[b] for b in c.encode("utf-8", "surrogatepass")] if self.bytes_too else [self.unk]
 
-    def _merged(self, s: str) -> list[str]:
-        """s after all merges: time and again the best-scored neighbours that make a piece, the first of equals."""
-        parts = list(s)
+    def _merges(self, piece: int) -> list[tuple[float, str, str]]:
+        """What merging does inside a piece's characters, in order: the score, then the parts at the left and the right edge."""
+        parts = list(self.pieces[piece][0])
+        out = [(np.inf, parts[0], parts[-1])]
+        while len(parts) > 1:
+            made = [(self.score[i], -k) for k in range(len(parts) - 1) if (i := self.ids.get(parts[k] + parts[k + 1])) is not None]
+            if not made:
+                break
+            score, k = max(made)
+            parts[-k : 2 - k] = [parts[-k] + parts[1 - k]]
+            out.append((score, parts[0], parts[-1]))
+        return out
+
+    def _apart(self, pair: tuple[int, int]) -> bool:
+        """Whether G has the arc from piece to piece: no merge across their border comes before those inside them that prevent it.
+
+        Both sides' merges go on by score, the left one's first among equals; across is tried as the parts at the border stand.
+        """
+        left, right = self.merges[pair[0]], self.merges[pair[1]]
+        if left[-1][1] != self.pieces[pair[0]][0] or right[-1][1] != self.pieces[pair[1]][0]:
+            return False  # merging never makes such a piece
+        i = j = 0
         while True:
-            best, at = -np.inf, -1
-            for i in range(len(parts) - 1):
-                piece = self.arcs.get(parts[i] + parts[i + 1])
-                if piece is not None and self.score[piece] > best:
-                    best, at = self.score[piece], i
-            if at < 0:
-                return parts
-            parts[at : at + 2] = [parts[at] + parts[at + 1]]
-
-    def _stays(self, left: int, right: int) -> bool:
-        """Whether the arc from the state of piece `left` (-1: any) to that of `right` weighs 0."""
-        a, b = "" if left < 0 else self.pieces[left][0], self.pieces[right][0]
-        return self._merged(a + b) == ([a, b] if a else [b])
+            across = self.ids.get(left[i][2] + right[j][1])
+            a = left[i + 1][0] if i + 1 < len(left) else -np.inf
+            b = right[j + 1][0] if j + 1 < len(right) else -np.inf
+            if across is not None and self.score[across] > a and self.score[across] >= b:
+                return False
+            if a == b == -np.inf:
+                return True
+            if a >= b:
+                i += 1
+            else:
+                j += 1
 
     def _bpe(self, s: str) -> bytes:
-        ends, apart = self.ends, self.apart
+        arcs, apart, merges, pieces = self.reversed, self.apart, self.merges, self.pieces
         n = len(s)
-        #: At each position: the last piece of the path there (-1: none that could merge), and where it starts.
+        #: The live state at each position: the last piece (-1: none that could merge), and where it starts.
         last, start = [-1] * (n + 1), [0] * (n + 1)
         for j in range(1, n + 1):
-            node, i, found = ends, j, []
+            state, i, found = arcs, j, []
             while i:
-                node = node.get(s[i - 1])
-                if node is None:
+                state = state.get(s[i - 1])
+                if state is None:
                     break
                 i -= 1
-                if "" in node:
-                    found.append((i, node[""]))
+                if "" in state:
+                    found.append((i, state[""]))
             start[j] = j - 1
-            while found:  # the longest first
+            while found:  # the longest first; all but one weigh infinity
                 i, piece = found.pop()
-                key = last[i], piece
-                ok = apart.get(key)
-                if ok is None:
-                    ok = apart[key] = self._stays(*key)
-                if ok:
+                if apart[last[i], piece] if last[i] >= 0 else merges[piece][-1][1] == pieces[piece][0]:
                     last[j], start[j] = piece, i
                     break
-        out: list[int] = []
-        j = n
-        while j:
-            out += [last[j]] if last[j] >= 0 else self._fallback(s[start[j] : j])[::-1]
-            j = start[j]
-        return struct.pack(f"<{len(out)}i", *reversed(out))
+        return self._output(s, last, start)
 
     def _unigram(self, s: str) -> bytes:
-        arcs, longest = self.arcs, self.longest
-        n, unk = len(s), min((v for v, (_, _, k) in zip(self.score, self.pieces) if k == NORMAL), default=0.0) - 10.0
+        n = len(s)
         cost, last, start = [0.0] + [np.inf] * n, [-1] * (n + 1), [0] * (n + 1)
         for i in range(n):
-            for j in range(i + 1, min(n, i + longest) + 1):
-                piece = arcs.get(s[i:j])
-                if piece is not None and cost[i] - self.score[piece] < cost[j]:
-                    cost[j], last[j], start[j] = cost[i] - self.score[piece], piece, i
-            if last[i + 1] < 0 or start[i + 1] != i:
-                if s[i : i + 1] not in arcs and cost[i] - unk < cost[i + 1]:
-                    cost[i + 1], last[i + 1], start[i + 1] = cost[i] - unk, -1, i
+            if s[i] not in self.ids and cost[i] + self.other < cost[i + 1]:
+                cost[i + 1], last[i + 1], start[i + 1] = cost[i] + self.other, -1, i
+            state = self.lexicon
+            for j in range(i, n):
+                state = state.get(s[j])
+                if state is None:
+                    break
+                if "" in state and cost[i] - self.score[state[""]] < cost[j + 1]:
+                    cost[j + 1], last[j + 1], start[j + 1] = cost[i] - self.score[state[""]], state[""], i
+        return self._output(s, last, start)
+
+    def _output(self, s: str, last: list[int], start: list[int]) -> bytes:
+        """The output of the path that ends at the last position."""
         out: list[int] = []
-        j = n
+        j = len(s)
         while j:
             out += [last[j]] if last[j] >= 0 else self._fallback(s[start[j] : j])[::-1]
             j = start[j]
@@ -213,7 +307,14 @@ class Transducer:
 
     def encode(self, text: str | None) -> bytes:
         """The ids as 4-byte little-endian integers."""
-        return b"".join(map(self.chunk.__getitem__, self.split(self.normalise(text or ""))))
+        out, state = [], BEGIN
+        for segment in self.cut(self._rewritten(text or "")):
+            made, state = self.solved[state][segment]
+            out.append(made)
+        if not self.bytes_too:  # neighbouring unknown characters are one unknown piece
+            ids = np.frombuffer(b"".join(out), "<i4")
+            return ids[np.append(True, (ids[1:] != self.unk) | (ids[:-1] != self.unk))[: len(ids)]].tobytes()
+        return b"".join(out)
 
     def decode(self, ids: list[int]) -> str:
         text = b"".join(map(self.said.__getitem__, ids)).decode("utf-8", "replace")
