@@ -9,7 +9,7 @@ that is prose (a paragraph, a heading), or if the block, or the list or table it
 
 The whole page is read in linear time, however deep its elements are; unclosed and stray tags, quotes and comments are as browsers would roughly have them.
 Null and empty pages, and pages without any text, give an empty text. White space is what Unicode says it is.
-Repeated rows get equal results.
+Repeated rows get equal results, empty tables give no rows. A column named `main_text` that is there already is replaced.
 """
 
 from __future__ import annotations
@@ -49,23 +49,26 @@ ASIDE_WORDS = frozenset(
     "ad ads adv advert adverts advertisement advertising banner sponsor sponsored promo promotion cookie cookies consent gdpr notice notices alert sidebar side rail nav navbar navigation menu menubar "
     "breadcrumb breadcrumbs pagination pager footer header masthead topbar comment comments disqus replies respond share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay widget toolbar search complementary contentinfo".split()
 )
-MAIN_WORDS = frozenset("content main article post story entry body text".split())
+#: What begins a name that only tells of such an element elsewhere; whose header is the article's own.
+ABOUT_WORDS = frozenset("has no with without".split())
+OWN_WORDS = frozenset("article post story entry".split())
 #: Blocks whose links are always part of their text; what groups items.
 PROSE = frozenset("p h1 h2 h3 h4 h5 h6 blockquote pre figcaption".split())
+HEADINGS = frozenset("h1 h2 h3 h4 h5 h6".split())
 LISTS = frozenset("ul ol menu dl table".split())
 KEPT_BLOCKS = frozenset("h1 h2 h3 h4 h5 h6 p li blockquote pre td th dd dt figcaption article main".split())
 
 _TAG = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>\"']*+(?:\"[^\"]*\"[^>\"']*+|'[^']*'[^>\"']*+)*+)>")
 _LOOSE = re.compile(r"<(/?)([A-Za-z][^\s/>]*)([^>]*)>")
 _ATTR = re.compile(r"\b(class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
-_WORDS = re.compile("[a-z]+")
+_WORDS = re.compile("[A-Z]?[a-z]+|[A-Z]+")
 _SAYS = re.compile(r"[^\W_]")
 _PUNCT = re.compile(r"[.,;:!?…。，、；：！？]")
 _END = {t: re.compile(f"</{t}(?=[\\s/>])", re.I) for t in RAW}
 _BOTH = {t: re.compile(f"<(/?){t}(?=[\\s/>])", re.I) for t in ("object", "canvas")}
 
 #: Weights of a path's neighbours in smoothing; the share of the mean score that selects a path.
-NEIGHBOUR, THRESHOLD = 0.25, 0.3
+NEIGHBOUR, THRESHOLD = 0.1, 0.3
 
 
 class _Path:
@@ -79,6 +82,17 @@ class _Path:
         self.article = tag in ("article", "main") or bool(parent and parent.article)
 
 
+def speaks_against(attrs: str) -> bool:
+    """Whether a name in a role, class or id says that the element isn't part of the article; each of several names counts by itself."""
+    for m in _ATTR.finditer(attrs):
+        for name in (m[2] or m[3] or m[4] or "").split():
+            words = [w.lower() for w in _WORDS.findall(name)]
+            against = ASIDE_WORDS.intersection(words)
+            if against and words[0] not in ABOUT_WORDS and not (against == {"header"} and not OWN_WORDS.isdisjoint(words)):
+                return True
+    return False
+
+
 class _Element:
     __slots__ = ("tag", "path", "aside", "named", "article", "block", "items", "prose", "link", "says")
 
@@ -89,8 +103,7 @@ class _Element:
         # What only its name speaks against is told apart: if nothing else is left on the page, it stays.
         self.named = bool(parent and parent.named)
         if attrs and tag not in ("html", "body", "main", "article") and not (self.aside or self.named):
-            words = {w for m in _ATTR.finditer(attrs) for w in _WORDS.findall((m[2] or m[3] or m[4] or "").lower())}
-            self.named = bool(words & ASIDE_WORDS) and not words & MAIN_WORDS
+            self.named = speaks_against(attrs)
         inline = tag in INLINE
         #: The nearest block and list, whether in prose or a link; of blocks and lists, whether they have words outside of links.
         self.block = parent.block if inline and parent else self
@@ -186,10 +199,10 @@ def leaves(page: str) -> tuple[list[tuple[_Path, bool, bool, str]], list[_Path]]
         if tag in VOID:
             continue
         if tag in RAW:
-            if not m[3].endswith("/"):
-                end = _END[tag].search(page, at)
-                close = page.find(">", end.end()) if end else -1
-                at = n if close < 0 else close + 1
+            # A slash in the tag doesn't end these.
+            end = _END[tag].search(page, at)
+            close = page.find(">", end.end()) if end else -1
+            at = n if close < 0 else close + 1
             continue
         if tag in HIDDEN:
             # One that holds blocks and is never ended would hide what comes after it.
@@ -254,6 +267,8 @@ def main_text(page: str | None) -> str:
     for p in every:
         under[p.order] = p is root or p.parent is not None and under[p.parent.order]
     kept = {p for p in paths if p in chosen or under[p.order] and (inside or p.tag in KEPT_BLOCKS)}
+    # A heading beside the best path's blocks is theirs.
+    kept |= {p for p in paths if p.tag in HEADINGS and p.parent is best.parent}
     # What is not a link and stands between selected texts stays even where the paths meet only at the page's body.
     at = [i for i, x in enumerate(use) if x[0] in chosen and x[3].strip()]
     between = lambda i, p: at[0] < i < at[-1] and under[p.order] and p.tag != "a"

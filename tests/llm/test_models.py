@@ -99,6 +99,28 @@ def test_main_text_without_container():
     assert html_text.main_text(page) == f"A headline {long} See the report for more, it says. A note. Read this too {long} Quoted source"
 
 
+def test_names_of_what_is_not_the_article():
+    for name in ("comment-body", "post-comments", "sidebar-content", "related-post", "ad-text", "newsletter-body", "commentBody", "main-header", "article share", "entry-related", "page-footer-text"):
+        for tag in ("div", "section", "p"):
+            inside = PAGE.replace("<ul><li>One", f'<{tag} class="{name}">Not this, surely; it is not part of it.</{tag}><ul><li>One')
+            assert html_text.main_text(inside) == TEXT, (tag, name)
+    for name in ("article-header", "content has-sidebar", "no-comments", "text main", "storyBody"):
+        assert html_text.main_text(PAGE.replace("<article><header>", f"<article><header class='{name}'>")) == TEXT, name
+    assert html_text.main_text(PAGE.replace("<ul><li>One", "<script src=x />alert('no, not this');</script><ul><li>One")) == TEXT
+
+
+def test_ratios_decide_where_no_name_tells():
+    """The page's furniture is in plain elements: short, without punctuation, or made of links."""
+    links = "".join(f"<div><a href={i}>Topic {i}</a></div>" for i in range(30))
+    furniture = "".join(f"<div><span>Tag {i}</span></div>" for i in range(20))
+    long = "This is a paragraph of the story, which goes on for a while; it has commas, stops and so on, as text does."
+    page = f"<html><body><table><tr><td>{links}</td><td><div><div><h2>The headline</h2>{f'<p>{long}</p>' * 8}</div></div></td><td>{furniture}</td></tr></table><div>Copyright</div></body></html>"
+    assert html_text.main_text(page) == " ".join(["The headline", *[long] * 8])
+    # Furniture that reads as the story does is told by nothing but its path's ratio to the others'.
+    alike = page.replace("<p>", "<div>").replace("</p>", "</div>")
+    assert html_text.main_text(alike) == " ".join(["The headline", *[long] * 8])
+
+
 def test_main_text_of_deep_pages():
     for deep in (300, 20_000):
         nested = "<div>" * deep + PAGE[PAGE.index("<body>") + 6 : PAGE.index("</body>")] + "</div>" * deep
@@ -125,5 +147,7 @@ def test_main_text_edges(spark):
     assert [html_text.main_text(x) for x in (None, "", "   ", "<br>", "plain text", "<p>a", "< 5 & <b>6</b>", "<p class='x>open")] == ["", "", "", "", "plain text", "a", "< 5 & 6", "open"]
     for bad in ("<" * 200_000, "<!--" * 50_000, "<a x='" * 50_000, "<p>" * 100_000, "<b>" * 100_000, "<script>" * 50_000, "&" * 100_000):
         html_text.main_text(bad)
-    pages = spark.createDataFrame([(1, "u", None, "t"), (1, "u", "<p>x", "t"), (1, "u", "<p>x", "t")], "page_id long, url string, html string, text string")
-    assert [r.main_text for r in html_text.with_main_text(pages).collect()] == ["", "x", "x"]
+    pages = spark.createDataFrame([(1, "u", None, "t", 5), (1, "u", "<p>x", "t", 5), (1, "u", "<p>x", "t", 5)], "page_id long, url string, html string, text string, main_text int")
+    got = html_text.with_main_text(pages)
+    assert [(r.main_text, r.text) for r in got.collect()] == [("", "t"), ("x", "t"), ("x", "t")] and got.columns == pages.columns
+    assert html_text.with_main_text(pages.limit(0)).count() == 0
