@@ -1,18 +1,19 @@
 """Toxicity by classifier chains.
 
 Categories are predicted one after another; a category's linear model sees the text's features and the probabilities of the
-categories before it. In training those come from models that haven't seen the document (out-of-fold), as they will in use.
-The chain is abusive (a term of abuse occurs), severe (many do), toxic (the label itself). The terms are not a given list:
+categories before it. In training those come from models that haven't seen the document (out-of-fold), as they will in use. The labels only say toxic or
+not, so what kind a toxic document is of is told by its evidence: the chain is abusive (labelled toxic, with a whole word of abuse), veiled (labelled toxic,
+with nothing but parts of words that tell), severe (labelled toxic, with SEVERE terms or more), toxic (the label). The terms are not a given list:
 they are the words, and beginnings and ends of words, that labelled toxic documents have far more often than others. Parts of
-words stand for compounds each of which is rare.
+words stand for compounds each of which is rare. Number and kind of a text's terms are no features: a category has to be predicted for documents without a label.
 
-Fitted on at most PER_CLASS labelled documents of each class, those with the smallest hashes of their ids; everything else is
-by the whole text of all documents. Features: the share of each telling word or part (all of them: the least number of documents
-is the same for a language with few), and number and share of terms.
-The threshold is the lowest whose out-of-fold precision is PRECISION, or else the best by F1.
+Fitted on at most PER_CLASS labelled documents of each class, those with the smallest hashes of their ids (of several rows with one id one is
+taken); everything else is by the whole text of all documents. Features: the share of each telling word or part (all of them: the least number of documents
+is the same for a language with few). The threshold is the lowest whose out-of-fold precision is PRECISION, or else the best by F1.
 
 Null and empty texts have no words and get the models' base rates. Documents with contradicting labels, null labels or ids aren't
-learned from. Without both classes nothing can be learned: all probabilities are 0. Repeated rows get equal results.
+learned from. Without both classes nothing can be learned: all probabilities are 0. Repeated rows get equal results, very long texts are read whole, empty tables
+give no rows. A column named `toxicity` that is there already is replaced.
 """
 
 from __future__ import annotations
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from caseloom.llm.common import map_slices, table, written
 from caseloom.llm.linear import logistic_sparse, sigmoid
 
-CHAIN = ("abusive", "severe", "toxic")
+CHAIN = ("abusive", "veiled", "severe", "toxic")
 PER_CLASS, FOLDS, PRECISION = 3000, 3, 0.97
 #: A word's or part's least number of documents of the class it tells, and least z-score of its difference; how much larger its share of the
 #: words is there if a term; terms that make a text severe.
@@ -83,12 +84,12 @@ class Model:
 
     @property
     def width(self) -> int:
-        return len(self.vocabulary) + 2
+        return len(self.vocabulary)
 
-    def features(self, counts: Counter) -> tuple[list[int], list[float], int]:
-        """Places and values of the features that are not 0, and the number of terms."""
+    def features(self, counts: Counter) -> tuple[list[int], list[float], int, int]:
+        """Places and values of the features that are not 0; the numbers of terms, and of those that are whole words."""
         found: Counter = Counter()
-        terms, size = 0, max(1, sum(counts.values()))
+        terms, whole, size = 0, 0, max(1, sum(counts.values()))
         least = PARTS[0]
         for w, n in counts.items():
             # Most words have no part of the vocabulary: they are known by their first and last letters.
@@ -97,11 +98,10 @@ class Model:
                 for u in has:
                     found[u] += n
                 terms += n if not self.terms.isdisjoint(has) else 0
-        share = 100.0 * terms / size
-        at = [self.vocabulary[u] for u in found] + [self.width - 2, self.width - 1]
-        return at, [*np.log1p([100.0 * n / size for n in found.values()]).tolist(), float(np.log1p(terms)), min(share, 20.0) / 4.0], terms
+                whole += n if w in self.terms else 0
+        return [self.vocabulary[u] for u in found], np.log1p([100.0 * n / size for n in found.values()]).tolist(), terms, whole
 
-    def predict(self, found: list[tuple[list[int], list[float], int]]) -> np.ndarray:
+    def predict(self, found: list[tuple[list[int], list[float], int, int]]) -> np.ndarray:
         """Probabilities (rows, categories) down the chain."""
         row, col, val = _triples(found)
         done = np.zeros((len(found), 0))
@@ -122,7 +122,14 @@ def _labelled(docs: DataFrame, labels: DataFrame, per_class: int) -> DataFrame:
     agreed = agreed.select("doc_id", (F.col("toxic") > 0).cast("int").alias("toxic"), F.xxhash64("doc_id", F.lit("toxicity")).alias("h"))
     picked = [agreed.where(F.col("toxic") == c).orderBy("h").limit(per_class) for c in (0, 1)]
     # At most 2 * per_class rows of three numbers: bounded, so broadcast.
-    return docs.select("doc_id", "text").join(F.broadcast(picked[0].union(picked[1])), "doc_id").select("text", "toxic", "h")
+    found = docs.select("doc_id", "text").join(F.broadcast(picked[0].union(picked[1])), "doc_id")
+    return found.groupBy("doc_id", "toxic", "h").agg(F.min("text").alias("text")).select("text", "toxic", "h")
+
+
+def kinds_of(toxic: np.ndarray, terms: np.ndarray, whole: np.ndarray) -> dict[str, np.ndarray]:
+    """The categories of labelled documents."""
+    toxic = toxic > 0
+    return {"abusive": toxic & (whole > 0), "veiled": toxic & (whole == 0) & (terms > 0), "severe": toxic & (terms >= SEVERE), "toxic": toxic}
 
 
 def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Model:
@@ -155,17 +162,16 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
     odds = lambda r: ((r.p_ppm + 1000) / (p + 1)) / ((r.ppm - r.p_ppm + 1000) / (n + 1))
     model = Model({u: i for i, u in enumerate(kept)}, frozenset(u for u in kept if odds(words[u]) >= ODDS))
 
-    @F.arrow_udf("at array<int>, value array<double>, n_terms int")
+    @F.arrow_udf("at array<int>, value array<double>, n_terms int, n_whole int")
     def features_of(texts: pa.Array) -> pa.Array:
         found = [model.features(Counter(tokens(x.as_py()))) for x in texts]
-        kinds = (pa.list_(pa.int32()), pa.list_(pa.float64()), pa.int32())
-        return pa.StructArray.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], names=["at", "value", "n_terms"])
+        kinds = (pa.list_(pa.int32()), pa.list_(pa.float64()), pa.int32(), pa.int32())
+        return pa.StructArray.from_arrays([pa.array([f[k] for f in found], kind) for k, kind in enumerate(kinds)], names=["at", "value", "n_terms", "n_whole"])
 
     rows = sample.select("toxic", "h", features_of("text").alias("x")).select("toxic", "h", "x.*").collect()
     rows.sort(key=lambda r: (r.h, r.toxic, r.at, r.value))
     row, col, val = _triples([(r.at, r.value) for r in rows])
-    count = np.array([r.n_terms for r in rows])
-    y = {"abusive": count >= 1, "severe": count >= SEVERE, "toxic": np.array([r.toxic for r in rows]) > 0}
+    y = kinds_of(*(np.array([r[c] for r in rows]) for c in ("toxic", "n_terms", "n_whole")))
     fold = np.array([r.h % FOLDS for r in rows])
     for k, category in enumerate(CHAIN):
         t = y[category].astype(np.float64)
@@ -192,13 +198,13 @@ def learn(docs: DataFrame, labels: DataFrame, per_class: int = PER_CLASS) -> Mod
 def with_toxicity(docs: DataFrame, model: Model) -> DataFrame:
     """docs with `toxicity`, a struct: probability of each category, toxic, and the terms found."""
 
-    @F.arrow_udf("p_abusive double, p_severe double, p_toxic double, toxic boolean, n_terms int")
+    @F.arrow_udf("p_abusive double, p_veiled double, p_severe double, p_toxic double, toxic boolean, n_terms int")
     def score(texts: pa.Array) -> pa.Array:
         found = [model.features(Counter(tokens(x.as_py()))) for x in texts]
         p = model.predict(found) if model.weights else np.zeros((len(found), len(CHAIN)))
         cols = [pa.array(p[:, k]) for k in range(len(CHAIN))]
         cols += [pa.array(p[:, -1] >= model.threshold), pa.array([f[2] for f in found], pa.int32())]
-        return pa.StructArray.from_arrays(cols, names=["p_abusive", "p_severe", "p_toxic", "toxic", "n_terms"])
+        return pa.StructArray.from_arrays(cols, names=[*(f"p_{c}" for c in CHAIN), "toxic", "n_terms"])
 
     return docs.withColumn("toxicity", score(F.col("text")))
 

@@ -61,12 +61,26 @@ def test_toxicity_in_each_language(spark):
         assert sum(r.toxic for r in got if r.label and r.lang == lang) / sum(r.label for r in got if r.lang == lang) > 0.8, lang
 
 
+def test_chain_categories_and_their_use(spark):
+    """Categories are of labelled documents; in the last model the earlier probabilities, not the text's features alone, carry the evidence."""
+    y = toxicity.kinds_of(toxicity.np.array([0, 0, 1, 1, 1, 1]), toxicity.np.array([0, 4, 0, 1, 3, 4]), toxicity.np.array([0, 2, 0, 0, 1, 0]))
+    assert [list(map(int, y[c])) for c in toxicity.CHAIN] == [[0, 0, 0, 0, 1, 0], [0, 0, 0, 1, 0, 1], [0, 0, 0, 0, 1, 1], [0, 0, 1, 1, 1, 1]]
+    model = toxicity.learn(spark.read.parquet(f"{BIG}/documents.parquet"), spark.read.parquet(f"{BIG}/labels.parquet"))
+    assert [len(w) for w in model.weights] == [model.width + k + 1 for k in range(len(toxicity.CHAIN))]
+    assert abs(model.weights[-1][model.width : -1]).max() > 1
+
+
 def test_toxicity_edges(spark):
-    docs = spark.createDataFrame([(1, None, 1), (None, "", 2), (2, "a bad word " * 20_000, 3)], "doc_id long, text string, toxic int")
+    docs = spark.createDataFrame([(1, None, 1), (None, "", 2), (2, "a bad word " * 20_000, 3)], "doc_id long, text string, toxicity int")
     labels = spark.createDataFrame([(1, None), (None, 1), (2, 1), (2, 0)], "doc_id long, toxic int")
     model = toxicity.learn(docs, labels)
-    assert not model.weights and [r.toxicity.toxic for r in toxicity.with_toxicity(docs.drop("toxic"), model).collect()] == [False] * 3
-    assert toxicity.with_toxicity(docs.drop("toxic").limit(0), model).count() == 0
+    got = toxicity.with_toxicity(docs, model)
+    assert got.columns == docs.columns and not model.weights and [r.toxicity.toxic for r in got.collect()] == [False] * 3
+    assert toxicity.with_toxicity(docs.limit(0), model).count() == 0 and not toxicity.learn(docs.limit(0), labels.limit(0)).weights
+    # An id that many rows have is one labelled document, however many.
+    again = spark.createDataFrame([(1, f"some text {i % 2}", 0) for i in range(50)] + [(2, "b", 0)], docs.schema)
+    once = toxicity._labelled(again, spark.createDataFrame([(1, 1), (2, 0)], "doc_id long, toxic int"), 10).collect()
+    assert sorted((r.text, r.toxic) for r in once) == [("b", 0), ("some text 0", 1)]
 
 
 PAGE = """<html><head><title>T</title><style>p{}</style></head><body><header><p>Slogan here, welcome to our site.</p></header><nav><a href=1>Home</a></nav>
