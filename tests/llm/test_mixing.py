@@ -1,6 +1,7 @@
 from collections import Counter, defaultdict
 
 import pytest
+from pyspark.sql import functions as F
 
 from caseloom.llm import mixing
 from tests.conftest import SF
@@ -49,6 +50,28 @@ def test_two_margins_meet(spark):
     assert sum(n * rate(s, g) for s, g, n in rows if g == "y") == pytest.approx(160, rel=1e-6)
 
 
+def test_many_values_take_no_matrix(spark):
+    docs = spark.range(3000).select(F.concat(F.lit("h"), F.col("id").cast("string")).alias("source"), (F.col("id") % 7).cast("string").alias("lang"), (F.col("id") % 90 + 10).alias("size"))
+    size = {r.source: r["size"] for r in docs.collect()}
+    lam = mixing.entropy_balance(docs, {"source": {s: 1.5 * n for s, n in size.items()}})["source"]
+    assert max(abs(v - 0.4054651) for v in lam.values()) < 1e-6
+
+
+def test_repeated_rows_are_counted_in_all(spark):
+    """A third of all rows are one row, some differ in a column only: the mixture has as many words as the plan says."""
+    data = [(1, "one text of six words here", "en", "s1", 1, 1, "x")] * 2500 + [(1, "one text of six words here", "en", "s1", 1, 1, f"y{i}") for i in range(30)] + [(i, "w " * (i % 40 + 1), "en", "s2", 1, 1, "x") for i in range(500)]
+    docs = spark.createDataFrame(data, DOCS)
+    plan, out = mixing.mixed(docs).collect(), mixing.mixture(docs)
+    assert len(plan) == len(data) and max(r.copies for r in plan) <= 3
+    for source in ("s1", "s2"):
+        target = next(r.target for r in plan if r.source == source)
+        words = sum(r.copies * r["size"] for r in plan if r.source == source)
+        assert abs(words - target) <= 0.01 * target + 6
+        assert sum(len(r.text.split()) for r in out.where(F.col("source") == source).select("text").collect()) == words
+    same = {r.copies for r in plan if r.source == "s1"}
+    assert max(same) - min(same) <= 1 and {r.copies for r in out.where("copies LIKE 'y%'").select("copies").collect()} <= {f"y{i}" for i in range(30)}
+
+
 def test_edges(spark):
     data = [(1, None, "en", None, None), (2, "a b c", None, "s1", 3), (2, "a b c", None, "s1", 3), (None, "d e", "en", "s1", 1), (None, "f", "en", None, 1), (5, "w " * 30_000, "en", "s2", 1), (6, " \t", "en", "s2", 1)]
     docs = spark.createDataFrame([(*r, 1, "x") for r in data], DOCS)
