@@ -1,15 +1,18 @@
-"""What the training-data operators share: reading, shared-folder tables, Arrow mapping, components."""
+"""What the training-data operators share: reading, Arrow mapping, rows' identities; shared-folder tables and components are the library's."""
 
 from __future__ import annotations
 
-import tempfile
-import uuid
 from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from caseloom.operators.components import linked as components
+from caseloom.sources.scratch import written
+
+__all__ = ["components", "keep_rows", "keyed", "map_slices", "table", "utf8", "written"]
+
 #: Rows handled together inside a Python worker; bounds the Python copies of long texts.
 SLICE = 512
 
@@ -18,23 +21,6 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def scratch_dir(spark: SparkSession) -> str:
-    """The folder all executors share: spark.checkpoint.dir, or (tests on one machine only) a temporary one."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get("spark.checkpoint.dir")
-    if not root:
-        root = f"file://{tempfile.gettempdir()}/caseloom-scratch"
-    return f"{root.rstrip('/')}/caseloom"
-
-
-def written(df: DataFrame) -> DataFrame:
-    """Cut the lineage: write to the shared folder as Parquet and read again. Survives lost executors."""
-    spark = df.sparkSession
-    path = f"{scratch_dir(spark)}/{uuid.uuid4().hex}"
-    schema = df.schema
-    df.write.parquet(path)
-    return spark.read.schema(schema).parquet(path)
-
-
 def map_slices(df: DataFrame, fn: Callable[[pa.RecordBatch], pa.RecordBatch], schema: str) -> DataFrame:
     """Apply fn to Arrow slices of bounded row count."""
 
@@ -51,26 +37,6 @@ def utf8(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")).cast("binary")
 
 
-def components(edges: DataFrame) -> DataFrame:
-    """Connected components of edges (a, b): rows (node, root), root being the smallest node.
-
-    Minimum-label propagation with pointer jumping. Each round is written to the shared folder;
-    a hot node's edges are pre-aggregated by the partial minimum, and its join is one that
-    adaptive execution can split. An empty edge table gives no rows.
-    """
-    both = written(edges.select("a", "b").union(edges.select(F.col("b"), F.col("a"))).where("a <> b").distinct())
-    labels = written(both.groupBy(F.col("a").alias("node")).agg(F.min("b").alias("m")).select("node", F.least("node", "m").alias("root")))
-    while True:
-        near = both.join(labels.withColumnRenamed("node", "b"), "b").groupBy(F.col("a").alias("node")).agg(F.min("root").alias("m"))
-        step = labels.join(near, "node", "left").select("node", F.col("root").alias("was"), F.least("root", "m").alias("root"))
-        jump = labels.select(F.col("node").alias("root"), F.col("root").alias("far"))
-        step = written(step.join(jump, "root", "left").select("node", "was", F.least("root", "far").alias("root")))
-        changed = step.where("root <> was").limit(1).count()
-        labels = step.select("node", "root")
-        if not changed:
-            return labels
-
-
 def keyed(docs: DataFrame) -> DataFrame:
     """With a row's identity: its id, its text's hash and length (ids can be null or come with several texts)."""
     return docs.withColumns({"__id": F.col("doc_id"), "__h": F.xxhash64("text"), "__n": F.coalesce(F.length("text"), F.lit(-1))})

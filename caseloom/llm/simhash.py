@@ -4,12 +4,12 @@ Words are maximal runs of other than ASCII white space after lower-casing A-Z; e
 repeats included, votes with its XXH64 (seed 42) on 64 bits. Fingerprints that differ in two bits or fewer
 are linked. Two such fingerprints agree wholly on one of three thirds of their bits, so a trie is built three times, with
 another third at its top: there the traversal spends no error, and each subtree below is a task. In
-a subtree node pairs are traversed together; differing bits add up, and a pair is left when they exceed the budget. A
+a subtree node pairs are traversed together, from the differing bits that the task's own path has spent; they add up, and a pair is left when they exceed the budget. A
 subtree over LIMIT fingerprints isn't one task: its node pairs four bits further down become the tasks, again and
 again, so a hot prefix never meets in one place. A task emits links to the root of each of its components, not all pairs.
 
 Null and empty texts have fingerprint zero and are linked like any other. Repeated rows share a fingerprint.
-component_id is the smallest non-null doc_id reachable. Empty tables give no rows.
+component_id is the smallest non-null doc_id reachable. Very long texts are read whole. Empty tables give no rows.
 """
 
 from __future__ import annotations
@@ -29,6 +29,8 @@ BITS, BUDGET, SHINGLE, SEED = 64, 2, 3, 42
 TOPS = ((0, 22), (22, 21), (43, 21))
 #: Fingerprints in a task at most; STEP levels are descended where there are more.
 LIMIT, STEP = 512, 4
+#: Pairs of values below which a pair of trie nodes counts as two leaves.
+LEAVES = 256
 
 _ONES = np.unpackbits(np.arange(256, dtype=np.uint8)[:, None], axis=1).astype(np.int64)
 _WEIGHTS = (np.uint64(1) << np.arange(63, -1, -1, dtype=np.uint64)).astype(np.uint64)
@@ -66,30 +68,30 @@ def fingerprints(docs: DataFrame) -> DataFrame:
     return map_slices(rows, fn, f"__id {docs.schema['doc_id'].dataType.simpleString()}, __h long, __n int, fp long")
 
 
-def _pairs(a: np.ndarray, b: np.ndarray, bit: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Positions in the sorted a and b whose values differ in budget bits or fewer, among bits below `bit`.
+def _pairs(a: np.ndarray, b: np.ndarray, bit: int, spent: int, budget: int) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    """Positions in the sorted a and b whose values differ in budget bits or fewer, `spent` of them above `bit`.
 
-    Depth-first over pairs of trie nodes; a node is a range of sorted values that share their upper bits.
+    Depth-first over pairs of trie nodes; a node is a range of sorted values that share their upper bits. A pair of small nodes is a pair of
+    leaves: what remains of their values is compared with what remains of the budget.
     """
-    stack = [(0, len(a), 0, len(b), bit, 0)]
+    stack = [(0, len(a), 0, len(b), bit, spent)]
     while stack:
         a0, a1, b0, b1, bit, spent = stack.pop()
-        if a0 == a1 or b0 == b1:
+        if a0 == a1 or b0 == b1 or spent > budget:
             continue
-        if bit == 0 or (a1 - a0) * (b1 - b0) <= 4096:
-            x, y = np.nonzero(np.bitwise_count(a[a0:a1, None] ^ b[None, b0:b1]) <= budget)
+        if bit == 0 or (a1 - a0) * (b1 - b0) <= LEAVES:
+            low = np.uint64((1 << bit) - 1)
+            x, y = np.nonzero(np.bitwise_count((a[a0:a1, None] ^ b[None, b0:b1]) & low) <= budget - spent)
             yield x + a0, y + b0
             continue
         bit -= 1
         # In a node's range the values are sorted and agree above `bit`, so those with that bit set come last.
         am = a0 + int(np.searchsorted((a[a0:a1] >> np.uint64(bit)) & np.uint64(1), 1))
         bm = b0 + int(np.searchsorted((b[b0:b1] >> np.uint64(bit)) & np.uint64(1), 1))
-        stack += [(a0, am, b0, bm, bit, spent), (am, a1, bm, b1, bit, spent)]
-        if spent < budget:
-            stack += [(a0, am, bm, b1, bit, spent + 1), (am, a1, b0, bm, bit, spent + 1)]
+        stack += [(a0, am, b0, bm, bit, spent), (am, a1, bm, b1, bit, spent), (a0, am, bm, b1, bit, spent + 1), (am, a1, b0, bm, bit, spent + 1)]
 
 
-def local_links(a: np.ndarray, b: np.ndarray | None, bit: int) -> list[tuple[int, int]]:
+def local_links(a: np.ndarray, b: np.ndarray | None, bit: int, spent: int = 0) -> list[tuple[int, int]]:
     """Links that connect what the join of a with b (None: with itself) connects: (value, root of its component)."""
     values = a if b is None else np.concatenate([a, b])
     parent = list(range(len(values)))
@@ -100,7 +102,7 @@ def local_links(a: np.ndarray, b: np.ndarray | None, bit: int) -> list[tuple[int
             x = parent[x]
         return x
 
-    for x, y in _pairs(a, a if b is None else b, bit, BUDGET):
+    for x, y in _pairs(a, a if b is None else b, bit, spent, BUDGET):
         for i, j in zip(x.tolist(), (y + (0 if b is None else len(a))).tolist()):
             if i < j and (p := root(i)) != (q := root(j)):
                 parent[max(p, q)] = min(p, q)
@@ -119,7 +121,7 @@ def _join_tasks(tasks: DataFrame) -> DataFrame:
         rot, depth, pa_, pb_ = key
         values = _rotated(fp.view(np.uint64), rot)
         a, b = np.sort(values[side == 0]), np.sort(values[side == 1])
-        found = local_links(a, None if pa_ == pb_ else b, BITS - depth)
+        found = local_links(a, None if pa_ == pb_ else b, BITS - depth, (pa_ ^ pb_).bit_count())
         if not found:
             return []
         back = _rotated(np.array(found, np.uint64), 64 - rot).view(np.int64)
