@@ -90,3 +90,10 @@ def test_ann_edges(spark):
     assert set(got) == {20, 40} and ann.nearest(df.limit(0)).count() == 0
     few = ann.nearest(df.where("vec_id in (20, 40, 7)")).collect()
     assert sorted((r.query_id, r["rank"], r.vec_id) for r in few) == [(20, 1, 7), (20, 2, 40), (40, 1, 7), (40, 2, 20)]
+
+
+def test_repeated_rows_of_a_query_and_a_candidate(spark):
+    rows = [(20, [1.0, 0.0])] * 2 + [(20, [5.0, 0.0])] + [(7, [0.9, 0.1])] * 2 + [(i, [0.5 - i / 1000, 0.5]) for i in range(101, 140) if i % 20]
+    got = ann.nearest(spark.createDataFrame(rows, "vec_id long, embedding array<double>"), block=8).orderBy("query_id", "rank").collect()
+    assert [r["rank"] for r in got] == list(range(1, 21)) and {r.query_id for r in got} == {20}
+    assert [r.vec_id for r in got] == [7, 7, *[i for i in range(101, 140) if i % 20][:18]] and got[0].score == 0.9
