@@ -108,16 +108,21 @@ def top_edge_types(all_edges: DataFrame, n: int = 20) -> DataFrame:
     return all_edges.groupBy("edge_type").agg(F.count("*").alias("n")).orderBy(F.desc("n"), "edge_type").limit(n)
 
 
-def two_hop(all_edges: DataFrame) -> DataFrame:
-    """Person pairs (person, other) that share a case."""
-    c = all_edges.where("src_type = 'Person' AND edge_type = 'IN_CASE'").select("src_id", "dst_id")
-    return c.alias("a").join(c.alias("b"), "dst_id").where("a.src_id <> b.src_id").select(F.col("a.src_id").alias("person"), F.col("b.src_id").alias("other")).distinct()
+def two_hop(all_edges: DataFrame, people: DataFrame | None = None, limit: int = 200) -> DataFrame:
+    """(person, other): the first `limit` others by id that share a case with each person of people (column person; None: all).
+
+    A case's first limit + 1 people are all that can be among a person's first `limit`, so a case of any size gives each of its people no more than those.
+    """
+    c = all_edges.where("src_type = 'Person' AND edge_type = 'IN_CASE'").select(F.col("src_id").alias("person"), "dst_id").distinct()
+    first = c.withColumn("r", F.row_number().over(Window.partitionBy("dst_id").orderBy("person"))).where(F.col("r") <= limit + 1).select("dst_id", F.col("person").alias("other"))
+    mine = c if people is None else c.join(people.select("person").distinct(), "person", "left_semi")
+    found = mine.join(first, "dst_id").where("person <> other").select("person", "other").distinct()
+    return found.withColumn("r", F.row_number().over(Window.partitionBy("person").orderBy("other"))).where(F.col("r") <= limit).drop("r")
 
 
 def two_hop_of(all_edges: DataFrame, person: str, limit: int = 200) -> DataFrame:
-    mine = all_edges.where((F.col("src_id") == person) & (F.col("src_type") == "Person") & (F.col("edge_type") == "IN_CASE")).select("dst_id")
-    others = all_edges.where("src_type = 'Person' AND edge_type = 'IN_CASE'").join(mine, "dst_id", "left_semi").where(F.col("src_id") != person)
-    return others.select(F.col("src_id").alias("other")).distinct().orderBy("other").limit(limit)
+    one = all_edges.sparkSession.createDataFrame([(person,)], "person string")
+    return two_hop(all_edges, one, limit).select("other").orderBy("other")
 
 
 def case_overview(all_edges: DataFrame, case: str, people: int = 50, events: int = 50) -> DataFrame:

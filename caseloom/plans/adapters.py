@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.text import normal_name
 from caseloom.operators import chunking, resolve, threads, timeline, triage
+from caseloom.sources.scratch import written
 
 FIRST = ["robert", "bob", "william", "bill", "elizabeth", "liz", "james", "jim", "maria", "anna", "peter", "kate"]
 LAST = ["smith", "jones", "garcia", "miller", "davis", "lopez", "wilson", "moore", "taylor", "clark"]
@@ -43,9 +44,10 @@ def triaged(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def person(i: Column, short: Column) -> Column:
-    """A name by number; short forms where `short` is 1."""
+    """A name by number, of which there are as many as numbers; short forms of first names where `short` is 1."""
     first = F.element_at(F.array(*map(F.lit, FIRST)), ((i % 6) * 2 + short + 1).cast("int"))
-    return F.concat(F.initcap(first), F.lit(" "), F.initcap(F.element_at(F.array(*map(F.lit, LAST)), (i % 10 + 1).cast("int"))))
+    last = F.element_at(F.array(*map(F.lit, LAST)), (i % 10 + 1).cast("int"))
+    return F.concat(F.initcap(first), F.lit(" "), F.initcap(last), F.floor(i / 60).cast("string"))
 
 
 def events(spark: SparkSession, sf: str) -> DataFrame:
@@ -81,12 +83,12 @@ def event_times(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def entities(spark: SparkSession, sf: str) -> DataFrame:
-    """A person and a place in each chunk of every fourth day."""
-    c = event_chunks(spark, sf).where(F.dayofmonth("day") % 4 == 0)
-    n, d = F.col("user_id") % 60, F.dayofmonth("day")
+    """A person and a place in each chunk: two users' files are about one person, so people grow with users and their groups don't."""
+    c = event_chunks(spark, sf)
+    n, d = F.floor(F.col("user_id") / 2), F.dayofmonth("day")
     conf = F.lit(0.5) + (d % 5) / 10
     base = ["file_id", "chunk_id", d.alias("page_start"), d.alias("page_end")]
-    who = c.select(person(n, (d / 4).cast("int") % 2).alias("entity"), F.lit("person").alias("type"), conf.alias("confidence"), *base, F.concat(F.lit("saw "), "chunk_id").alias("quote"), n.alias("pid"), "user_id")
+    who = c.select(person(n, d % 2).alias("entity"), F.lit("person").alias("type"), conf.alias("confidence"), *base, F.concat(F.lit("saw "), "chunk_id").alias("quote"), n.alias("pid"), "user_id")
     where = c.select(F.concat(F.lit("Town "), (n % 5).cast("string")).alias("entity"), F.lit("place").alias("type"), conf.alias("confidence"), *base, F.concat(F.lit("in "), "chunk_id").alias("quote"), n.alias("pid"), "user_id")
     return who.unionByName(where).withColumn("entity_id", F.xxhash64("chunk_id", "type"))
 
@@ -95,10 +97,10 @@ def signals(spark: SparkSession, sf: str) -> DataFrame:
     """Birth dates, addresses and case ids of those people."""
     p = entities(spark, sf).where("type = 'person'")
     n = F.col("pid")
-    dob = F.concat(F.lit("19"), (n % 30 + 60).cast("string"), F.lit("-0"), (n % 9 + 1).cast("string"), F.lit("-1"), (n % 10).cast("string"))
+    dob = F.concat((n % 60 + 1940).cast("string"), F.lit("-"), _two(F.floor(n / 60) % 12 + 1), F.lit("-"), _two(F.floor(n / 720) % 28 + 1))
     s = lambda a, v: F.struct(F.lit(a).alias("attribute"), v.alias("value"))
     u = F.col("user_id")
-    every = F.array_compact(F.array(F.when(u % 4 != 3, s("dob", dob)), F.when(u % 3 == 1, s("address", F.concat(n.cast("string"), F.lit(" Main  Street")))), F.when(u % 3 == 0, s("case_id", F.concat(F.lit(" case "), (u % 20).cast("string"))))))
+    every = F.array_compact(F.array(F.when(u % 4 != 3, s("dob", dob)), F.when(u % 3 == 1, s("address", F.concat(n.cast("string"), F.lit(" Main  Street")))), F.when(u % 3 == 0, s("case_id", F.concat(F.lit(" case "), F.floor(u / 6).cast("string"))))))
     from caseloom.functions.text import address_key, birth_key, case_key
 
     out = p.select(F.col("entity").alias("person_text"), "confidence", "file_id", "chunk_id", "page_start", "page_end", "quote", F.explode(every).alias("s")).select("*", "s.attribute", "s.value").drop("s")
@@ -112,17 +114,18 @@ def observations(spark: SparkSession, sf: str) -> DataFrame:
     return resolve.with_signals(obs, signals(spark, sf))
 
 
-def pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.candidate_pairs(resolve.blocking_keys(observations(spark, sf)))
+def pairs(obs: DataFrame) -> DataFrame:
+    return resolve.candidate_pairs(resolve.blocking_keys(obs))
 
 
-def scored(spark: SparkSession, sf: str) -> DataFrame:
-    return resolve.scored_pairs(pairs(spark, sf), observations(spark, sf))
+def scored(obs: DataFrame) -> DataFrame:
+    return resolve.scored_pairs(pairs(obs), obs)
 
 
-def members(spark: SparkSession, sf: str) -> DataFrame:
-    """obs_id, person_id: a person is its component's smallest observation."""
-    return resolve.clustered(observations(spark, sf), scored(spark, sf)).withColumnRenamed("root", "person_id")
+def people(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
+    """Observations, written once as every step reads them, and obs_id, person_id: a person is its component's smallest observation."""
+    obs = written(observations(spark, sf))
+    return obs, resolve.clustered(obs, scored(obs)).withColumnRenamed("root", "person_id")
 
 
 def event_cases(spark: SparkSession, sf: str) -> DataFrame:
@@ -152,7 +155,7 @@ def evidence(spark: SparkSession, sf: str) -> DataFrame:
     """All evidence rows of the graph."""
     from caseloom.operators import graph
 
-    e, s, o, m = events(spark, sf), signals(spark, sf), observations(spark, sf), members(spark, sf)
+    e, s, (o, m) = events(spark, sf), signals(spark, sf), people(spark, sf)
     ic = graph.event_in_case(e, event_cases(spark, sf))
     return ic.unionByName(graph.mentioned_in_event(m, o, e)).unionByName(graph.person_in_case(m, o, s, normal_name(F.col("person_text"))))
 

@@ -21,7 +21,7 @@ QUERIES: dict[str, Query] = {}
 ORACLE: dict[str, str] = {}
 
 #: Parameters of the example queries.
-CASE, BUDGET, PER_FILE, OVERALL = "CASE6", 20_000, 2, 300
+CASE, BUDGET, PER_FILE, OVERALL = "CASE2", 20_000, 2, 300
 
 
 def query(ctes: str | None, select: str = "") -> Callable[[Query], Query]:
@@ -165,23 +165,24 @@ def name_norm(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(O.PEOPLE, 'SELECT key_type, "left", "right" FROM pairs')
 def blocking_pairs(spark: SparkSession, sf: str) -> DataFrame:
-    return A.pairs(spark, sf).select("key_type", "left", "right")
+    return A.pairs(written(A.observations(spark, sf))).select("key_type", "left", "right")
 
 
 @query(O.PEOPLE, "SELECT * FROM sp")
 def pair_scores(spark: SparkSession, sf: str) -> DataFrame:
-    return A.scored(spark, sf).select("left", "right", "score", "decision")
+    return A.scored(written(A.observations(spark, sf))).select("left", "right", "score", "decision", F.array_join("reasons", "|").alias("reasons"))
 
 
 @query(O.PEOPLE, 'SELECT decision, count(*) AS attempted, count(DISTINCT ("left", "right")) AS n_pairs FROM pairs JOIN sp USING ("left", "right") GROUP BY decision')
 def decision_histogram(spark: SparkSession, sf: str) -> DataFrame:
-    p = A.pairs(spark, sf)
-    return resolve.decision_histogram(p, resolve.scored_pairs(p, A.observations(spark, sf)))
+    obs = written(A.observations(spark, sf))
+    p = written(A.pairs(obs))
+    return resolve.decision_histogram(p, resolve.scored_pairs(p, obs))
 
 
 @query(O.PEOPLE, "SELECT obs_id, person_id FROM mem")
 def person_components(spark: SparkSession, sf: str) -> DataFrame:
-    return A.members(spark, sf)
+    return A.people(spark, sf)[1]
 
 
 _DISPLAY = """SELECT person_id, (SELECT name_norm FROM obs o JOIN mem USING (obs_id) WHERE mem.person_id = m.person_id GROUP BY name_norm ORDER BY count(*) DESC, name_norm LIMIT 1) AS display_name_norm,
@@ -190,14 +191,14 @@ _DISPLAY = """SELECT person_id, (SELECT name_norm FROM obs o JOIN mem USING (obs
 
 @query(O.PEOPLE, _DISPLAY)
 def person_display(spark: SparkSession, sf: str) -> DataFrame:
-    obs = A.observations(spark, sf)
-    return resolve.people(obs, A.members(spark, sf).withColumnRenamed("person_id", "root")).withColumnRenamed("root", "person_id")
+    obs, members = A.people(spark, sf)
+    return resolve.people(obs, members.withColumnRenamed("person_id", "root")).withColumnRenamed("root", "person_id")
 
 
 @query(O.PEOPLE, f"SELECT * EXCLUDE (person_id), row_number() OVER (ORDER BY display_name_norm, coalesce(dob, ''), person_id) AS person_no FROM ({_DISPLAY})")
 def person_numbers(spark: SparkSession, sf: str) -> DataFrame:
-    obs = A.observations(spark, sf)
-    people = resolve.people(obs, A.members(spark, sf).withColumnRenamed("person_id", "root"))
+    obs, members = A.people(spark, sf)
+    people = resolve.people(obs, members.withColumnRenamed("person_id", "root"))
     return resolve.person_ids(people).withColumnRenamed("person_id", "person_no").drop("root")
 
 
@@ -274,17 +275,17 @@ def kg_event_in_case(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(O.GRAPH, f"SELECT {_EVID} FROM p_ev")
 def kg_mentions(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.mentioned_in_event(A.members(spark, sf), A.observations(spark, sf), A.events(spark, sf)).select(*_EVID.split(", "))
+    return graph.mentioned_in_event(*A.people(spark, sf)[::-1], A.events(spark, sf)).select(*_EVID.split(", "))
 
 
 @query(O.GRAPH, f"SELECT {_EVID} FROM p_ev JOIN (SELECT chunk_id FROM ev GROUP BY chunk_id HAVING count(*) <= 2) USING (chunk_id)")
 def kg_mentions_capped(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.mentioned_in_event(A.members(spark, sf), A.observations(spark, sf), A.events(spark, sf), 5, 2).select(*_EVID.split(", "))
+    return graph.mentioned_in_event(*A.people(spark, sf)[::-1], A.events(spark, sf), 5, 2).select(*_EVID.split(", "))
 
 
 @query(O.GRAPH, f"SELECT {_EVID} FROM p_case")
 def kg_person_in_case(spark: SparkSession, sf: str) -> DataFrame:
-    return graph.person_in_case(A.members(spark, sf), A.observations(spark, sf), A.signals(spark, sf), T.normal_name(F.col("person_text"))).select(*_EVID.split(", "))
+    return graph.person_in_case(*A.people(spark, sf)[::-1], A.signals(spark, sf), T.normal_name(F.col("person_text"))).select(*_EVID.split(", "))
 
 
 @query(O.GRAPH, "SELECT src_type, src_id, edge_type, dst_type, dst_id, file_id, chunk_id, page_start, page_end, source_phase, max(confidence) AS confidence FROM evid GROUP BY ALL")
@@ -320,7 +321,7 @@ def top_edge_types(spark: SparkSession, sf: str) -> DataFrame:
     return graph.top_edge_types(graph.edges(A.evidence(spark, sf)))
 
 
-@query(O.GRAPH, "SELECT DISTINCT a.src_id AS person, b.src_id AS other FROM edges a JOIN edges b ON a.dst_id = b.dst_id AND a.src_type = 'Person' AND b.src_type = 'Person' AND a.edge_type = 'IN_CASE' AND b.edge_type = 'IN_CASE' AND a.src_id <> b.src_id")
+@query(O.GRAPH, "SELECT person, other FROM (SELECT *, row_number() OVER (PARTITION BY person ORDER BY other) AS r FROM (SELECT DISTINCT a.src_id AS person, b.src_id AS other FROM edges a JOIN edges b ON a.dst_id = b.dst_id AND a.src_type = 'Person' AND b.src_type = 'Person' AND a.edge_type = 'IN_CASE' AND b.edge_type = 'IN_CASE' AND a.src_id <> b.src_id)) WHERE r <= 200")
 def two_hop(spark: SparkSession, sf: str) -> DataFrame:
     return graph.two_hop(written(graph.edges(A.evidence(spark, sf))))
 
@@ -393,12 +394,14 @@ def case_timeline(spark: SparkSession, sf: str) -> DataFrame:
 @query(f"{O.PEOPLE}, {_SCOPE}", "SELECT DISTINCT m.person_id, o.name FROM mem m JOIN obs o USING (obs_id) SEMI JOIN scope ON scope.file_id = o.file_id AND scope.chunk_id = o.chunk_id")
 def profile_aliases(spark: SparkSession, sf: str) -> DataFrame:
     s = A.store(spark, sf)
-    return A.members(spark, sf).join(A.observations(spark, sf), "obs_id").join(readmodels.case_chunks(s, CASE), ["file_id", "chunk_id"], "left_semi").select("person_id", "name").distinct()
+    obs, members = A.people(spark, sf)
+    return members.join(obs, "obs_id").join(readmodels.case_chunks(s, CASE), ["file_id", "chunk_id"], "left_semi").select("person_id", "name").distinct()
 
 
 @query(f"{O.PEOPLE}, {_SCOPE}, ins AS (SELECT obs_id, person_id FROM mem JOIN obs USING (obs_id) SEMI JOIN scope USING (file_id, chunk_id))", "SELECT (SELECT count(DISTINCT person_id) FROM ins) AS people_clusters, count(*) FILTER (decision = 'auto_merge') AS merge_auto_merge, count(*) FILTER (decision = 'needs_review') AS merge_needs_review, count(*) FILTER (decision = 'no_merge') AS merge_no_merge FROM sp WHERE \"left\" IN (SELECT obs_id FROM ins) AND \"right\" IN (SELECT obs_id FROM ins)")
 def indicators(spark: SparkSession, sf: str) -> DataFrame:
-    s = A.store(spark, sf) | {"person_cluster_members": A.members(spark, sf), "person_observations": A.observations(spark, sf), "person_resolution_edges": A.scored(spark, sf)}
+    obs, members = A.people(spark, sf)
+    s = A.store(spark, sf) | {"person_cluster_members": members, "person_observations": obs, "person_resolution_edges": A.scored(obs)}
     return readmodels.case_indicators(s, CASE).frames["dedupe"]
 
 

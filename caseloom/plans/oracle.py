@@ -85,7 +85,7 @@ def _title(e: str) -> str:
 
 
 def _person(i: str, short: str) -> str:
-    return f"({_title(f'({_list(FIRST)})[({i}) % 6 * 2 + {short} + 1]')} || ' ' || {_title(f'({_list(LAST)})[({i}) % 10 + 1]')})"
+    return f"({_title(f'({_list(FIRST)})[({i}) % 6 * 2 + {short} + 1]')} || ' ' || {_title(f'({_list(LAST)})[({i}) % 10 + 1]')} || (({i}) // 60))"
 
 
 _DAY = "strftime(ts, '%Y-%m-%d')"
@@ -96,12 +96,12 @@ ev AS (SELECT event_id, event_type AS event, user_id, ts::DATE AS day,
   CASE WHEN event_id % 17 <> 0 THEN (event_id % 101) / 100 END AS confidence, 'u' || user_id AS file_id, 'u' || user_id || ':' || {_DAY} AS chunk_id,
   day(ts) AS page_start, day(ts) + event_id % 2 AS page_end, 'event ' || event_id || ' ' || event_type AS quote FROM events),
 evc AS (SELECT DISTINCT file_id, chunk_id, user_id, day FROM ev),
-ent AS (SELECT {_person('user_id % 60', '(day(day) // 4) % 2')} AS entity, 'person' AS type, 0.5 + (day(day) % 5) / 10 AS confidence, file_id, chunk_id, day(day) AS page_start, day(day) AS page_end, 'saw ' || chunk_id AS quote, user_id % 60 AS pid, user_id FROM evc WHERE day(day) % 4 = 0
-  UNION ALL SELECT 'Town ' || (user_id % 60 % 5), 'place', 0.5 + (day(day) % 5) / 10, file_id, chunk_id, day(day), day(day), 'in ' || chunk_id, user_id % 60, user_id FROM evc WHERE day(day) % 4 = 0),
+ent AS (SELECT {_person('user_id // 2', 'day(day) % 2')} AS entity, 'person' AS type, 0.5 + (day(day) % 5) / 10 AS confidence, file_id, chunk_id, day(day) AS page_start, day(day) AS page_end, 'saw ' || chunk_id AS quote, user_id // 2 AS pid, user_id FROM evc
+  UNION ALL SELECT 'Town ' || (user_id // 2 % 5), 'place', 0.5 + (day(day) % 5) / 10, file_id, chunk_id, day(day), day(day), 'in ' || chunk_id, user_id // 2, user_id FROM evc),
 sig AS (SELECT entity AS person_text, confidence, file_id, chunk_id, page_start, page_end, quote, s.a AS attribute, s.v AS value, s.n AS value_norm FROM (SELECT *, unnest([
-    {{'a': 'dob', 'k': user_id % 4 <> 3, 'v': '19' || (pid % 30 + 60) || '-0' || (pid % 9 + 1) || '-1' || (pid % 10), 'n': '19' || (pid % 30 + 60) || '-0' || (pid % 9 + 1) || '-1' || (pid % 10)}},
+    {{'a': 'dob', 'k': user_id % 4 <> 3, 'v': (pid % 60 + 1940) || '-' || lpad((pid // 60 % 12 + 1)::VARCHAR, 2, '0') || '-' || lpad((pid // 720 % 28 + 1)::VARCHAR, 2, '0'), 'n': (pid % 60 + 1940) || '-' || lpad((pid // 60 % 12 + 1)::VARCHAR, 2, '0') || '-' || lpad((pid // 720 % 28 + 1)::VARCHAR, 2, '0')}},
     {{'a': 'address', 'k': user_id % 3 = 1, 'v': pid || ' Main  Street', 'n': pid || ' main street'}},
-    {{'a': 'case_id', 'k': user_id % 3 = 0, 'v': ' case ' || (user_id % 20), 'n': 'CASE' || (user_id % 20)}}]) AS s FROM ent WHERE type = 'person') WHERE s.k)
+    {{'a': 'case_id', 'k': user_id % 3 = 0, 'v': ' case ' || (user_id // 6), 'n': 'CASE' || (user_id // 6)}}]) AS s FROM ent WHERE type = 'person') WHERE s.k)
 """
 TIMES = f"""{EVENTS},
 anch AS (SELECT e.*, CASE WHEN day(day) % 2 = 0 THEN day WHEN user_id % 5 <> 0 THEN ('2024-02-' || lpad((user_id % 28 + 1)::VARCHAR, 2, '0'))::DATE END AS anchor FROM ev e),
@@ -131,7 +131,8 @@ pairs AS (SELECT a.obs_id AS "left", b.obs_id AS "right", key_type, key FROM key
 px AS (SELECT p."left", p."right", coalesce(a.dob = b.dob, false) AS d, coalesce(a.address = b.address, false) AS ad, coalesce(a.case_id = b.case_id, false) AS c, a.name_norm = b.name_norm AS x, coalesce(a.dob <> b.dob, false) AS conflict,
   a.name_norm <> b.name_norm AND a.l = b.l AS sl, a.f[1] = b.f[1] AS i, a.ff = b.ff AS nk FROM (SELECT DISTINCT "left", "right" FROM pairs) p JOIN osig a ON a.obs_id = p."left" JOIN osig b ON b.obs_id = p."right"),
 pt AS (SELECT *, (CASE WHEN d THEN 10.0 ELSE 0 END + CASE WHEN ad THEN 6.0 ELSE 0 END + CASE WHEN c THEN 2.0 ELSE 0 END + CASE WHEN x THEN 4.0 ELSE 0 END + CASE WHEN sl THEN 1.0 ELSE 0 END + CASE WHEN sl AND i THEN 1.0 ELSE 0 END + CASE WHEN sl AND nk THEN 2.0 ELSE 0 END)::DOUBLE AS total FROM px),
-sp AS (SELECT "left", "right", CASE WHEN conflict THEN -100.0 ELSE total END::DOUBLE AS score, CASE WHEN conflict THEN 'no_merge' WHEN d OR (ad AND (x OR sl AND nk) AND total >= 9) THEN 'auto_merge' WHEN (c AND NOT d AND NOT ad) OR total >= 5 THEN 'needs_review' ELSE 'no_merge' END AS decision FROM pt),
+sp AS (SELECT "left", "right", CASE WHEN conflict THEN -100.0 ELSE total END::DOUBLE AS score, CASE WHEN conflict THEN 'no_merge' WHEN d OR (ad AND (x OR sl AND nk) AND total >= 9) THEN 'auto_merge' WHEN (c AND NOT d AND NOT ad) OR total >= 5 THEN 'needs_review' ELSE 'no_merge' END AS decision,
+  CASE WHEN conflict THEN 'dob_conflict' ELSE array_to_string(list_filter([CASE WHEN d THEN 'dob_match' END, CASE WHEN ad THEN 'address_match' END, CASE WHEN c THEN 'case_id_match' END, CASE WHEN x THEN 'name_exact' END, CASE WHEN sl THEN 'last_name_match' END, CASE WHEN sl AND i THEN 'first_initial_match' END, CASE WHEN sl AND nk THEN 'nickname_match' END, CASE WHEN NOT (d OR (ad AND (x OR sl AND nk) AND total >= 9)) AND NOT d AND NOT ad AND (c OR total >= 5) THEN CASE WHEN c THEN 'case_id_only' ELSE 'weak_match' END END], lambda r: r IS NOT NULL), '|') END AS reasons FROM pt),
 links AS (SELECT "left" AS a, "right" AS b FROM sp WHERE decision = 'auto_merge' UNION SELECT "right", "left" FROM sp WHERE decision = 'auto_merge'),
 reach(obs_id, root) AS (SELECT obs_id, obs_id FROM obs UNION SELECT l.b, r.root FROM reach r JOIN links l ON l.a = r.obs_id WHERE r.root < l.b),
 mem AS (SELECT obs_id, min(root) AS person_id FROM reach GROUP BY obs_id)
