@@ -151,8 +151,8 @@ def keyword_patterns(keywords: list[str]) -> list[str]:
 
 
 def keyword_hits(c: Column, packs: dict[str, list[str]] | None = None) -> dict[str, Column]:
-    """Hits by pack in a lower-case text. A keyword that is listed twice counts once."""
-    counts = {pack: [count_of(c, p) for p in keyword_patterns(words)] for pack, words in (packs or PACKS).items()}
+    """Hits by pack in a lower-case text. A keyword that is listed twice counts once. Packs that are given come beside the default ones, or in their place by name."""
+    counts = {pack: [count_of(c, p) for p in keyword_patterns(words)] for pack, words in (PACKS | (packs or {})).items()}
     return {pack: sum(ns[1:], ns[0]) if ns else F.lit(0) for pack, ns in counts.items()}
 
 

@@ -3,7 +3,8 @@
 from __future__ import annotations
 
 from collections import Counter
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from functools import reduce
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions import text as T
 from caseloom.functions.text import analysed, token_estimate
+from caseloom.sources.scratch import written
 
 #: Scores below are skipped; from the second on the large model reads the chunk.
 SKIP, LARGE = 0.10, 0.75
@@ -116,25 +118,58 @@ def count_caps(scored: DataFrame, per_file: int | None, overall: int | None) ->
 
 
 def token_budget(scored: DataFrame, budget: int, per_file: int | None = None) -> DataFrame:
-    """Greedy by (score desc, chunk_id): a chunk that no longer fits is passed over, later ones may fit.
+    """Greedy by (score desc, chunk_id): a chunk that no longer fits is passed over, later ones may fit; at most per_file of a file.
 
-    The walk needs one order over all chunks. Only (chunk_id, file_id, tokens) travel, range-sorted; a partition's walk
-    depends on what was spent before it, so partitions are taken in order, each a task, until what is left
-    is under the smallest chunk.
+    (chunk_id, file_id, tokens) are range-sorted once into a written table. As long as whole parts fit they are taken by their sums alone; only the part
+    where the budget bites is walked, by one task that holds one number and its own files' counts, and after it what fits
+    is summed again. A part is walked once at most, and all ends when what is left is under the smallest chunk. The driver sees one row for each part.
     """
-    keep = scored.select("chunk_id", "file_id", "token_est", "score").where(F.col("token_est") <= budget)
-    rows = keep.orderBy(F.desc("score"), "chunk_id").select("chunk_id", "file_id", "token_est").toLocalIterator(prefetchPartitions=True)
-    least = keep.agg(F.min("token_est")).first()[0]
-    left, taken, files = budget, [], {}
-    for r in rows:
-        if left < (least or 0) or left <= 0 and (least or 0) > 0:
+    order = [F.desc("score"), F.col("chunk_id")]
+    keep = scored.select("chunk_id", "file_id", F.col("token_est").cast("long").alias("token_est"), "score").where(F.col("token_est") <= budget)
+    rows = written(keep.repartitionByRange(*order).withColumn("part", F.spark_partition_id()))
+    left, at, taken = budget, 0, []
+
+    def counted(live: DataFrame) -> DataFrame:
+        """live with `had`, the chunks that its file was given so far."""
+        if per_file is None or not taken:
+            return live.withColumn("had", F.lit(0).cast("long"))
+        return live.join(reduce(DataFrame.unionByName, taken).groupBy("file_id").agg(F.count("*").alias("had")), "file_id", "left").withColumn("had", F.coalesce("had", F.lit(0).cast("long")))
+
+    def walk(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        room, given = left, {}
+        for batch in batches:
+            picked = []
+            for i, (f, n, had) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("file_id", "token_est", "had")))):
+                if n <= room and (per_file is None or given.get(f, had) < per_file):
+                    room -= n
+                    if per_file is not None:
+                        given[f] = given.get(f, had) + 1
+                    picked.append(i)
+            yield batch.select(["chunk_id", "file_id", "token_est"]).take(pa.array(picked, pa.int64()))
+
+    while True:
+        live = counted(rows.where((F.col("part") >= at) & (F.col("token_est") <= left)))
+        fit = live
+        if per_file is not None:
+            fit = live.withColumn("r", F.row_number().over(Window.partitionBy("file_id").orderBy(*order)) + F.col("had")).where(F.col("r") <= per_file)
+        sums = fit.groupBy("part").agg(F.sum("token_est").alias("n")).orderBy("part").collect()
+        whole, bite = 0, None
+        for r in sums:
+            if whole + r.n > left:
+                bite = r.part
+                break
+            whole += r.n
+        if bite is None:
+            taken.append(fit.select("chunk_id", "file_id", "token_est"))
             break
-        if r.token_est <= left and (per_file is None or files.get(r.file_id, 0) < per_file):
-            left -= r.token_est
-            files[r.file_id] = files.get(r.file_id, 0) + 1
-            taken.append((r.chunk_id,))
-    ids = scored.sparkSession.createDataFrame(taken, "chunk_id string")
-    return scored.join(ids, "chunk_id", "left_semi")
+        if whole:
+            taken.append(written(fit.where(F.col("part") < bite).select("chunk_id", "file_id", "token_est")))
+        left -= whole
+        one = counted(rows.where((F.col("part") == bite) & (F.col("token_est") <= left))).coalesce(1).sortWithinPartitions(*order)
+        taken.append(written(one.select("chunk_id", "file_id", "token_est", "had").mapInArrow(walk, "chunk_id string, file_id string, token_est long")))
+        left -= taken[-1].agg(F.coalesce(F.sum("token_est"), F.lit(0))).first()[0]
+        at = bite + 1
+    return scored.join(reduce(DataFrame.unionByName, taken).select("chunk_id").distinct(), "chunk_id", "left_semi")
 
 
 def allowed_files(df: DataFrame, allow: DataFrame | None, deny: DataFrame | None) -> DataFrame:
@@ -149,6 +184,29 @@ def by_route(df: DataFrame, routes: list[str], triage: DataFrame | None) -> Data
     return df if triage is None else df.join(triage.where(F.col("route").isin(routes)).select("chunk_id"), "chunk_id", "left_semi")
 
 
-def route_breakdown(triage: DataFrame) -> DataFrame:
-    """Per route: records as they are, and tokens over chunks, of which the last record counts."""
-    return triage.groupBy("route").agg(F.count("*").alias("records"), F.countDistinct("chunk_id").alias("n_chunks"), F.sum("token_est").alias("tokens"), F.round(F.avg("score"), 6).alias("avg_score"))
+LLM_ROUTES = ("llm_small", "llm_large")
+
+
+def routes_of(triage: DataFrame) -> DataFrame:
+    """triage with `route` and `predicted_route` as reports name them: a missing route is unknown, a missing prediction is the route."""
+    route = F.coalesce(F.nullif("route", F.lit("")), F.lit("unknown"))
+    predicted = F.coalesce(F.nullif("predicted_route", F.lit("")), route) if "predicted_route" in triage.columns else route
+    return triage.withColumns({"route": route, "predicted_route": predicted})
+
+
+def route_breakdown(triage: DataFrame, order: list[str] | None = None, total: int | None = None) -> DataFrame:
+    """kind (route, predicted_route), route, count, pct_of_chunks, tokens_est.
+
+    Counts are of all records. Tokens are of chunks: of a chunk's records the last by `order` names its route and its tokens. The
+    percentage is of `total` chunks, or of the chunk ids there are.
+    """
+    t = routes_of(triage).select("route", "predicted_route", "chunk_id", F.coalesce("token_est", F.lit(0)).cast("long").alias("token_est"), *(order or []))
+    last = t.where(F.col("chunk_id") != "").groupBy("chunk_id").agg(F.max_by(F.struct("route", "predicted_route", "token_est"), F.struct(*(order or ["token_est"]))).alias("x")).select("x.*")
+    both = lambda df, *rest: df.select(F.explode(F.array(*[F.struct(F.lit(k).alias("kind"), F.col(k).alias("route")) for k in ("route", "predicted_route")])).alias("k"), *rest).select("k.*", *rest)
+    seen = both(t).groupBy("kind", "route").agg(F.count("*").alias("count"))
+    tokens = both(last, "token_est").groupBy("kind", "route").agg(F.sum("token_est").alias("tokens_est"), F.count("*").alias("__n"))
+    out = seen.join(tokens, ["kind", "route"], "left").withColumn("tokens_est", F.coalesce("tokens_est", F.lit(0)))
+    # Routes are a handful, so a window over the report's rows is small.
+    chunks = F.lit(total) if total is not None else F.sum("__n").over(Window.partitionBy("kind"))
+    pct = F.when(chunks > 0, F.round(F.col("count") / chunks * 100, 3)).otherwise(0.0)
+    return out.withColumn("pct_of_chunks", pct).select("kind", "route", "count", "pct_of_chunks", "tokens_est")

@@ -66,9 +66,21 @@ def triage_score(spark: SparkSession, sf: str) -> DataFrame:
     return A.triaged(spark, sf).select("chunk_id", F.round("score", 6).alias("score"), "token_est", "low_quality", "complex_narrative", "route")
 
 
-@query(O.TRIAGE, "SELECT route, count(*) AS records, count(DISTINCT chunk_id) AS n_chunks, sum(token_est)::BIGINT AS tokens, round(avg(score), 6) AS avg_score FROM triage GROUP BY route")
+#: A second record of every fifth chunk, with another route, or none, and another estimate; predictions are there for some.
+_AGAIN = """recs AS (SELECT chunk_id, 0 AS seq, route, token_est, CASE WHEN token_est % 3 = 0 THEN 'llm_large' WHEN token_est % 3 = 1 THEN '' END AS predicted FROM triage
+  UNION ALL SELECT chunk_id, 1, CASE WHEN token_est % 2 = 0 THEN 'skip' END, token_est + 7, NULL FROM triage WHERE token_est % 5 = 0),
+named AS (SELECT chunk_id, seq, token_est, coalesce(route, 'unknown') AS route, coalesce(nullif(predicted, ''), coalesce(route, 'unknown')) AS predicted FROM recs),
+final AS (SELECT * FROM named n WHERE NOT EXISTS (SELECT 1 FROM named m WHERE m.chunk_id = n.chunk_id AND m.seq > n.seq)),
+sides AS (SELECT 'route' AS kind, route, count(*) AS c FROM named GROUP BY ALL UNION ALL SELECT 'predicted_route', predicted, count(*) FROM named GROUP BY ALL)"""
+
+
+@query(f"{O.TRIAGE}, {_AGAIN}", "SELECT kind, route, c AS count, round(c / (SELECT count(*) FROM triage) * 100, 3) AS pct_of_chunks, coalesce(CASE kind WHEN 'route' THEN (SELECT sum(token_est) FROM final f WHERE f.route = s.route) ELSE (SELECT sum(token_est) FROM final f WHERE f.predicted = s.route) END, 0)::BIGINT AS tokens_est FROM sides s")
 def triage_route_breakdown(spark: SparkSession, sf: str) -> DataFrame:
-    return triage.route_breakdown(A.triaged(spark, sf))
+    t = A.triaged(spark, sf).select("chunk_id", "route", "token_est")
+    n = F.col("token_est")
+    first = F.struct(F.lit(0).alias("seq"), "route", n.alias("token_est"), F.when(n % 3 == 0, "llm_large").when(n % 3 == 1, "").alias("predicted_route"))
+    second = F.struct(F.lit(1).alias("seq"), F.when(n % 2 == 0, "skip").alias("route"), (n + 7).alias("token_est"), F.lit(None).cast("string").alias("predicted_route"))
+    return triage.route_breakdown(t.select("chunk_id", F.explode(F.array_compact(F.array(first, F.when(n % 5 == 0, second)))).alias("x")).select("chunk_id", "x.*"), ["seq"])
 
 
 @query(O.TRIAGE, "SELECT chunk_id, r.gate, r.predicted, CASE WHEN route = 'skip' AND r.predicted <> 'skip' THEN r.predicted ELSE route END AS effective FROM (SELECT chunk_id, route, CASE WHEN ps >= 0.9 THEN {'gate': 'p_skip_high', 'predicted': 'skip'} WHEN pl >= 0.6 THEN {'gate': 'p_large_high', 'predicted': 'llm_large'} WHEN complex_narrative THEN {'gate': 'complex_narrative', 'predicted': 'llm_large'} WHEN low_quality AND score >= 0.75 THEN {'gate': 'low_quality_high_heuristic_score', 'predicted': 'llm_large'} ELSE {'gate': 'default_llm_small', 'predicted': 'llm_small'} END AS r FROM (SELECT *, (token_est % 20) / 20 AS ps, (token_est % 7) / 10 AS pl FROM triage))")
@@ -82,10 +94,10 @@ def budget_count_caps(spark: SparkSession, sf: str) -> DataFrame:
     return triage.count_caps(A.triaged(spark, sf), PER_FILE, OVERALL).select("chunk_id", "token_est")
 
 
-@query(None)
+@query(f"{O.TRIAGE}, ord AS (SELECT chunk_id, file_id, token_est, row_number() OVER (ORDER BY score DESC, chunk_id) AS r FROM triage), walk(r, room) AS (SELECT 0::BIGINT, {BUDGET}::BIGINT UNION ALL SELECT r, room FROM (SELECT o.r, w.room - o.token_est AS room, row_number() OVER (ORDER BY o.r) AS k FROM walk w JOIN ord o ON o.r > w.r AND o.token_est <= w.room) WHERE k = 1)", "SELECT chunk_id, file_id, token_est FROM ord SEMI JOIN walk USING (r)")
 def budget_token_greedy(spark: SparkSession, sf: str) -> DataFrame:
     scored = written(A.triaged(spark, sf).select("chunk_id", "file_id", "token_est", "score"))
-    return triage.token_budget(scored, BUDGET)
+    return triage.token_budget(scored, BUDGET).select("chunk_id", "file_id", "token_est")
 
 
 @query(O.CHUNKS, "SELECT chunk_id, substr(trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(t, '[A-Za-z0-9._%+-]+@[A-Za-z0-9.-]+\\.[A-Za-z]{2,}', '[email]', 'g'), '\\+?\\d[\\d() .-]{7,}\\d', '[phone]', 'g'), '\\d', '0', 'g'), '\\s+', ' ', 'g')), 1, 120) AS preview FROM chunks")

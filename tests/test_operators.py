@@ -56,6 +56,36 @@ def test_greedy_budget_against_brute_force(spark):
     assert {r.chunk_id for r in triage.token_budget(df, 5000).collect()} == want
 
 
+def test_greedy_budget_with_files_over_many_parts(spark):
+    rows = [(f"c{i:04d}", f"f{i * i % 23}", (i * 7919) % 97, (i * 31 % 50) / 50) for i in range(3000)]
+    df = spark.createDataFrame(rows, "chunk_id string, file_id string, token_est int, score double")
+    for budget, per_file in ((0, None), (50, 2), (3000, None), (9000, 5), (20_000, 40), (10**6, 3), (10**6, None)):
+        left, want, files = budget, set(), {}
+        for c, f, n, _ in sorted(rows, key=lambda r: (-r[3], r[0])):
+            if n <= left and (per_file is None or files.get(f, 0) < per_file):
+                left, files[f] = left - n, files.get(f, 0) + 1
+                want.add(c)
+        assert {r.chunk_id for r in triage.token_budget(df, budget, per_file).collect()} == want, (budget, per_file)
+
+
+def test_route_breakdown_counts_records_and_tokens_of_last_ones(spark):
+    rows = [("a", 0, "skip", 5, None), ("a", 1, "llm_small", 7, "llm_large"), ("b", 0, None, 3, ""), ("", 0, "skip", 100, None)]
+    got = triage.route_breakdown(spark.createDataFrame(rows, "chunk_id string, seq int, route string, token_est int, predicted_route string"), ["seq"], 4)
+    assert {(r.kind, r.route): (r["count"], r.pct_of_chunks, r.tokens_est) for r in got.collect()} == {
+        ("route", "skip"): (2, 50.0, 0), ("route", "llm_small"): (1, 25.0, 7), ("route", "unknown"): (1, 25.0, 3),
+        ("predicted_route", "skip"): (2, 50.0, 0), ("predicted_route", "llm_large"): (1, 25.0, 7), ("predicted_route", "unknown"): (1, 25.0, 3),
+    }
+
+
+def test_given_packs_come_beside_the_default_ones(spark):
+    from caseloom.functions import text as T
+
+    df = spark.createDataFrame([("zebra zebra police",)], "t string")
+    name = next(iter(T.PACKS))
+    hits = T.keyword_hits(F.col("t"), {"own": ["zebra"], name: ["police"]})
+    assert set(hits) == {*T.PACKS, "own"} and df.select(hits["own"], hits[name]).first() == (2, 1)
+
+
 def test_rows_with_nulls_in_their_key_stay(spark):
     df = spark.createDataFrame([("a", 1), ("a", 1), ("a", None), ("a", None)], "x string, y int")
     assert nulls.unique_rows(df, ["x", "y"]).count() == 3
