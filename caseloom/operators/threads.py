@@ -90,10 +90,32 @@ def threads(segs: DataFrame, pairs: DataFrame) -> tuple[DataFrame, DataFrame]:
     links = pairs.where("decision = 'link'").select(F.col("left").alias("a"), F.col("right").alias("b"))
     members = segs.join(components(segs.select(F.col("segment_id").alias("node")), links).withColumnRenamed("node", "segment_id"), "segment_id")
     sort_key = F.concat_ws("|", F.coalesce("anchor_date", F.lit("9999-12-31")), "file_id", "chunk_id")
-    names = F.array_sort(F.collect_list(F.concat("file_id", F.lit(":"), "chunk_id")))
-    head = members.groupBy("root", "case_id_norm").agg(names.alias("names"), F.count("*").alias("n_segments"))
-    key = F.sha2(F.concat("case_id_norm", F.lit("|"), F.array_join("names", ",")), 256)
-    return members.select("segment_id", "root", sort_key.alias("sort_key")), head.select("root", "case_id_norm", key.alias("thread_key"), "n_segments").join(labels(members), "root", "left")
+    head = members.groupBy("root", "case_id_norm").agg(F.count("*").alias("n_segments"))
+    head = head.join(thread_keys(members), ["root", "case_id_norm"])
+    return members.select("segment_id", "root", sort_key.alias("sort_key")), head.select("root", "case_id_norm", "thread_key", "n_segments").join(labels(members), "root", "left")
+
+
+#: Names of a thread that are hashed together, about.
+NAMES = 4096
+
+
+def thread_keys(members: DataFrame, most: int = NAMES) -> DataFrame:
+    """root, case_id_norm, thread_key: a hash of the case and the sorted names of the thread's segments.
+
+    Of a thread of more than `most` segments it is the hash of such hashes, of its names in buckets by their own hash, so no row holds all names.
+    """
+    named = members.select("root", "case_id_norm", F.concat("file_id", F.lit(":"), "chunk_id").alias("name"))
+    sizes = named.groupBy("root", "case_id_norm").agg(F.ceil(F.count("*") / most).alias("buckets"))
+    dealt = named.join(sizes, ["root", "case_id_norm"]).withColumn("bucket", F.pmod(F.xxhash64("name"), F.col("buckets")))
+    listed = dealt.groupBy("root", "case_id_norm", "buckets", "bucket").agg(F.array_join(F.array_sort(F.collect_list("name")), ",").alias("names"))
+    part = F.when(F.col("buckets") == 1, F.col("names")).otherwise(F.sha2("names", 256))
+    whole = listed.groupBy("root", "case_id_norm").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("bucket", part.alias("x")))), lambda s: s["x"]), ",").alias("names"))
+    return whole.select("root", "case_id_norm", F.sha2(F.concat("case_id_norm", F.lit("|"), "names"), 256).alias("thread_key"))
+
+
+def participant_rows(members: DataFrame, segs: DataFrame) -> DataFrame:
+    """thread_id, segment_id, participant_key: a row for each key of a member."""
+    return members.join(segs.select("segment_id", "participant_keys"), "segment_id").select(F.col("root").alias("thread_id"), "segment_id", F.explode("participant_keys").alias("participant_key"))
 
 
 def labels(members: DataFrame) -> DataFrame:

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions import ids as I
 from caseloom.functions import text as T
-from caseloom.operators import graph, loading, nulls, readmodels, resolve, routeml, threads, triage, validate
+from caseloom.operators import chunking, graph, loading, nulls, readmodels, resolve, routeml, threads, triage, validate
 from caseloom.plans import adapters as A
 from caseloom.plans import oracle as O
 from caseloom.sources.export import cypher_edges
@@ -424,8 +424,8 @@ _REC = """rec AS (SELECT ['entities', 'events', 'conversations', 'identity_signa
   CASE WHEN (token_est + k) % 13 = 0 THEN 'invalid_json' WHEN (token_est + k) % 17 = 0 THEN 'rules_error' END AS error, CASE WHEN token_est % 2 = 0 THEN 'm1' ELSE '' END AS model, route, CASE WHEN token_est % 3 = 0 THEN 'llm_large' ELSE route END AS predicted_route FROM triage, (SELECT unnest([0, 1, 2, 3]) AS k))"""
 
 
-def _records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
-    t = written(A.triaged(spark, sf).select("chunk_id", "file_id", "text", "token_est", "route", "low_quality", "score"))
+def _records(spark: SparkSession, sf: str, chunks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
+    t = written(triage.triaged(chunks if chunks is not None else A.chunks(spark, sf)).select("chunk_id", "file_id", "text", "token_est", "route", "low_quality", "score"))
     k, n = F.col("k"), F.col("token_est") + F.col("k")
     rows = t.withColumn("k", F.explode(F.array(*map(F.lit, range(4)))))
     error = F.when(n % 13 == 0, "invalid_json").when(n % 17 == 0, "rules_error")
@@ -433,7 +433,7 @@ def _records(spark: SparkSession, sf: str) -> tuple[DataFrame, DataFrame]:
     return recs, t.withColumn("predicted_route", F.when(F.col("token_est") % 3 == 0, "llm_large").otherwise(F.col("route")))
 
 
-@query(f"{O.TRIAGE}, {_REC}", "SELECT extractor, route, predicted_route, model, count(*) AS records, count(*) FILTER (n_items > 0 AND error IS NULL) AS with_items, count(*) FILTER (error IS NOT NULL) AS with_error, count(*) FILTER (error = 'invalid_json') AS invalid_json, round(count(*) FILTER (n_items > 0 AND error IS NULL) / count(*) * 100, 3) AS yield_pct FROM (SELECT * REPLACE (coalesce(nullif(model, ''), 'unknown') AS model) FROM rec) GROUP BY GROUPING SETS ((extractor), (extractor, route), (extractor, predicted_route), (predicted_route), (route, model))")
+@query(f"{O.TRIAGE}, {_REC}", "SELECT extractor, route, predicted_route, model, count(*) AS records, count(*) FILTER (n_items > 0 AND error IS NULL) AS with_items, count(*) FILTER (error IS NOT NULL) AS with_error, count(*) FILTER (error = 'invalid_json') AS invalid_json, round(count(*) FILTER (n_items > 0 AND error IS NULL) / count(*) * 100, 3) AS yield_pct, round(count(*) FILTER (error IS NOT NULL) / count(*) * 100, 3) AS error_pct, round(count(*) FILTER (error = 'invalid_json') / count(*) * 100, 3) AS invalid_json_pct FROM (SELECT * REPLACE (coalesce(nullif(model, ''), 'unknown') AS model) FROM rec) GROUP BY GROUPING SETS ((extractor), (extractor, route), (extractor, predicted_route), (predicted_route), (route, model))")
 def yield_grouping_sets(spark: SparkSession, sf: str) -> DataFrame:
     recs, t = _records(spark, sf)
     return validate.yield_sets(validate.llm_rows(recs, t))
@@ -444,12 +444,53 @@ def retry_set(spark: SparkSession, sf: str) -> DataFrame:
     return validate.retry_chunks(_records(spark, sf)[0])
 
 
-@query(f"{O.TRIAGE}, {_REC}", """SELECT *, round(empty_pages / pages * 100, 3) AS empty_pct, round(routed_chunks / chunks * 100, 3) AS routed_pct, round(with_items / records * 100, 3) AS yield_pct, round(yielding_chunks * 1000 / chunks, 3) AS yield_per_1k_chunks FROM (SELECT
-  (SELECT count(DISTINCT file_id) FROM pages) AS files, (SELECT count(*) FROM pages) AS pages, (SELECT count(*) FROM pages WHERE trim(text) = '') AS empty_pages, (SELECT count(*) FROM triage) AS chunks, (SELECT count(*) FROM triage WHERE dialogue) AS dialogue_chunks,
-  (SELECT count(*) FROM triage WHERE route <> 'skip') AS routed_chunks, (SELECT sum(token_est)::BIGINT FROM triage WHERE route <> 'skip') AS routed_tokens, (SELECT count(*) FROM rec) AS records, (SELECT count(*) FROM rec WHERE n_items > 0 AND error IS NULL) AS with_items, (SELECT count(DISTINCT chunk_id) FROM rec WHERE n_items > 0 AND error IS NULL) AS yielding_chunks)""")
+_PAGE_FACTS = "facts AS (SELECT *, CASE page_index % 3 WHEN 0 THEN 'pdf_text' WHEN 1 THEN 'ocr' END AS source, page_index % 7 = 5 AS flagged FROM pages), asked AS (SELECT * FROM rec WHERE extractor <> 'identity_signals')"
+_ROLLUP = """SELECT *, round(chunks_with_entities / total_chunks * 100, 3) AS entity_yield_pct, round(chunks_with_events / total_chunks * 100, 3) AS event_yield_pct, round(llm_invalid_json_records / llm_total_records * 100, 3) AS llm_invalid_json_rate_pct,
+  round(empty_text_pages / total_pages * 100, 3) AS empty_text_page_rate_pct, round(pages_ocr / total_pages * 100, 3) AS ocr_page_rate_pct, round(pages_low_quality / total_pages * 100, 3) AS low_quality_page_rate_pct,
+  round(routed_to_llm_chunks / total_chunks * 100, 3) AS routed_to_llm_pct, round(predicted_routed_to_llm_chunks / total_chunks * 100, 3) AS predicted_routed_to_llm_pct, round(chunks_with_entities * 1000 / total_chunks, 3) AS entities_per_1k_chunks,
+  round(chunks_with_events * 1000 / total_chunks, 3) AS events_per_1k_chunks, round((SELECT count(*) FROM rec WHERE extractor = 'conversations' AND n_items > 0 AND error IS NULL) * 1000 / total_chunks, 3) AS conversations_per_1k_chunks,
+  round((SELECT count(DISTINCT chunk_id) FROM asked WHERE n_items > 0 AND error IS NULL) * 1000 / total_chunks, 3) AS yield_per_1k_chunks, 4 AS json_decode_errors_chunks,
+  CASE WHEN pages_low_quality / total_pages > 0.3 THEN 'phase3_low_quality_page_rate_high' ELSE '' END AS warnings FROM (SELECT
+  (SELECT count(DISTINCT file_id) FROM facts) AS docs, (SELECT count(*) FROM facts) AS total_pages, (SELECT count(*) FROM facts WHERE NOT regexp_matches(text, '\\S')) AS empty_text_pages, (SELECT count(*) FROM facts WHERE source = 'pdf_text') AS pages_pdf_text,
+  (SELECT count(*) FROM facts WHERE source = 'ocr') AS pages_ocr, (SELECT count(*) FROM facts WHERE flagged OR NOT regexp_matches(text, '\\S')) AS pages_low_quality, (SELECT count(*) FROM triage) AS total_chunks, (SELECT count(*) FROM triage WHERE dialogue) AS dialogue_chunks,
+  (SELECT count(*) FROM triage) AS triage_records, (SELECT count(*) FROM triage WHERE route LIKE 'llm%') AS routed_to_llm_chunks, (SELECT sum(token_est)::BIGINT FROM triage WHERE route LIKE 'llm%') AS routed_to_llm_tokens_est,
+  (SELECT count(*) FROM triage WHERE route LIKE 'llm%' OR token_est % 3 = 0) AS predicted_routed_to_llm_chunks, (SELECT sum(token_est)::BIGINT FROM triage WHERE route LIKE 'llm%' OR token_est % 3 = 0) AS predicted_routed_to_llm_tokens_est,
+  (SELECT count(*) FROM rec WHERE extractor = 'entities') AS entity_records, (SELECT count(*) FROM rec WHERE extractor = 'events') AS event_records, (SELECT count(*) FROM rec WHERE extractor = 'entities' AND n_items > 0) AS chunks_with_entities,
+  (SELECT count(*) FROM rec WHERE extractor = 'events' AND n_items > 0) AS chunks_with_events, (SELECT count(*) FROM asked) AS llm_total_records, (SELECT count(*) FROM asked WHERE error = 'invalid_json') AS llm_invalid_json_records)"""
+
+
+@query(f"{O.TRIAGE}, {_REC}, {_PAGE_FACTS}", _ROLLUP)
 def qa_rollup(spark: SparkSession, sf: str) -> DataFrame:
+    """Pages get a source and a flag by their number. Pages and chunks are written once, as several parts read them."""
+    i = F.col("page_index")
+    pages = written(A.pages(spark, sf))
+    chunks = written(chunking.chunks(pages))
+    recs, t = _records(spark, sf, chunks)
+    facts = pages.withColumns({"source": F.when(i % 3 == 0, "pdf_text").when(i % 3 == 1, "ocr"), "quality_flags": F.array_compact(F.array(F.lit("review"), F.when(i % 7 == 5, "low_text")))})
+    return validate.rollup(facts, chunks, t, recs, {"chunks": 4}).drop("low_quality_chunks").withColumn("warnings", F.array_join("warnings", "|"))
+
+
+@query(f"{O.TRIAGE}, {_REC}, ways AS (SELECT 'route' AS kind, route AS dest, extractor, n_items, error FROM rec UNION ALL SELECT 'predicted_route', predicted_route, extractor, n_items, error FROM rec)", "SELECT *, CASE WHEN records > 0 THEN round(with_items / records * 100, 3) ELSE 0.0 END AS yield_pct, CASE WHEN records > 0 THEN round(with_error / records * 100, 3) ELSE 0.0 END AS error_rate_pct FROM (SELECT kind, extractor, count(*) FILTER (dest LIKE 'llm%') AS records, count(*) FILTER (dest LIKE 'llm%' AND n_items > 0 AND error IS NULL) AS with_items, count(*) FILTER (dest LIKE 'llm%' AND error IS NOT NULL) AS with_error FROM ways GROUP BY ALL)")
+def yield_of_routed(spark: SparkSession, sf: str) -> DataFrame:
     recs, t = _records(spark, sf)
-    return validate.rollup(A.pages(spark, sf), A.chunks(spark, sf), t, recs).drop("low_quality_chunks")
+    return validate.routed_yields(validate.llm_rows(recs, t))
+
+
+@query("p AS (SELECT doc_id AS file_id, chunk AS i FROM documents, (SELECT unnest(generate_series(0, 3)) AS chunk) WHERE chunk <= doc_id % 4)", "SELECT file_id, count(*) AS page_count, round(avg(greatest(0.0, least(1.0, coalesce(CASE WHEN (file_id + i) % 6 <> 5 THEN ((file_id + i) % 6 - 1) / 3 END, 0.0)))), 6) AS quality_score FROM p GROUP BY file_id")
+def document_quality(spark: SparkSession, sf: str) -> DataFrame:
+    """Up to four pages a document; scores below 0, above 1 and missing."""
+    p = A.table(spark, sf, "documents").select(F.col("doc_id").alias("file_id"), F.explode(F.sequence(F.lit(0), (F.col("doc_id") % 4).cast("int"))).alias("i"))
+    n = (F.col("file_id") + F.col("i")) % 6
+    return validate.document_quality(p.withColumn("quality_score_page", F.when(n != 5, (n - 1) / 3)))
+
+
+@query(O.TALK, "SELECT 'conversation_segments' AS \"check\", (SELECT count(*) FROM seg) AS n UNION ALL SELECT 'conversation_threads', (SELECT count(DISTINCT root) FROM tm) UNION ALL SELECT 'conversation_thread_segments', (SELECT count(*) FROM seg) UNION ALL SELECT 'conversation_thread_participants', (SELECT count(*) FROM seg, unnest(pk)) UNION ALL SELECT 'missing_thread_segments', (SELECT count(*) FROM seg WHERE utterance_count = 1) UNION ALL SELECT 'invalid_participant_keys', (SELECT count(*) FROM seg, unnest(pk) AS u(k) WHERE k LIKE 's:assistant%')")
+def thread_checks(spark: SparkSession, sf: str) -> DataFrame:
+    """Against segments that lost those of one utterance, and participants of whom some lost their prefix."""
+    s = written(A.segments(spark, sf))
+    members, heads = threads.threads(s, threads.thread_pairs(s))
+    who = threads.participant_rows(members, s).withColumn("participant_key", F.regexp_replace("participant_key", "^s:assistant", "assistant"))
+    return validate.thread_checks({"conversation_segments": s, "conversation_threads": heads, "conversation_thread_segments": members, "conversation_thread_participants": who} | {"conversation_segments": s.where("utterance_count > 1").unionByName(s.where("utterance_count = 1").withColumn("segment_id", F.concat(F.lit("lost "), "segment_id")))})
 
 
 @query(f"{O.TRIAGE}, {_REC}, y AS (SELECT chunk_id, sum(CASE WHEN error IS NULL THEN n_items ELSE 0 END) AS s, sum(CASE WHEN error IS NULL AND n_items = 3 THEN 1 ELSE 0 END) AS l FROM rec GROUP BY chunk_id)", "SELECT chunk_id, s > 0 AS any_yield, l > 0 AS any_large_yield, CASE WHEN token_est % 29 = 0 THEN 'llm_large' WHEN l > 0 AND s = 0 THEN 'llm_large' WHEN s > 0 OR token_est % 5 > 2 THEN 'llm_small' ELSE 'skip' END AS label_route, CASE WHEN token_est % 29 = 0 THEN 'human' WHEN l > 0 AND s = 0 THEN 'empirical_large_yield' WHEN s > 0 THEN 'heuristic_from_yield' WHEN token_est % 5 > 2 THEN 'downstream_utility' ELSE 'heuristic_from_yield' END AS label_source FROM triage JOIN y USING (chunk_id)")
