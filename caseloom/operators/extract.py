@@ -30,6 +30,7 @@ PROMPTS = {
 
 class Provider(Protocol):
     name: str
+    model: str
 
     def ask(self, kind: str, text: str) -> str:
         """The answer to the kind's prompt over a text; raises ConnectionError, ValueError (configuration) or others."""
@@ -38,7 +39,7 @@ class Provider(Protocol):
 class Rules:
     """An offline provider: regular expressions instead of a model, so that the pipeline runs without a network."""
 
-    name = "rules"
+    name = model = "rules"
 
     def ask(self, kind: str, text: str) -> str:
         items: list[dict] = []
@@ -53,6 +54,19 @@ class Rules:
         return json.dumps({"items": items})
 
 
+def from_env_file(variable: str, path: str = ".env") -> str | None:
+    """The variable's value in a file of NAME=value lines; quotes around it are dropped. No file, no value."""
+    try:
+        with open(path, encoding="utf-8") as f:
+            for line in f:
+                name, sign, value = line.strip().removeprefix("export ").partition("=")
+                if sign and name.strip() == variable:
+                    return value.strip().strip("\"'") or None
+    except OSError:
+        pass
+    return None
+
+
 class Http:
     """A chat endpoint (ollama, openai or gemini), temperature 0. The key is read where the call is made, never shipped."""
 
@@ -79,7 +93,7 @@ class Http:
     def ask(self, kind: str, text: str) -> str:
         head = {"Content-Type": "application/json"}
         if variable := self.SERVERS[self.name][1]:
-            if not (key := os.environ.get(variable)):
+            if not (key := os.environ.get(variable) or from_env_file(variable)):
                 raise ValueError(f"{variable} is not set")
             head |= {"Authorization": f"Bearer {key}"} if self.name == "openai" else {"x-goog-api-key": key}
         request = urllib.request.Request(self.url, json.dumps(self.body(kind, text)).encode(), head)
@@ -133,7 +147,7 @@ def extracted(chunks: DataFrame, kind: str, provider: Provider, cache: DataFrame
                     items, error = [], f"{provider.name}_unavailable"
                 except Exception:  # one chunk's failure is its record's error
                     items, error = [], f"{provider.name}_error"
-                made.append((r.file_id, r.chunk_id, list(r.page_range), json.dumps(items), len(items), provider.name, error, r.text_hash, version))
+                made.append((r.file_id, r.chunk_id, list(r.page_range), json.dumps(items), len(items), provider.model, error, r.text_hash, version))
             yield pd.DataFrame(made, columns=[c.split(" ")[0] for c in out.split(", ")])
 
     fresh = todo.select("file_id", "chunk_id", "page_range", "text", "text_hash").mapInPandas(run, out)

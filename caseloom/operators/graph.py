@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -43,6 +45,17 @@ def mentioned_in_event(members: DataFrame, obs: DataFrame, events: DataFrame, ma
     return _rows(p.join(e, key), ("Person", F.col("person_id")), "MENTIONED_IN_EVENT", ("Event", F.col("event_id")), pages, F.lit("phase11_cooccurrence:file_chunk"))
 
 
+def skipped_chunks(members: DataFrame, obs: DataFrame, events: DataFrame, max_people: int | None = None, max_events: int | None = None) -> DataFrame:
+    """n: chunks with people and events that mentioned_in_event() leaves out under these caps."""
+    key = ["file_id", "chunk_id"]
+    p = members.join(obs, "obs_id").groupBy(*key).agg(F.countDistinct("person_id").alias("p"))
+    e = events.groupBy(*key).agg(F.countDistinct("event_id").alias("e"))
+    over = F.lit(False)
+    for name, cap in (("p", max_people), ("e", max_events)):
+        over = over | (F.col(name) > cap) if cap is not None else over
+    return p.join(e, key).agg(F.count_if(over).alias("n"))
+
+
 def person_in_case(members: DataFrame, obs: DataFrame, signals: DataFrame, name_norm: Column) -> DataFrame:
     """Case signals of a chunk that carry a resolved person's name. name_norm: the signals' normal name."""
     s = signals.where("attribute = 'case_id' AND value_norm IS NOT NULL").select("file_id", "chunk_id", name_norm.alias("name_norm"), "value_norm", "page_start", "page_end", "confidence")
@@ -69,6 +82,19 @@ def cases(signals: DataFrame, event_cases: DataFrame) -> DataFrame:
     return out.withColumn("is_fallback", F.col("case_id_norm").startswith("file:"))
 
 
+def merged_cases(known: DataFrame, new: DataFrame) -> DataFrame:
+    """Cases found again keep their display name where they had one, and take the new sources; others come beside."""
+    n = new.select("case_id_norm", *[F.col(c).alias(f"n_{c}") for c in ("case_id_display", "sources", "is_fallback")])
+    k = known.select("case_id_norm", "case_id_display", "sources", "is_fallback").join(n, "case_id_norm", "full")
+    return k.select("case_id_norm", F.coalesce("case_id_display", "n_case_id_display").alias("case_id_display"), F.when(F.col("n_is_fallback").isNotNull(), F.col("n_sources")).otherwise(F.col("sources")).alias("sources"), F.coalesce("n_is_fallback", "is_fallback").alias("is_fallback"))
+
+
+def counted(all_edges: DataFrame, evidence: DataFrame, nodes: DataFrame) -> DataFrame:
+    """kind (node, edge, evidence), type, n."""
+    n = lambda df, kind, c: df.groupBy(F.col(c).alias("type")).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), "type", "n")
+    return n(nodes, "node", "type").unionByName(n(all_edges, "edge", "edge_type")).unionByName(n(evidence, "evidence", "edge_type"))
+
+
 def dangling(all_edges: DataFrame, nodes: DataFrame) -> DataFrame:
     """Edge ends that no node (type, id) has: side, type, id, n."""
     ends = all_edges.select(F.lit("src").alias("side"), F.col("src_type").alias("type"), F.col("src_id").alias("id")).unionAll(all_edges.select(F.lit("dst"), "dst_type", "dst_id"))
@@ -131,6 +157,13 @@ def case_overview(all_edges: DataFrame, case: str, people: int = 50, events: int
     return part("Person", people).union(part("Event", events))
 
 
+def person_profile(all_edges: DataFrame, person: str, cases: int = 50, events: int = 50) -> DataFrame:
+    """dst_type, dst_id: the first cases that a person is in and events that they are mentioned in."""
+    own = all_edges.where((F.col("src_type") == "Person") & (F.col("src_id") == person)).select("edge_type", "dst_type", "dst_id").distinct()
+    part = lambda edge, kind, n: own.where((F.col("edge_type") == edge) & (F.col("dst_type") == kind)).orderBy("dst_id").limit(n).select("dst_type", "dst_id")
+    return part("IN_CASE", "Case", cases).union(part("MENTIONED_IN_EVENT", "Event", events))
+
+
 def event_storyline(all_edges: DataFrame, event_times: DataFrame, case: str, limit: int = 500) -> DataFrame:
     own = all_edges.where((F.col("src_type") == "Event") & (F.col("edge_type") == "IN_CASE") & (F.col("dst_id") == case)).select(F.col("src_id").cast("long").alias("event_id"))
     return own.join(event_times, "event_id", "left").orderBy(F.col("date_start").asc_nulls_last(), "event_id").limit(limit)
@@ -147,3 +180,64 @@ def parity(left: DataFrame, right: DataFrame, kind: str) -> DataFrame:
     """Rows that one side has and the other hasn't: kind, side, n."""
     miss = lambda a, b, side: a.subtract(b).agg(F.count("*").alias("n")).select(F.lit(kind).alias("kind"), F.lit(side).alias("side"), "n")
     return miss(left, right, "only_left").union(miss(right, left, "only_right"))
+
+
+def parity_report(left: DataFrame, right: DataFrame, left_evidence: DataFrame, right_evidence: DataFrame, max_cases: int | None = None, max_people: int | None = None) -> DataFrame:
+    """kind, key, only_left, only_right: all differences between two graphs, of six kinds.
+
+    count (of edges, of evidence), case_events, case_people, person_cases, person_events, and person_twohop_via_case: people who share a case. Keys but
+    those of counts are hashed. max_cases, max_people: only the first of each by id are compared.
+    """
+    a, b = _sets(left), _sets(right)
+    parts = []
+    for kind, most in (("case_events", max_cases), ("case_people", max_cases), ("person_cases", max_people), ("person_events", max_people)):
+        parts.append(_differences(_first(_only(a[kind], b[kind]), a[kind], b[kind], most), kind))
+    hops = _hops_lost(a["person_cases"], b["person_cases"])
+    parts.append(_differences(_first(hops, a["person_cases"], b["person_cases"], max_people), "person_twohop_via_case"))
+    out = reduce(DataFrame.unionByName, parts).withColumn("key", F.substring(F.sha2("key", 256), 1, 12))
+    for key, x, y in (("kg_edges", left, right), ("kg_edge_evidence", left_evidence, right_evidence)):
+        n = x.agg(F.count("*").alias("l")).join(y.agg(F.count("*").alias("r")), F.lit(True))
+        out = out.unionByName(n.where("l <> r").select(F.lit("count").alias("kind"), F.lit(key).alias("key"), (F.col("l") > 0).cast("long").alias("only_left"), (F.col("r") > 0).cast("long").alias("only_right")))
+    return out
+
+
+def _sets(edges_: DataFrame) -> dict[str, DataFrame]:
+    """What a graph says of each case and person: (key, value), distinct."""
+    in_case = edges_.where("edge_type = 'IN_CASE' AND dst_type = 'Case'")
+    people = in_case.where("src_type = 'Person'")
+    mentioned = edges_.where("src_type = 'Person' AND edge_type = 'MENTIONED_IN_EVENT' AND dst_type = 'Event'")
+    pick = lambda df, key, value: df.select(F.col(key).alias("key"), F.col(value).alias("value")).distinct()
+    return {"case_events": pick(in_case.where("src_type = 'Event'"), "dst_id", "src_id"), "case_people": pick(people, "dst_id", "src_id"), "person_cases": pick(people, "src_id", "dst_id"), "person_events": pick(mentioned, "src_id", "dst_id")}
+
+
+def _first(found: DataFrame, a: DataFrame, b: DataFrame, most: int | None) -> DataFrame:
+    if most is None:
+        return found
+    return found.join(a.select("key").union(b.select("key")).distinct().orderBy("key").limit(most), "key", "left_semi")
+
+
+def _hops_lost(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(key, value, side): pairs of people who share a case on one side only, of (key person, value case) on either.
+
+    Such a pair has a membership that the other side lacks, so only changed memberships meet their case's people; what another case links there is no difference.
+    """
+    changed = _only(a, b)
+    out = None
+    for side, own, other in (("left", a, b), ("right", b, a)):
+        moved = changed.where(F.col("side") == side).select(F.col("key").alias("p"), F.col("value").alias("case"))
+        one = moved.join(own.select(F.col("key").alias("q"), F.col("value").alias("case")), "case").where("p <> q")
+        pairs = one.select("p", "q").union(one.select("q", "p")).distinct()
+        linked = pairs.join(other.select(F.col("key").alias("p"), F.col("value").alias("case")), "p").join(other.select(F.col("key").alias("q"), F.col("value").alias("case")), ["q", "case"], "left_semi")
+        lost = pairs.join(linked.select("p", "q").distinct(), ["p", "q"], "left_anti").select(F.col("p").alias("key"), F.col("q").alias("value"), F.lit(side).alias("side"))
+        out = lost if out is None else out.unionByName(lost)
+    return out
+
+
+def _only(a: DataFrame, b: DataFrame) -> DataFrame:
+    """(key, value, side) that one of the two has and the other hasn't: one aggregate over both."""
+    both = a.select("key", "value", F.lit(1).alias("l"), F.lit(0).alias("r")).unionAll(b.select("key", "value", F.lit(0), F.lit(1)))
+    return both.groupBy("key", "value").agg(F.max("l").alias("l"), F.max("r").alias("r")).where("l <> r").select("key", "value", F.when(F.col("l") == 1, "left").otherwise("right").alias("side"))
+
+
+def _differences(found: DataFrame, kind: str) -> DataFrame:
+    return found.groupBy("key").agg(F.count_if(F.col("side") == "left").alias("only_left"), F.count_if(F.col("side") == "right").alias("only_right")).select(F.lit(kind).alias("kind"), "key", "only_left", "only_right")

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -68,11 +70,33 @@ def observations(records: DataFrame, kind: str) -> DataFrame:
     return unique_rows(out, KEYS[kind])
 
 
-def load_counts(records: DataFrame) -> DataFrame:
-    """One row of counters: records, json_decode_errors, invalid_record_shape, items."""
+def load_counts(records: DataFrame, kind: str = "entities", known: DataFrame | None = None) -> DataFrame:
+    """One row: records_total, json_decode_errors, invalid_record_shape, rows_attempted, invalid_item_shape, rows_inserted, rows_skipped.
+
+    Attempted are all items of well-formed records; inserted those that observations() keeps and `known`, the table so far, doesn't have.
+    """
     bad = F.col("_corrupt_record").isNotNull() if "_corrupt_record" in records.columns else F.lit(False)
     shape = ~bad & (clean(F.col("file_id")).isNull() | clean(F.col("chunk_id")).isNull() | F.col("items").isNull())
-    return records.agg(F.count("*").alias("records"), F.count_if(bad).alias("json_decode_errors"), F.count_if(shape).alias("invalid_record_shape"), F.coalesce(F.sum(F.when(~bad & ~shape, F.size("items"))), F.lit(0)).alias("items"))
+    must = {"entities": ["entity"], "events": ["event"], "conversations": ["quote"], "identity_signals": ["person", "value", "quote"]}[kind]
+    odd = lambda i: i.isNull() | reduce(lambda a, b: a | b, [clean(i[m]).isNull() for m in must])
+    counts = records.agg(
+        F.count("*").alias("records_total"), F.count_if(bad).alias("json_decode_errors"), F.count_if(shape).alias("invalid_record_shape"),
+        F.coalesce(F.sum(F.when(~bad & ~shape, F.size("items"))), F.lit(0)).alias("rows_attempted"), F.coalesce(F.sum(F.when(~bad & ~shape, F.size(F.filter("items", odd)))), F.lit(0)).alias("invalid_item_shape"),
+    )
+    rows = observations(records, kind)
+    if known is not None:
+        # As the table's own uniqueness: a key that holds a null equals none.
+        rows = rows.join(known.select(*KEYS[kind]), KEYS[kind], "left_anti")
+    return counts.join(rows.agg(F.count("*").alias("rows_inserted")), F.lit(True)).withColumn("rows_skipped", F.col("rows_attempted") - F.col("rows_inserted"))
+
+
+def files(manifest: DataFrame) -> DataFrame:
+    """The files table of a manifest: the first row of each id, by its other columns."""
+    clean_ = lambda c: clean(F.col(c)) if c in manifest.columns else F.lit(None).cast("string")
+    size = F.col("size_bytes").cast("long") if "size_bytes" in manifest.columns else F.lit(None).cast("long")
+    rows = manifest.select(clean_("file_id").alias("file_id"), *[clean_(c).alias(c) for c in ("source_type", "container_path", "virtual_path")], clean_("mtime").alias("mtime_utc"), size.alias("size_bytes")).where("file_id IS NOT NULL")
+    rest = [c for c in rows.columns if c != "file_id"]
+    return rows.groupBy("file_id").agg(F.min(F.struct(*rest)).alias("x")).select("file_id", "x.*")
 
 
 def mentions(entities: DataFrame) -> DataFrame:

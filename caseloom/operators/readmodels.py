@@ -178,7 +178,8 @@ def person_profile(store: Store, case: str, person_id: int, event_limit: int = 1
     if "person_resolution_edges" in store:
         mine = store["person_cluster_members"].where(F.col("person_id") == person_id).select("obs_id")
         e = store["person_resolution_edges"].join(mine.withColumnRenamed("obs_id", "left"), "left", "left_semi").join(mine.withColumnRenamed("obs_id", "right"), "right", "left_semi")
-        out.frames["merge_status"] = e.groupBy("decision").agg(F.count("*").alias("n"))
+        every = store["person_clusters"].sparkSession.createDataFrame([(d,) for d in ("auto_merge", "needs_review", "no_merge")], "decision string")
+        out.frames["merge_status"] = every.join(e.groupBy("decision").agg(F.count("*").alias("n")), "decision", "left").withColumn("n", F.coalesce("n", F.lit(0)))
     events = _events_of(store, case, f).join(scope, key, "left_semi")
     out.frames["linked_events"] = events.orderBy(F.when(F.col("status") == "ok", 0).otherwise(1), F.coalesce("date_start", F.lit("")), "event_id").limit(event_limit)
     everything = evidence_union(store).join(scope, key, "left_semi").where(evidence_filter(Filters(confidence_min=f.confidence_min)))

@@ -2,10 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from caseloom.functions.text import redacted_preview
+from caseloom.sources.jsonl import exists
 
 ROUTES = ("skip", "llm_small", "llm_large")
 EXTRACTORS = ("entities", "events", "conversations", "identity_signals")
@@ -103,6 +104,49 @@ def class_metrics(matrix: DataFrame) -> DataFrame:
     return df.select("label", "support", "precision", "recall", div(2 * F.col("precision") * F.col("recall"), F.col("precision") + F.col("recall")).alias("f1"))
 
 
+def evaluated(rows: DataFrame, classes: tuple[str, ...] = ROUTES, sent: tuple[str, ...] = ("llm_small", "llm_large")) -> DataFrame:
+    """One row: accuracy, macro_f1, of sending to a model the recall of predictions and of the heuristic route, and the work that predictions make.
+
+    rows: actual, predicted, triage_route, token_est.
+    """
+    goes = lambda c: F.col(c).isin(*sent)
+    div = lambda x, y: F.when(y > 0, x / y).otherwise(F.lit(0.0))
+    one = rows.agg(
+        F.count("*").alias("n"), F.count_if(F.col("actual") == F.col("predicted")).alias("hits"), F.count_if(goes("actual")).alias("llm_send_support"),
+        F.count_if(goes("actual") & goes("predicted")).alias("__model"), F.count_if(goes("actual") & goes("triage_route")).alias("__heuristic"),
+        F.count_if(goes("predicted")).alias("predicted_llm_chunks"), F.coalesce(F.sum(F.when(goes("predicted"), F.col("token_est"))), F.lit(0)).cast("long").alias("predicted_llm_tokens_est"),
+        *[F.count_if(F.col("predicted") == c).alias(f"predicted_{c}") for c in classes],
+        *[F.count_if(cond).alias(f"__{k}_{c}") for c in classes for k, cond in (("tp", (F.col("actual") == c) & (F.col("predicted") == c)), ("a", F.col("actual") == c), ("p", F.col("predicted") == c))],
+    )
+    f1 = [div(2 * F.col(f"__tp_{c}"), F.col(f"__a_{c}") + F.col(f"__p_{c}")) for c in classes]
+    return one.select(
+        div(F.col("hits"), F.col("n")).alias("accuracy"), (sum(f1[1:], f1[0]) / len(classes)).alias("macro_f1"), div(F.col("__model"), F.col("llm_send_support")).alias("llm_send_recall_model"),
+        div(F.col("__heuristic"), F.col("llm_send_support")).alias("llm_send_recall_heuristic"), "llm_send_support", "predicted_llm_chunks", div(F.col("predicted_llm_chunks"), F.col("n")).alias("predicted_llm_ratio"),
+        "predicted_llm_tokens_est", *[f"predicted_{c}" for c in classes],
+    )
+
+
+#: Tables of a saved model and the columns they must have.
+MODEL = {"vocabulary": {"token"}, "prior": {"label", "log_prior", "log_unknown"}, "tokens": {"label", "token", "log_prob"}}
+
+
+def load_model(spark: SparkSession, root: str | None, mode: str = "full", classes: tuple[str, ...] = ROUTES) -> tuple[str, dict[str, DataFrame]]:
+    """(state, tables): disabled, missing_model_path, model_not_found, model_invalid (a table's columns or classes are wrong), model_load_error or loaded."""
+    if mode == "off":
+        return "disabled", {}
+    if not root:
+        return "missing_model_path", {}
+    try:
+        if not all(exists(spark, f"{root}/{name}/_SUCCESS") for name in MODEL):
+            return "model_not_found", {}
+        tables = {name: spark.read.parquet(f"{root}/{name}") for name in MODEL}
+        if any(not must <= set(tables[name].columns) for name, must in MODEL.items()) or {r.label for r in tables["prior"].select("label").collect()} != set(classes):
+            return "model_invalid", {}
+    except Exception:  # a table that can't be read: triage goes on without a model
+        return "model_load_error", {}
+    return "loaded", tables
+
+
 def label_bands(scored: DataFrame, low: tuple[float, float], high: tuple[float, float], n: int, seed: int = 13) -> DataFrame:
     """n chunks of each score band in the order of a seeded hash, each chunk once, with a preview without personal data."""
     pick = lambda band, name, s: scored.where(F.col("score").between(*band)).orderBy(F.xxhash64("chunk_id", F.lit(s)), "chunk_id").limit(n).withColumn("band", F.lit(name))

@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+import json
+from collections.abc import Callable, Iterator
+
+import pandas as pd
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -128,3 +132,35 @@ def labels(members: DataFrame) -> DataFrame:
 
     both = top("top_tokens", 3, "t").join(top("participant_keys", 1, "p"), "root", "full")
     return both.select("root", F.coalesce("t", "p").alias("label"))
+
+
+#: What a label is made from, and how long it may be.
+SHOWN, LABEL = {"participants": 10, "keywords": 15}, 120
+
+
+def model_labels(heads: DataFrame, members: DataFrame, ask: Callable[[str], str], top: int = 15) -> DataFrame:
+    """heads with `label` by a model where it gives one: of the thread's first participants and keywords, no quotes. Otherwise the label stays.
+
+    ask: the answer to a prompt; whatever it raises leaves that label as it is.
+    """
+
+    def first(column: str, n: int) -> DataFrame:
+        counts = members.select("root", F.explode(column).alias("x")).groupBy("root", "x").agg(F.count("*").alias("n"))
+        ranked = counts.withColumn("r", F.row_number().over(Window.partitionBy("root").orderBy(F.desc("n"), "x"))).where(F.col("r") <= n)
+        return ranked.groupBy("root").agg(F.transform(F.array_sort(F.collect_list(F.struct("r", "x"))), lambda s: s["x"]).alias(column))
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for b in batches:
+            made = []
+            for who, words in zip(b["participant_keys"], b["top_tokens"]):
+                shown = {"participants": list(who if who is not None else []), "keywords": list(words if words is not None else [])}
+                try:
+                    label = json.loads(ask(f'Name the topic of a conversation in at most 80 characters, without case numbers or quotes. Answer with JSON only: {{"label": string}}\n{json.dumps(shown)}'))["label"].strip()
+                except Exception:  # an answer that is none
+                    label = ""
+                made.append(label[:LABEL].rstrip() or None)
+            yield pd.DataFrame({"root": b["root"], "named": made})
+
+    asked = heads.select("root").distinct().join(first("participant_keys", SHOWN["participants"]), "root", "left").join(first("top_tokens", min(top, SHOWN["keywords"])), "root", "left")
+    named = asked.mapInPandas(run, f"root {heads.schema['root'].dataType.simpleString()}, named string")
+    return heads.join(named, "root", "left").withColumn("label", F.coalesce("named", "label")).drop("named")

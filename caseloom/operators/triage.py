@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions import text as T
 from caseloom.functions.text import analysed, token_estimate
+from caseloom.operators.routeml import bayes_predict
 from caseloom.sources.scratch import written
 
 #: Scores below are skipped; from the second on the large model reads the chunk.
@@ -94,15 +95,31 @@ def triaged(chunks: DataFrame, packs: dict[str, list[str]] | None = None, skip:
     return df.withColumn("route", route)
 
 
-def model_route(p_skip: Column, p_large: Column, heuristic: Column, mode: str, skip: float = 0.9, large: float = 0.6, score_large: float = LARGE) -> Column:
-    """Struct predicted_route, gate, effective_route under a mode: report-only, shadow or full."""
+def model_route(p_skip: Column, p_large: Column, heuristic: Column, mode: str, skip: float = 0.9, large: float = 0.8, score_large: float = LARGE) -> Column:
+    """Struct predicted_route, gate, mode_gate, effective_route under a mode: report-only, shadow (only adds to what is skipped) or full."""
     gate = (
         F.when(p_skip >= skip, "p_skip_high").when(p_large >= large, "p_large_high").when(F.col("complex_narrative"), "complex_narrative")
         .when(F.col("low_quality") & (F.col("score") >= score_large), "low_quality_high_heuristic_score").otherwise("default_llm_small")
     )
     predicted = F.when(gate == "p_skip_high", "skip").when(gate == "default_llm_small", "llm_small").otherwise("llm_large")
     effective = {"report-only": heuristic, "shadow": F.when((heuristic == "skip") & (predicted != "skip"), predicted).otherwise(heuristic)}.get(mode, predicted)
-    return F.struct(predicted.alias("predicted_route"), gate.alias("gate"), effective.alias("effective_route"))
+    added = F.when((heuristic == "skip") & (predicted != "skip"), "shadow_add_from_skip").otherwise("shadow_keep_heuristic")
+    mode_gate = {"report-only": F.lit("report_only_keep_heuristic"), "shadow": added}.get(mode, F.lit("full_policy_route"))
+    return F.struct(predicted.alias("predicted_route"), gate.alias("gate"), mode_gate.alias("mode_gate"), effective.alias("effective_route"))
+
+
+def with_model(scored: DataFrame, state: str, tables: dict[str, DataFrame], mode: str, skip: float = 0.9, large: float = 0.8, score_large: float = LARGE) -> DataFrame:
+    """scored (with text) with the model's routes: heuristic_route, predicted_route, gates, and the route that the mode makes of both.
+
+    Without a loaded model routes stay, predictions are null and the gates say why.
+    """
+    df = scored.withColumn("heuristic_route", F.col("route"))
+    if state != "loaded":
+        return df.withColumns({"predicted_route": F.lit(None).cast("string"), "gates": F.array(F.lit("fallback_heuristic"), F.lit(state))})
+    got = bayes_predict(df.select(F.col("chunk_id").alias("row_id"), "text"), tables["vocabulary"], tables["prior"], tables["tokens"]).select(F.col("row_id").alias("chunk_id"), F.col("p_skip").alias("__s"), F.col("p_llm_large").alias("__l"))
+    policy = model_route(F.col("__s"), F.col("__l"), F.col("heuristic_route"), mode, skip, large, score_large)
+    out = df.join(got, "chunk_id", "left").withColumn("__p", policy)
+    return out.withColumns({"predicted_route": F.col("__p.predicted_route"), "gates": F.array("__p.gate", "__p.mode_gate"), "route": F.col("__p.effective_route")}).drop("__s", "__l", "__p")
 
 
 def count_caps(scored: DataFrame, per_file: int | None, overall: int | None) -> DataFrame:

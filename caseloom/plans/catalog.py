@@ -85,7 +85,7 @@ def triage_route_breakdown(spark: SparkSession, sf: str) -> DataFrame:
 
 @query(O.TRIAGE, "SELECT chunk_id, r.gate, r.predicted, CASE WHEN route = 'skip' AND r.predicted <> 'skip' THEN r.predicted ELSE route END AS effective FROM (SELECT chunk_id, route, CASE WHEN ps >= 0.9 THEN {'gate': 'p_skip_high', 'predicted': 'skip'} WHEN pl >= 0.6 THEN {'gate': 'p_large_high', 'predicted': 'llm_large'} WHEN complex_narrative THEN {'gate': 'complex_narrative', 'predicted': 'llm_large'} WHEN low_quality AND score >= 0.75 THEN {'gate': 'low_quality_high_heuristic_score', 'predicted': 'llm_large'} ELSE {'gate': 'default_llm_small', 'predicted': 'llm_small'} END AS r FROM (SELECT *, (token_est % 20) / 20 AS ps, (token_est % 7) / 10 AS pl FROM triage))")
 def route_policy_shadow(spark: SparkSession, sf: str) -> DataFrame:
-    p = triage.model_route(F.col("token_est") % 20 / 20, F.col("token_est") % 7 / 10, F.col("route"), "shadow")
+    p = triage.model_route(F.col("token_est") % 20 / 20, F.col("token_est") % 7 / 10, F.col("route"), "shadow", large=0.6)
     return A.triaged(spark, sf).withColumn("p", p).select("chunk_id", F.col("p.gate").alias("gate"), F.col("p.predicted_route").alias("predicted"), F.col("p.effective_route").alias("effective"))
 
 

@@ -3,10 +3,13 @@
 from __future__ import annotations
 
 import json
+import uuid
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from caseloom.sources.scratch import written
+
 
 class ResumeError(Exception):
     """A run can't go on from what is there."""
@@ -71,19 +74,73 @@ def write_jsonl(df: DataFrame, path: str, shard_size: int | None = None, mode: s
     (w.option("maxRecordsPerFile", shard_size) if shard_size else w).json(path)
 
 
+def write_shards(df: DataFrame, root: str, shard_size: int, order: list[str]) -> dict:
+    """A shard set: docs_00000.jsonl.gz and so on, of shard_size records each in `order`, and manifest.json with the place of each; what is there is replaced.
+
+    Records are numbered by range-sorted parts and the sums before them; a shard is one task's file. The driver sees a row for each part and each shard.
+    """
+    spark = df.sparkSession
+    parts = written(df.repartitionByRange(*order).withColumn("__p", F.spark_partition_id()))
+    before, sizes = 0, []
+    for r in parts.groupBy("__p").count().orderBy("__p").collect():
+        sizes.append((r["__p"], before))
+        before += r["count"]
+    starts = spark.createDataFrame(sizes, "__p int, __before long")
+    number = F.row_number().over(Window.partitionBy("__p").orderBy(*order)) + F.col("__before") - 1
+    dealt = parts.join(F.broadcast(starts), "__p").withColumn("__i", number).withColumn("__shard", F.floor(F.col("__i") / shard_size))
+    made = f"{root}/.shards-{uuid.uuid4().hex}"
+    tidy = dealt.repartition(max(1, -(-before // shard_size)), "__shard").sortWithinPartitions("__shard", "__i")
+    tidy.drop("__p", "__before", "__i").write.partitionBy("__shard").option("compression", "gzip").option("ignoreNullFields", "false").json(made)
+    fs, _ = _fs(spark, root)
+    path = spark._jvm.org.apache.hadoop.fs.Path
+    for old in [*listed(spark, f"{root}/docs_*"), *([f"{root}/manifest.json"] if exists(spark, f"{root}/manifest.json") else [])]:
+        fs.delete(path(old), True)
+    entries = []
+    for k in range(-(-before // shard_size)):
+        name = f"docs_{k:05d}.jsonl.gz"
+        fs.rename(path(listed(spark, f"{made}/__shard={k}/part-*")[0]), path(f"{root}/{name}"))
+        entries.append({"shard": name, "start_index": k * shard_size, "end_index": min(before, (k + 1) * shard_size) - 1, "doc_count": min(before, (k + 1) * shard_size) - k * shard_size})
+    fs.delete(path(made), True)
+    manifest = {"shard_size": shard_size, "shards": entries}
+    out = fs.create(path(f"{root}/manifest.json"), True)
+    out.write(json.dumps(manifest).encode())
+    out.close()
+    return manifest
+
+
 def append_new(new: DataFrame, path: str, key: str) -> DataFrame:
     """Resume: write only rows whose key isn't in the Parquet table at path yet; returns them."""
     spark = new.sparkSession
+    recover(spark, path)
     fresh = new.dropDuplicates([key])
     if exists(spark, path):
         fresh = fresh.join(spark.read.parquet(path).select(key).distinct(), key, "left_anti")
+    fresh = written(fresh)
     fresh.write.mode("append").parquet(path)
     return fresh
 
 
+def recover(spark: SparkSession, path: str) -> None:
+    """Ends an exchange of tables that was interrupted: a whole new table takes its place, else the old one goes back."""
+    fs, p = _fs(spark, path)
+    path_of = spark._jvm.org.apache.hadoop.fs.Path
+    old, fresh = path_of(f"{path}.old"), path_of(f"{path}.next")
+    if not fs.exists(p):
+        if fs.exists(path_of(f"{path}.next/_SUCCESS")):
+            fs.rename(fresh, p)
+        elif fs.exists(old):
+            fs.rename(old, p)
+    fs.delete(fresh, True)
+    fs.delete(old, True)
+
+
 def replace_keys(new: DataFrame, path: str, key: str = "file_id") -> None:
-    """Rows of the keys in new take the place of old ones: a new table is written beside, then the two are exchanged."""
+    """Rows of the keys in new take the place of old ones: a new table is written beside, then the two are exchanged.
+
+    Between the two renames there is no table at path; recover(), which this and append_new call first, ends what a crash left there.
+    """
     spark = new.sparkSession
+    recover(spark, path)
     if not exists(spark, path):
         new.write.parquet(path)
         return
@@ -91,7 +148,6 @@ def replace_keys(new: DataFrame, path: str, key: str = "file_id") -> None:
     old.join(new.select(key).distinct(), key, "left_anti").unionByName(new, allowMissingColumns=True).write.mode("overwrite").parquet(f"{path}.next")
     fs, p = _fs(spark, path)
     path_of = spark._jvm.org.apache.hadoop.fs.Path
-    fs.delete(path_of(f"{path}.old"), True)
     fs.rename(p, path_of(f"{path}.old"))
     fs.rename(path_of(f"{path}.next"), p)
     fs.delete(path_of(f"{path}.old"), True)

@@ -43,6 +43,31 @@ def test_resume_and_replace(spark, tmp_path):
     assert got() == [("a", 9), ("b", 1), ("c", 2), ("d", 9)]
 
 
+def test_shards_of_our_own(spark, tmp_path):
+    root = f"file://{tmp_path}"
+    for n, size in ((23, 5), (7, 3)):
+        df = spark.createDataFrame([(f"f{i * 5 % n:03d}", i) for i in range(n)], "file_id string, v int").repartition(3)
+        m = jsonl.write_shards(df, root, size, ["file_id"])
+        assert [s["doc_count"] for s in m["shards"]] == [min(size, n - k) for k in range(0, n, size)] and m["shards"][-1]["end_index"] == n - 1
+        jsonl.check_resume(spark, root, size, ".jsonl.gz")
+        files = jsonl.shards(spark, root)
+        got = [[r.file_id for r in jsonl.read_jsonl(spark, f, "file_id string").collect()] for f in files]
+        assert [x for part in got for x in part] == [f"f{i:03d}" for i in range(n)] and len(files) == -(-n // size)
+
+
+def test_interrupted_replacement_is_ended(spark, tmp_path):
+    path = tmp_path / "t"
+    rows = lambda *x: spark.createDataFrame(x, "file_id string, v int")
+    jsonl.replace_keys(rows(("a", 1)), f"file://{path}")
+    path.rename(tmp_path / "t.old")  # between the renames, with the new table unfinished
+    jsonl.recover(spark, f"file://{path}")
+    assert spark.read.parquet(f"file://{path}").count() == 1
+    path.rename(tmp_path / "t.old")  # and with it whole
+    rows(("a", 1), ("b", 2)).write.parquet(f"file://{path}.next")
+    jsonl.replace_keys(rows(("c", 3)), f"file://{path}")
+    assert sorted(r.file_id for r in spark.read.parquet(f"file://{path}").collect()) == ["a", "b", "c"] and not (tmp_path / "t.old").exists()
+
+
 def test_packs_and_ids(spark, tmp_path):
     (tmp_path / "p.txt").write_text("# c\n alpha \nalpha\n\n" + "x" * 300)
     (tmp_path / "ids.list").write_text("a\n\n b \n")
@@ -62,11 +87,15 @@ def test_store(spark, tmp_path):
 def test_exports(spark, tmp_path):
     e = spark.createDataFrame([("Person", str(i), "IN_CASE", "Case", "O'N\\1") for i in range(30)], "src_type string, src_id string, edge_type string, dst_type string, dst_id string")
     out = export.cypher_edges(e, 10).collect()
-    assert len(out) <= 3 and sum(r.statement.count("{s: ") for r in out) == 30 and all("O\\'N\\\\1" in r.statement and r.statement.endswith(";") for r in out)
+    assert len(out) <= 3 and sum(r.statement.count("{edge_key: 'P") for r in out) == 30 and all("O\\'N\\\\1" in r.statement and r.statement.endswith(";") for r in out)
+    nodes = spark.createDataFrame([("Case", "A1", None, ["x", "y'"])], "node_type string, node_id string, case_id_display string, sources array<string>")
+    assert export.cypher_nodes(nodes, "Case").first().statement == "UNWIND [{case_id_norm: 'A1', case_id_display: null, sources: ['x', 'y\\'']}] AS r MERGE (n:Case {case_id_norm: r.case_id_norm}) SET n += r;"
+    lenient = spark.createDataFrame([("A", "a", '["x","y"]'), ("B", "", "[x, y"), ("C", None, None)], "case_id_norm string, case_id_display string, sources string")
+    assert [r.sources for r in export.case_nodes(lenient).orderBy("node_id").collect()] == [["x", "y"], None, None]
     export.export_jsonl(e, f"file://{tmp_path}/kg", ["src_id"])
     lines = [json.loads(x) for f in sorted((tmp_path / "kg").glob("part-*")) for x in f.read_text().splitlines()]
     assert [x["src_id"] for x in lines] == sorted(x["src_id"] for x in lines) and list(lines[0]) == sorted(lines[0])
-    assert len(export.constraints()) == 3 and json.loads(export.build_manifest({}, [], 1))["status"] == "diffs"
+    assert len(export.constraints()) == 5 and json.loads(export.build_manifest({}, [], 1))["status"] == "diffs"
 
 
 def test_stream_equals_batch(spark, tmp_path):
