@@ -40,9 +40,9 @@ def query(ctes: str | None, select: str = "") -> Callable[[Query], Query]:
 # Chunks and triage
 
 
-@query(O.CHUNKS, f"SELECT chunk_id, page_start, page_end, length(t) AS n_chars, dialogue AS likely_dialogue, regexp_matches(regexp_replace(substr(t, 1, 8000), '[À-ɏ]', '_', 'g'), {O._q(T.DATE)}) AS has_dates FROM chunks")
+@query(O.CHUNKS, f"SELECT chunk_id, page_start, page_end, length(t) AS n_chars, dialogue AS likely_dialogue, regexp_matches(regexp_replace(substr(t, 1, 8000), '[À-ɏ]', '_', 'g'), {O._q(T.DATE)}) AS has_dates, regexp_matches(regexp_replace(substr(t, 1, 8000), '[À-ɏ]', '_', 'g'), {O._q(chunking.NAME)}) AS has_names, length(regexp_replace(t, '^\\s+|\\s+$', '', 'g')) < 40 AS low_quality FROM chunks")
 def chunk_windows(spark: SparkSession, sf: str) -> DataFrame:
-    return A.chunks(spark, sf).select("chunk_id", "page_start", "page_end", F.length("text").alias("n_chars"), "signals.likely_dialogue", "signals.has_dates")
+    return A.chunks(spark, sf).select("chunk_id", "page_start", "page_end", F.length("text").alias("n_chars"), "signals.likely_dialogue", "signals.has_dates", "signals.has_names", "signals.low_quality")
 
 
 _QUALITY = "char_len non_ws_ratio punctuation_ratio replacement_char_count max_repeated_char_run tokens_sampled_for_shapes unique_word_shapes word_shape_diversity".split()
@@ -123,6 +123,10 @@ _ITEMS = """rec AS (SELECT conv_id, turn, 'c' || conv_id AS file_id, 'c' || conv
 
 @query(_ITEMS, "SELECT DISTINCT 'E' || (conv_id % 9) AS entity, 'person' AS type, (turn % 5) / 10 AS confidence, file_id, chunk_id, turn::INT AS page_start, (turn + 1)::INT AS page_end, 'said ' || turn AS quote, CASE WHEN turn % 2 = 0 THEN 3 END::INT AS char_start, 'legacy' AS source_phase FROM rec WHERE conv_id % 9 <> 4")
 def load_entities(spark: SparkSession, sf: str) -> DataFrame:
+    return loading.observations(_entity_records(spark, sf), "entities").select("entity", "type", "confidence", "file_id", "chunk_id", "page_start", "page_end", "quote", "char_start", "source_phase")
+
+
+def _entity_records(spark: SparkSession, sf: str) -> DataFrame:
     """Extractor records written to text and read again: mixed types, blank entities, repeats."""
     c = A.table(spark, sf, "conversations")
     i, t = F.col("conv_id"), F.col("turn")
@@ -132,8 +136,12 @@ def load_entities(spark: SparkSession, sf: str) -> DataFrame:
         F.when(i % 9 == 4, "  ").otherwise(F.concat(F.lit(" E"), text(i % 9))).alias("entity"), F.lit("person").alias("type"), F.concat(F.lit("said   "), text(t)).alias("quote"), text(t % 5 / 10).alias("confidence"),
         F.when(t % 2 == 0, "3").alias("char_start"), F.when(t % 2 == 0, "9").alias("char_end"), F.lit(None).cast("array<string>").alias("char_range"), *[span[n].alias(n) for n in ("source_phase", "extractor_version", "prompt_hash", "model")],
     )
-    rec = c.select(F.concat(F.lit("c"), text(i)).alias("file_id"), F.concat(F.lit("c"), text(i), F.lit(":"), text(t)).alias("chunk_id"), F.array(F.concat(text(t), F.lit(".0")), text(t + 1)).alias("page_range"), F.array(item, item).alias("items"), *[F.lit(None).cast("string").alias(n) for n in ("model", "error", "source_phase", "extractor_version", "prompt_hash", "_corrupt_record")])
-    return loading.observations(rec, "entities").select("entity", "type", "confidence", "file_id", "chunk_id", "page_start", "page_end", "quote", "char_start", "source_phase")
+    return c.select(F.concat(F.lit("c"), text(i)).alias("file_id"), F.concat(F.lit("c"), text(i), F.lit(":"), text(t)).alias("chunk_id"), F.array(F.concat(text(t), F.lit(".0")), text(t + 1)).alias("page_range"), F.array(item, item).alias("items"), *[F.lit(None).cast("string").alias(n) for n in ("model", "error", "source_phase", "extractor_version", "prompt_hash", "_corrupt_record")])
+
+
+@query(f"{_ITEMS}, rows AS (SELECT DISTINCT conv_id % 9 AS e, turn, chunk_id FROM rec WHERE conv_id % 9 <> 4)", "SELECT n AS records_total, 0 AS json_decode_errors, 0 AS invalid_record_shape, 2 * n AS rows_attempted, 2 * bad AS invalid_item_shape, kept AS rows_inserted, 2 * n - kept AS rows_skipped FROM (SELECT (SELECT count(*) FROM rec) AS n, (SELECT count(*) FROM rec WHERE conv_id % 9 = 4) AS bad, (SELECT count(*) FROM rows) AS kept)")
+def load_counters(spark: SparkSession, sf: str) -> DataFrame:
+    return loading.load_counts(written(_entity_records(spark, sf)), "entities")
 
 
 @query(O.EVENTS, "SELECT DISTINCT entity, file_id, chunk_id FROM ent")
@@ -252,9 +260,9 @@ def segment_top_tokens(spark: SparkSession, sf: str) -> DataFrame:
     return threads.segment_tokens(A.utterances(spark, sf)).select("chunk_id", F.array_join("top_tokens", " ").alias("top_tokens"), "topic_signature")
 
 
-@query(O.TALK, 'SELECT "left", "right", round(participant_j, 6) AS participant_j, round(topic_j, 6) AS topic_j, score, decision FROM tp')
+@query(O.TALK, 'SELECT "left", "right", round(participant_j, 6) AS participant_j, round(topic_j, 6) AS topic_j, score, decision, reasons FROM tp')
 def thread_pairs_jaccard(spark: SparkSession, sf: str) -> DataFrame:
-    return threads.thread_pairs(A.segments(spark, sf)).select("left", "right", F.round("participant_j", 6).alias("participant_j"), F.round("topic_j", 6).alias("topic_j"), "score", "decision")
+    return threads.thread_pairs(A.segments(spark, sf)).select("left", "right", F.round("participant_j", 6).alias("participant_j"), F.round("topic_j", 6).alias("topic_j"), "score", "decision", F.array_join("reasons", "|").alias("reasons"))
 
 
 @query(O.TALK, "SELECT root, case_id_norm, n_segments, sha256(case_id_norm || '|' || names) AS thread_key FROM (SELECT root, case_id_norm, count(*) AS n_segments, string_agg(file_id || ':' || chunk_id, ',' ORDER BY file_id || ':' || chunk_id) AS names FROM tm JOIN seg USING (segment_id) GROUP BY root, case_id_norm)")
@@ -361,9 +369,73 @@ def event_storyline(spark: SparkSession, sf: str) -> DataFrame:
     return graph.event_storyline(e, A.event_times(spark, sf), CASE).select("event_id", "date_start", "status")
 
 
-@query(None)
+@query(O.GRAPH, "SELECT src_type, edge_type, dst_type, count(*) AS n_items FROM edges GROUP BY ALL")
 def cypher_statements(spark: SparkSession, sf: str) -> DataFrame:
-    return cypher_edges(graph.edges(A.evidence(spark, sf))).select("src_type", "edge_type", "dst_type", "batch", F.length("statement").alias("n_chars"))
+    """Edges in the statements of each kind."""
+    n = (F.length("statement") - F.length(F.replace("statement", F.lit("{edge_key: '"), F.lit("")))) / F.lit(len("{edge_key: '"))
+    return cypher_edges(graph.edges(A.evidence(spark, sf))).groupBy("src_type", "edge_type", "dst_type").agg(F.sum(n).cast("long").alias("n_items"))
+
+
+@query(O.GRAPH, "SELECT 'node' AS kind, type, count(*) AS n FROM (SELECT src_type AS type, src_id AS id FROM edges UNION SELECT dst_type, dst_id FROM edges) GROUP BY type UNION ALL SELECT 'edge', edge_type, count(*) FROM edges GROUP BY edge_type UNION ALL SELECT 'evidence', edge_type, count(*) FROM evid GROUP BY edge_type")
+def kg_counts(spark: SparkSession, sf: str) -> DataFrame:
+    evidence = written(A.evidence(spark, sf))
+    e = written(graph.edges(evidence))
+    nodes = e.select(F.col("src_type").alias("type"), F.col("src_id").alias("id")).union(e.select("dst_type", "dst_id")).distinct()
+    return graph.counted(e, evidence, nodes)
+
+
+_LOST = "src_type = 'Person' AND src_id LIKE '%5' OR src_type = 'Event' AND right(src_id, 2) = '07'"
+_SETS = """SELECT '{side}' AS side, 'case_events' AS kind, dst_id AS key, src_id AS value FROM {t} WHERE edge_type = 'IN_CASE' AND src_type = 'Event' UNION ALL SELECT '{side}', 'case_people', dst_id, src_id FROM {t} WHERE edge_type = 'IN_CASE' AND src_type = 'Person'
+  UNION ALL SELECT '{side}', 'person_cases', src_id, dst_id FROM {t} WHERE edge_type = 'IN_CASE' AND src_type = 'Person' UNION ALL SELECT '{side}', 'person_events', src_id, dst_id FROM {t} WHERE edge_type = 'MENTIONED_IN_EVENT'
+  UNION ALL SELECT '{side}', 'person_twohop_via_case', a.src_id, b.src_id FROM {t} a JOIN {t} b ON a.dst_id = b.dst_id AND a.src_type = 'Person' AND b.src_type = 'Person' AND a.edge_type = 'IN_CASE' AND b.edge_type = 'IN_CASE' AND a.src_id <> b.src_id"""
+
+
+@query(f"{O.GRAPH}, less AS (SELECT * FROM edges WHERE NOT ({_LOST})), sides AS ({_SETS.format(side='L', t='edges')} UNION ALL {_SETS.format(side='R', t='less')}), held AS (SELECT kind, key, value, bool_or(side = 'L') AS l, bool_or(side = 'R') AS r FROM sides GROUP BY ALL)", "SELECT kind, substr(sha256(key), 1, 12) AS key, count(*) FILTER (l) AS only_left, count(*) FILTER (r) AS only_right FROM held WHERE l <> r GROUP BY ALL UNION ALL SELECT 'count', 'kg_edges', 1, 1 UNION ALL SELECT 'count', 'kg_edge_evidence', 1, 1")
+def kg_parity_report(spark: SparkSession, sf: str) -> DataFrame:
+    """Against an export that lost some people's and events' edges and evidence."""
+    evidence = written(A.evidence(spark, sf))
+    e = written(graph.edges(evidence))
+    kept = F.expr(f"NOT ({_LOST})")
+    return graph.parity_report(e, written(e.where(kept)), evidence, evidence.where(kept))
+
+
+_WHO = "(SELECT min(src_id) FROM edges WHERE src_type = 'Person' AND edge_type = 'IN_CASE')"
+
+
+@query(O.GRAPH, f"(SELECT dst_type, dst_id FROM edges WHERE src_type = 'Person' AND src_id = {_WHO} AND edge_type = 'IN_CASE' ORDER BY dst_id LIMIT 50) UNION ALL (SELECT dst_type, dst_id FROM edges WHERE src_type = 'Person' AND src_id = {_WHO} AND edge_type = 'MENTIONED_IN_EVENT' ORDER BY dst_id LIMIT 50)")
+def kg_person_profile(spark: SparkSession, sf: str) -> DataFrame:
+    e = written(graph.edges(A.evidence(spark, sf)))
+    who = e.where("src_type = 'Person' AND edge_type = 'IN_CASE'").agg(F.min("src_id")).first()[0]
+    return graph.person_profile(e, who)
+
+
+@query(f"{O.CASES}, k AS (SELECT DISTINCT value_norm AS c FROM sig WHERE attribute = 'case_id'), n AS (SELECT DISTINCT case_id_norm AS c FROM ec WHERE event_id % 2 = 0)", "SELECT coalesce(k.c, n.c) AS case_id_norm, coalesce('known ' || k.c, n.c) AS case_id_display, CASE WHEN n.c IS NOT NULL THEN 'event_cases' ELSE 'identity_signals' END AS sources, starts_with(coalesce(n.c, k.c), 'file:') AS is_fallback FROM k FULL JOIN n USING (c)")
+def case_merge(spark: SparkSession, sf: str) -> DataFrame:
+    """Cases that signals named, with names of their own, then those that half of the events are in."""
+    none = A.event_cases(spark, sf).limit(0)
+    known = graph.cases(A.signals(spark, sf), none).withColumn("case_id_display", F.concat(F.lit("known "), "case_id_norm"))
+    new = graph.cases(A.signals(spark, sf).limit(0), A.event_cases(spark, sf).where("event_id % 2 = 0"))
+    return graph.merged_cases(known, new).withColumn("sources", F.array_join("sources", "|"))
+
+
+@query(O.GRAPH, "SELECT count(*) AS n FROM (SELECT chunk_id FROM ev WHERE chunk_id IN (SELECT chunk_id FROM obs) GROUP BY chunk_id HAVING count(*) > 2)")
+def kg_skipped_chunks(spark: SparkSession, sf: str) -> DataFrame:
+    return graph.skipped_chunks(*A.people(spark, sf)[::-1], A.events(spark, sf), 5, 2)
+
+
+@query(f"{O.CASES}, part AS (SELECT e.*, ec.case_id_norm FROM ev e JOIN ec USING (event_id) WHERE user_id % 5 <> 4)", "SELECT chunk_id, coalesce(a, b, 'file:' || file_id) AS case_id_norm, CASE WHEN a IS NOT NULL THEN 'identity_signals' WHEN b IS NOT NULL THEN 'event_cases' ELSE 'fallback_file' END AS case_source FROM (SELECT chunk_id, file_id, (SELECT min(value_norm) FROM sig WHERE sig.chunk_id = c.chunk_id AND attribute = 'case_id') AS a, (SELECT min(case_id_norm) FROM part WHERE part.chunk_id = c.chunk_id) AS b FROM evc c)")
+def segment_cases(spark: SparkSession, sf: str) -> DataFrame:
+    """Chunks of events as segments; no case is known of every fifth user's events."""
+    e = A.events(spark, sf)
+    known = A.event_cases(spark, sf).join(e.where("user_id % 5 <> 4").select("event_id"), "event_id", "left_semi")
+    return threads.segment_cases(A.event_chunks(spark, sf).select("file_id", "chunk_id"), A.signals(spark, sf), e, known).select("chunk_id", "case_id_norm", "case_source")
+
+
+@query(f"{O.PEOPLE}, {O.TALK}, who AS (SELECT name_norm, min(obs_id) AS person_id FROM obs GROUP BY name_norm)", f"SELECT chunk_id, array_to_string(list_sort(list_distinct(list(coalesce('p:' || person_id, 's:' || n)))), '|') AS participant_keys FROM (SELECT DISTINCT chunk_id, {O._NORM.format('speaker')} AS n FROM ut) u LEFT JOIN who ON who.name_norm = u.n GROUP BY chunk_id")
+def segment_participants(spark: SparkSession, sf: str) -> DataFrame:
+    """Speakers who have the name of someone seen in the events are that person."""
+    people = A.observations(spark, sf).groupBy(F.col("name_norm").alias("display_name_norm")).agg(F.min("obs_id").alias("person_id"))
+    return threads.participants(threads.segments(A.utterances(spark, sf)), people).select("chunk_id", F.array_join("participant_keys", "|").alias("participant_keys"))
 
 
 # Read models
@@ -522,7 +594,15 @@ def nb_log_probs(spark: SparkSession, sf: str) -> DataFrame:
     return routeml.bayes(d, written(routeml.vocabulary(d, 500)), classes=LANGS)[1].select("label", "token", F.round("log_prob", 9).alias("log_prob"))
 
 
-@query(None)
+_BAYES = f"""{_DOCS}, nd AS (SELECT label, count(*) AS d FROM docs GROUP BY label), hits AS (SELECT label, token, count(*) AS n FROM tok SEMI JOIN vocab USING (token) GROUP BY ALL), size AS (SELECT label, sum(n) AS total FROM hits GROUP BY label),
+cls AS (SELECT label, ln((d + 1.0) / ((SELECT sum(d) FROM nd) + 4.0)) AS prior, total + (SELECT count(*) FROM vocab) AS denom FROM nd JOIN size USING (label) WHERE label IN ('en', 'de', 'fr', 'es')),
+mine AS (SELECT row_id, token, count(*) AS n FROM tok GROUP BY ALL),
+weigh AS (SELECT row_id, cls.label AS c, any_value(prior) + sum(mine.n * ln((coalesce(hits.n, 0) + 1.0) / denom)) AS s FROM mine CROSS JOIN cls LEFT JOIN hits ON hits.label = cls.label AND hits.token = mine.token GROUP BY ALL
+  UNION ALL SELECT row_id, cls.label, prior FROM docs CROSS JOIN cls WHERE row_id NOT IN (SELECT row_id FROM mine)),
+said AS (SELECT row_id, arg_max(c, (s, -list_position(['en', 'de', 'fr', 'es'], c))) AS predicted FROM weigh GROUP BY row_id)"""
+
+
+@query(_BAYES, "SELECT label AS actual, predicted, count(*) AS n FROM docs JOIN said USING (row_id) GROUP BY ALL")
 def confusion_matrix(spark: SparkSession, sf: str) -> DataFrame:
     d = _docs(spark, sf)
     v = written(routeml.vocabulary(d, 500))
@@ -537,6 +617,18 @@ def class_metrics(spark: SparkSession, sf: str) -> DataFrame:
     return routeml.class_metrics(m).select(F.col("label").cast("int").alias("label"), "support", *[F.round(c, 9).alias(c) for c in ("precision", "recall", "f1")])
 
 
+_EVAL = "x AS (SELECT CASE token_est % 4 WHEN 0 THEN 'skip' WHEN 1 THEN 'llm_large' ELSE 'llm_small' END AS actual, CASE token_est % 3 WHEN 0 THEN 'skip' WHEN 1 THEN 'llm_large' ELSE 'llm_small' END AS predicted, route, token_est FROM triage)"
+_F1 = " + ".join(f"coalesce((SELECT 2.0 * count(*) FILTER (actual = '{c}' AND predicted = '{c}') / nullif(count(*) FILTER (actual = '{c}') + count(*) FILTER (predicted = '{c}'), 0) FROM x), 0.0)" for c in routeml.ROUTES)
+
+
+@query(f"{O.TRIAGE}, {_EVAL}", f"SELECT round(count(*) FILTER (actual = predicted) / count(*), 9) AS accuracy, round(({_F1}) / 3, 9) AS macro_f1, round(count(*) FILTER (actual <> 'skip' AND predicted <> 'skip') / count(*) FILTER (actual <> 'skip'), 9) AS llm_send_recall_model, round(count(*) FILTER (actual <> 'skip' AND route <> 'skip') / count(*) FILTER (actual <> 'skip'), 9) AS llm_send_recall_heuristic, count(*) FILTER (actual <> 'skip') AS llm_send_support, count(*) FILTER (predicted <> 'skip') AS predicted_llm_chunks, round(count(*) FILTER (predicted <> 'skip') / count(*), 9) AS predicted_llm_ratio, sum(token_est) FILTER (predicted <> 'skip')::BIGINT AS predicted_llm_tokens_est, count(*) FILTER (predicted = 'skip') AS predicted_skip, count(*) FILTER (predicted = 'llm_small') AS predicted_llm_small, count(*) FILTER (predicted = 'llm_large') AS predicted_llm_large FROM x")
+def model_evaluation(spark: SparkSession, sf: str) -> DataFrame:
+    n, names = F.col("token_est"), F.array(*map(F.lit, ("skip", "llm_large", "llm_small", "llm_small")))
+    rows = A.triaged(spark, sf).select("token_est", F.col("route").alias("triage_route"), F.get(names, n % 4).alias("actual"), F.get(names, n % 3).alias("predicted"))
+    got = routeml.evaluated(rows)
+    return got.withColumns({c: F.round(c, 9) for c in ("accuracy", "macro_f1", "llm_send_recall_model", "llm_send_recall_heuristic", "predicted_llm_ratio")})
+
+
 @query(None)
 def label_bands(spark: SparkSession, sf: str) -> DataFrame:
     t = written(A.triaged(spark, sf).select("chunk_id", "file_id", "text", "score"))

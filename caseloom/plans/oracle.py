@@ -157,7 +157,7 @@ sh AS (SELECT a.segment_id AS me, b.segment_id AS other, count(*) AS n FROM ix a
 tr AS (SELECT DISTINCT least(me, other) AS l, greatest(me, other) AS r FROM (SELECT *, row_number() OVER (PARTITION BY me ORDER BY n DESC, least(me, other), greatest(me, other)) AS k FROM sh) WHERE k <= 500),
 jac AS (SELECT l AS "left", r AS "right", CASE WHEN len(a.pk) > 0 AND len(b.pk) > 0 THEN len(list_intersect(a.pk, b.pk)) / len(list_distinct(list_concat(a.pk, b.pk))) ELSE 0.0 END AS participant_j, CASE WHEN len(a.tt) > 0 AND len(b.tt) > 0 THEN len(list_intersect(a.tt, b.tt)) / len(list_distinct(list_concat(a.tt, b.tt))) ELSE 0.0 END AS topic_j,
   CASE WHEN abs(a.d - b.d) <= 7 THEN 0.1 WHEN abs(a.d - b.d) <= 30 THEN 0.05 ELSE 0.0 END::DOUBLE AS bonus FROM tr JOIN seg a ON a.segment_id = l JOIN seg b ON b.segment_id = r),
-tp AS (SELECT * FROM (SELECT "left", "right", participant_j, topic_j, round(0.7::DOUBLE * participant_j + 0.3::DOUBLE * topic_j + bonus, 6) AS score, CASE WHEN participant_j > 0 AND 0.7::DOUBLE * participant_j + 0.3::DOUBLE * topic_j + bonus >= 0.45 THEN 'link' WHEN participant_j = 0 AND topic_j >= 0.6 AND 0.3::DOUBLE * topic_j + bonus >= 0.3 THEN 'needs_review' END AS decision FROM jac) WHERE decision IS NOT NULL),
+tp AS (SELECT * FROM (SELECT "left", "right", participant_j, topic_j, round(0.7::DOUBLE * participant_j + 0.3::DOUBLE * topic_j + bonus, 6) AS score, CASE WHEN participant_j > 0 AND 0.7::DOUBLE * participant_j + 0.3::DOUBLE * topic_j + bonus >= 0.45 THEN 'link' WHEN participant_j = 0 AND topic_j >= 0.6 AND 0.3::DOUBLE * topic_j + bonus >= 0.3 THEN 'needs_review' END AS decision, array_to_string(list_sort(list_filter([CASE WHEN participant_j > 0 THEN 'participant_overlap' END, CASE WHEN bonus > 0.07 THEN 'time_within_7d' WHEN bonus > 0 THEN 'time_within_30d' END, CASE WHEN topic_j > 0 THEN 'topic_overlap' END], lambda r: r IS NOT NULL)), '|') AS reasons FROM jac) WHERE decision IS NOT NULL),
 tl AS (SELECT "left" AS a, "right" AS b FROM tp WHERE decision = 'link' UNION SELECT "right", "left" FROM tp WHERE decision = 'link'),
 trch(segment_id, root) AS (SELECT segment_id, segment_id FROM seg UNION SELECT l.b, r.root FROM trch r JOIN tl l ON l.a = r.segment_id WHERE r.root < l.b),
 tm AS (SELECT segment_id, min(root) AS root FROM trch GROUP BY segment_id)
