@@ -11,15 +11,18 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 #: Month names by number, weekday names by number (Monday 0), units of relative dates.
-MONTH_NAMES = "jan january feb february mar march apr april may jun june jul july aug august sep sept september oct october nov november dec december".split()
-MONTH = {n: ["jan", "feb", "mar", "apr", "may", "jun", "jul", "aug", "sep", "oct", "nov", "dec"].index(n[:3]) + 1 for n in MONTH_NAMES}
-WEEKDAY = {"mon monday": 0, "tue tues tuesday": 1, "wed wednesday": 2, "thu thur thurs thursday": 3, "fri friday": 4, "sat saturday": 5, "sun sunday": 6}
-WEEKDAY_OF = {name: n for names, n in WEEKDAY.items() for name in names.split()}
+MONTH = {
+    "jan": 1, "january": 1, "feb": 2, "february": 2, "mar": 3, "march": 3, "apr": 4, "april": 4, "may": 5, "jun": 6, "june": 6, "jul": 7, "july": 7, "aug": 8, "august": 8, "sep": 9, "sept": 9, "september": 9,
+    "oct": 10, "october": 10, "nov": 11, "november": 11, "dec": 12, "december": 12,
+}
+WEEKDAY_OF = {
+    "mon": 0, "monday": 0, "tue": 1, "tues": 1, "tuesday": 1, "wed": 2, "wednesday": 2, "thu": 3, "thur": 3, "thurs": 3, "thursday": 3, "fri": 4, "friday": 4, "sat": 5, "saturday": 5, "sun": 6, "sunday": 6,
+}
 UNITS = "day|days|week|weeks|month|months|year|years"
 #: Characters of a text that an anchor date is looked for in.
 ANCHORED = 12_000
 
-_M = "(" + "|".join(sorted(MONTH_NAMES, key=len, reverse=True)) + ")"
+_M = "(" + "|".join(sorted(MONTH, key=len, reverse=True)) + ")"
 _ISO = r"(\d{4})-(\d{2})-(\d{2})"
 _RANGES = (("iso", re.compile(rf"\b{_ISO}\s+(?:to|through|-)\s+{_ISO}\b", re.I)), ("month", re.compile(rf"\b{_M}\s+(\d{{1,2}})\s*[-–—]\s*(\d{{1,2}}),\s*(\d{{4}})\b", re.I)))
 #: Pattern, order of its year, month and day groups (0: absent).
@@ -82,8 +85,8 @@ def parse_absolute(text: str | None) -> tuple[Found | None, str | None]:
     return (kept[0][2], None) if len(found) == 1 else (None, "unresolved_ambiguous")
 
 
-def first_anchor(text: str | None, most: int = ANCHORED) -> str | None:
-    """First day of the first absolute date in a text's beginning."""
+def first_anchor(text: str | None, most: int | None = ANCHORED) -> str | None:
+    """First day of the first absolute date in a text's first `most` characters (None: all)."""
     if not text:
         return None
     text = text[:most]
@@ -108,10 +111,10 @@ def absolute(c: Column) -> Column:
     return parse(c)
 
 
-def anchor(c: Column) -> Column:
+def anchor(c: Column, most: int | None = ANCHORED) -> Column:
     @F.arrow_udf("string")
     def find(texts: pa.Array) -> pa.Array:
-        return pa.array([first_anchor(x.as_py()) for x in texts], pa.string())
+        return pa.array([first_anchor(x.as_py(), most) for x in texts], pa.string())
 
     return find(c)
 
@@ -127,7 +130,7 @@ def relative(c: Column, anchor_date: Column) -> Column:
     later, ago = rf"^in\s+(\d+)\s+({UNITS})$", rf"^(\d+)\s+({UNITS})\s+ago$"
     days = r"^(last|next|this)\s+(" + "|".join(sorted(WEEKDAY_OF, key=len, reverse=True)) + ")$"
     # Every name of a weekday begins with the same three letters.
-    target = F.array_position(F.array(*[F.lit(names[:3]) for names in WEEKDAY]), F.substring(group(days, 2), 1, 3)) - 1
+    target = F.array_position(F.array(*map(F.lit, ("mon", "tue", "wed", "thu", "fri", "sat", "sun"))), F.substring(group(days, 2), 1, 3)) - 1
     parts = F.struct(
         group(r"^(today|yesterday|tomorrow)$", 1).alias("word"), F.coalesce(group(later, 1).try_cast("int"), -group(ago, 1).try_cast("int")).alias("n"),
         F.regexp_replace(F.coalesce(group(later, 2), group(ago, 2)), "s$", "").alias("unit"), group(days, 1).alias("way"), target.alias("target"), F.weekday(anchor_date).alias("now"), anchor_date.alias("base"),

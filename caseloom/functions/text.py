@@ -9,7 +9,7 @@ import pyarrow as pa
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-#: Characters analysed of a chunk; tokens and characters of a token that shapes are taken of.
+#: Characters analysed of a chunk, and tokens that shapes are taken of, unless said otherwise (None: all); characters of a token that make its shape.
 ANALYSED, SHAPED, SHAPE = 50_000, 2_000, 40
 
 #: What the signals look for.
@@ -42,8 +42,9 @@ def normal_name(c: Column) -> Column:
     return F.nullif(F.trim(F.regexp_replace(F.lower(c), "[^a-z0-9]+", " ")), F.lit(""))
 
 
-def analysed(c: Column) -> Column:
-    return F.substring(F.replace(F.coalesce(c, F.lit("")), F.lit("\x00"), F.lit("")), 1, ANALYSED)
+def analysed(c: Column, most: int | None = ANALYSED) -> Column:
+    whole = F.replace(F.coalesce(c, F.lit("")), F.lit("\x00"), F.lit(""))
+    return whole if most is None else F.substring(whole, 1, most)
 
 
 def count_of(c: Column, pattern: str) -> Column:
@@ -59,10 +60,11 @@ def bare(c: Column) -> Column:
     return F.regexp_replace(c, r"\s+", "")
 
 
-def shape_tokens(c: Column) -> Column:
-    """Shapes of the first tokens: A, a, 0 and _ stand for their kinds, - for the rest."""
+def shape_tokens(c: Column, most: int | None = SHAPED) -> Column:
+    """Shapes of the first tokens (None: all): A, a, 0 and _ stand for their kinds, - for the rest."""
     shaped = F.regexp_replace(F.regexp_replace(F.regexp_replace(F.regexp_replace(c, r"[^\p{Lu}\p{Ll}\p{Nd}_\s]", "-"), r"\p{Lu}", "A"), r"\p{Ll}", "a"), r"\p{Nd}", "0")
-    return F.slice(F.filter(F.split(shaped, r"\s+"), lambda t: t != ""), 1, SHAPED)
+    tokens = F.filter(F.split(shaped, r"\s+"), lambda t: t != "")
+    return tokens if most is None else F.slice(tokens, 1, most)
 
 
 def lines_of(c: Column) -> Column:

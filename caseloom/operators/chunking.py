@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from caseloom.functions.text import DATE, PATTERNS
 
-#: Characters of a page looked at for dialogue, of a chunk for dates and names.
+#: Characters of a page looked at for dialogue, of a chunk for dates and names, unless said otherwise (None: all).
 PAGE_SEEN, CHUNK_SEEN = 4_000, 8_000
 NAME = r"\b[A-Z][a-z]+\s+[A-Z][a-z]+\b"
 
@@ -25,15 +25,15 @@ def page_score(length: Column, confidence: Column, review: Column, flags: Column
     return F.round(F.when(F.array_contains(flags, "empty_text"), 0.0).otherwise(one(base)), 6)
 
 
-def _signals(pages: Column, text: Column) -> Column:
+def _signals(pages: Column, text: Column, most: int | None) -> Column:
     confidence = F.filter(F.transform(pages, lambda p: p["confidence"]), lambda c: c.isNotNull())
     mean = F.aggregate(confidence, F.lit(0.0), lambda a, c: a + c) / F.size(confidence)
     low = F.exists(pages, lambda p: p["review_required"]) | (F.length(F.trim(F.regexp_replace(text, r"^\s+|\s+$", ""))) < 40) | ((F.size(confidence) > 0) & (mean < 0.5))
-    seen = F.substring(text, 1, CHUNK_SEEN)
+    seen = text if most is None else F.substring(text, 1, most)
     return F.struct(F.exists(pages, lambda p: p["dialogue"]).alias("likely_dialogue"), seen.rlike(DATE).alias("has_dates"), seen.rlike(NAME).alias("has_names"), low.alias("low_quality"))
 
 
-def pages_ready(pages: DataFrame) -> DataFrame:
+def pages_ready(pages: DataFrame, most: int | None = PAGE_SEEN) -> DataFrame:
     """file_id, page_index, text, review_required, confidence, dialogue; defaults for what is missing."""
     has = set(pages.columns)
     text = F.coalesce("text", F.lit(""))
@@ -41,17 +41,17 @@ def pages_ready(pages: DataFrame) -> DataFrame:
         "file_id", "page_index", text.alias("text"),
         (F.coalesce("review_required", F.lit(False)) if "review_required" in has else F.lit(False)).alias("review_required"),
         (F.col("confidence").cast("double") if "confidence" in has else F.lit(None).cast("double")).alias("confidence"),
-        F.substring(text, 1, PAGE_SEEN).rlike(PATTERNS["dialogue_marker_count"]).alias("dialogue"),
+        (text if most is None else F.substring(text, 1, most)).rlike(PATTERNS["dialogue_marker_count"]).alias("dialogue"),
     )
 
 
-def chunks(pages: DataFrame, size: int = 2, overlap: int = 1) -> DataFrame:
+def chunks(pages: DataFrame, size: int = 2, overlap: int = 1, page_seen: int | None = PAGE_SEEN, chunk_seen: int | None = CHUNK_SEEN) -> DataFrame:
     """chunk_id, file_id, page_start, page_end, text, signals.
 
     A page with dialogue, or before one, stands alone. For pairs with overlap one that is a look at the next page, so a
     window does; other sizes walk over a file's page array in one fold.
     """
-    p = pages_ready(pages)
+    p = pages_ready(pages, page_seen)
     if (size, overlap) == (2, 1):
         w = Window.partitionBy("file_id").orderBy("page_index")
         page = F.struct("page_index", "text", "review_required", "confidence", "dialogue")
@@ -78,4 +78,4 @@ def chunks(pages: DataFrame, size: int = 2, overlap: int = 1) -> DataFrame:
     text = F.array_join(F.filter(F.transform("pages", lambda x: x["text"]), lambda t: t != ""), "\n\n")
     first, last = F.get("pages", 0)["page_index"], F.element_at("pages", -1)["page_index"]
     out = runs.select("file_id", first.alias("page_start"), last.alias("page_end"), text.alias("text"), "pages")
-    return out.select(F.concat("file_id", F.lit(":"), "page_start", F.lit("-"), "page_end").alias("chunk_id"), "file_id", "page_start", "page_end", "text", _signals(F.col("pages"), F.col("text")).alias("signals"))
+    return out.select(F.concat("file_id", F.lit(":"), "page_start", F.lit("-"), "page_end").alias("chunk_id"), "file_id", "page_start", "page_end", "text", _signals(F.col("pages"), F.col("text"), chunk_seen).alias("signals"))

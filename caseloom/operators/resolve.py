@@ -12,15 +12,15 @@ from caseloom.operators.components import components
 
 #: Groups over this size give no pairs: their key says too little.
 MAX_GROUP = 200
-#: Short forms of first names.
+#: First names of short forms.
 NICKNAMES = {
-    "robert": "bob bobby rob robbie", "william": "bill billy will willy", "elizabeth": "liz beth lizzy", "james": "jim jimmy", "michael": "mike",
-    "katherine": "kate katie", "thomas": "tom", "daniel": "dan danny", "joseph": "joe",
+    "bob": "robert", "bobby": "robert", "rob": "robert", "robbie": "robert", "bill": "william", "billy": "william", "will": "william", "willy": "william", "liz": "elizabeth", "beth": "elizabeth", "lizzy": "elizabeth",
+    "jim": "james", "jimmy": "james", "mike": "michael", "kate": "katherine", "katie": "katherine", "tom": "thomas", "dan": "daniel", "danny": "daniel", "joe": "joseph",
 }
 
 
 def full_first(first: Column) -> Column:
-    names = F.create_map(*[F.lit(x) for full, short in NICKNAMES.items() for s in short.split() for x in (s, full)])
+    names = F.create_map(*[F.lit(x) for pair in NICKNAMES.items() for x in pair])
     return F.coalesce(names[first], first)
 
 
@@ -64,6 +64,11 @@ def blocking_keys(obs: DataFrame) -> DataFrame:
     return obs.select("obs_id", F.explode(keys).alias("k")).select("obs_id", "k.*").distinct()
 
 
+def oversized(keys: DataFrame, most: int = MAX_GROUP) -> DataFrame:
+    """key_type, n_groups, n_members: what candidate_pairs() leaves out."""
+    return keys.groupBy("key_type", "key").agg(F.count("*").alias("n")).where(F.col("n") > most).groupBy("key_type").agg(F.count("*").alias("n_groups"), F.sum("n").alias("n_members"))
+
+
 def candidate_pairs(keys: DataFrame, most: int = MAX_GROUP) -> DataFrame:
     """left, right, key_type, key with left < right, of groups of at most `most`.
 

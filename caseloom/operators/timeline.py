@@ -5,15 +5,15 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from caseloom.functions.dates import absolute, anchor, in_calendar, is_relative, iso_day, relative
+from caseloom.functions.dates import ANCHORED, absolute, anchor, in_calendar, is_relative, iso_day, relative
 
 
-def chunk_anchors(chunks: DataFrame) -> DataFrame:
-    """chunk_id, chunk_anchor: the first absolute date of each chunk's text."""
-    return chunks.select("chunk_id", anchor(F.col("text")).alias("chunk_anchor"))
+def chunk_anchors(chunks: DataFrame, most: int | None = ANCHORED) -> DataFrame:
+    """chunk_id, chunk_anchor: the first absolute date of each chunk's text (of its first `most` characters; None: of all)."""
+    return chunks.select("chunk_id", anchor(F.col("text"), most).alias("chunk_anchor"))
 
 
-def event_times(events: DataFrame, chunks: DataFrame, files: DataFrame) -> DataFrame:
+def event_times(events: DataFrame, chunks: DataFrame, files: DataFrame, most: int | None = ANCHORED) -> DataFrame:
     """event_id, date_raw, date_start, date_end, precision, status, parser.
 
     Absolute dates are read first; only the others that are relative look for an anchor: their chunk's first date, else
@@ -22,7 +22,7 @@ def event_times(events: DataFrame, chunks: DataFrame, files: DataFrame) -> DataF
     e = events.select("event_id", "file_id", "chunk_id", F.col("date").alias("date_raw")).withColumn("a", absolute(F.col("date_raw")))
     pending = F.col("a.status").isNull() & F.col("a.date_start").isNull() & is_relative(F.col("date_raw"))
     need = e.where(pending).select("chunk_id").distinct()
-    found = chunk_anchors(chunks.join(need, "chunk_id", "left_semi"))
+    found = chunk_anchors(chunks.join(need, "chunk_id", "left_semi"), most)
     days = files.select("file_id", iso_day(F.col("mtime")).alias("file_anchor"))
     e = e.join(found, "chunk_id", "left").join(days, "file_id", "left").withColumn("pending", pending)
     # Columns of their own, so that each is computed once.

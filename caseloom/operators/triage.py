@@ -19,11 +19,11 @@ from caseloom.sources.scratch import written
 SKIP, LARGE = 0.10, 0.75
 
 
-def features(chunks: DataFrame, packs: dict[str, list[str]] | None = None, text: str = "text") -> DataFrame:
-    """chunks with a flat column for each feature."""
+def features(chunks: DataFrame, packs: dict[str, list[str]] | None = None, text: str = "text", most: int | None = T.ANALYSED, shaped: int | None = T.SHAPED) -> DataFrame:
+    """chunks with a flat column for each feature, of the first `most` characters and, for shapes, `shaped` tokens (None: of all)."""
     # What several features share is a column of its own, so that it is computed once.
-    df = chunks.withColumn("__t", analysed(F.col(text)))
-    df = df.withColumns({"__l": F.lower("__t"), "__bare": T.bare(F.col("__t")), "__tokens": T.shape_tokens(F.col("__t")), "__lines": T.lines_of(F.col("__t"))})
+    df = chunks.withColumn("__t", analysed(F.col(text), most))
+    df = df.withColumns({"__l": F.lower("__t"), "__bare": T.bare(F.col("__t")), "__tokens": T.shape_tokens(F.col("__t"), shaped), "__lines": T.lines_of(F.col("__t"))})
     df = df.withColumns({"__shapes": T.distinct_shapes(F.col("__tokens")), "__full": T.full_lines(F.col("__lines"))})
     df = df.withColumns({"__bullets": T.bullet_lines(F.col("__full")), "__table": T.table_lines(F.col("__full"))})
     cols = T.text_quality(*map(F.col, ("__t", "__bare", "__tokens", "__shapes"))) | T.structure(*map(F.col, ("__lines", "__full", "__bullets", "__table"))) | T.pattern_counts(F.col("__t"))
@@ -87,9 +87,9 @@ def complex_narrative() -> Column:
     return (F.col("char_len") >= 800) & (F.col("nonempty_line_count") >= 8) & ~F.col("table_like") & (F.col("bullet_density") < 0.25) & (signals >= 4)
 
 
-def triaged(chunks: DataFrame, packs: dict[str, list[str]] | None = None, skip: float = SKIP, large: float = LARGE) -> DataFrame:
+def triaged(chunks: DataFrame, packs: dict[str, list[str]] | None = None, skip: float = SKIP, large: float = LARGE, most: int | None = T.ANALYSED, shaped: int | None = T.SHAPED) -> DataFrame:
     """Features, score, token_est, low_quality, complex_narrative and the heuristic route of each chunk; `ner` counts if there."""
-    df = features(chunks, packs).withColumn("token_est", token_estimate(F.col("text"))).withColumn("score", score("ner" in chunks.columns))
+    df = features(chunks, packs, most=most, shaped=shaped).withColumn("token_est", token_estimate(F.col("text"))).withColumn("score", score("ner" in chunks.columns))
     df = df.withColumns({"low_quality": low_quality(), "complex_narrative": complex_narrative()})
     route = F.when(F.col("score") < skip, "skip").when((F.col("score") >= large) | F.col("complex_narrative"), "llm_large").otherwise("llm_small")
     return df.withColumn("route", route)

@@ -36,11 +36,16 @@ def pages(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def chunks(spark: SparkSession, sf: str) -> DataFrame:
-    return chunking.chunks(pages(spark, sf))
+    """Whole pages and chunks are looked at: no limit on the characters seen."""
+    return whole_chunks(pages(spark, sf))
+
+
+def whole_chunks(pages: DataFrame) -> DataFrame:
+    return chunking.chunks(pages, page_seen=None, chunk_seen=None)
 
 
 def triaged(spark: SparkSession, sf: str) -> DataFrame:
-    return triage.triaged(chunks(spark, sf))
+    return triage.triaged(chunks(spark, sf), most=None, shaped=None)
 
 
 def person(i: Column, short: Column) -> Column:
@@ -79,7 +84,7 @@ def files(spark: SparkSession, sf: str) -> DataFrame:
 
 
 def event_times(spark: SparkSession, sf: str) -> DataFrame:
-    return timeline.event_times(events(spark, sf), event_chunks(spark, sf), files(spark, sf))
+    return timeline.event_times(events(spark, sf), event_chunks(spark, sf), files(spark, sf), most=None)
 
 
 def entities(spark: SparkSession, sf: str) -> DataFrame:

@@ -40,7 +40,7 @@ def query(ctes: str | None, select: str = "") -> Callable[[Query], Query]:
 # Chunks and triage
 
 
-@query(O.CHUNKS, f"SELECT chunk_id, page_start, page_end, length(t) AS n_chars, dialogue AS likely_dialogue, regexp_matches(regexp_replace(substr(t, 1, 8000), '[À-ɏ]', '_', 'g'), {O._q(T.DATE)}) AS has_dates, regexp_matches(regexp_replace(substr(t, 1, 8000), '[À-ɏ]', '_', 'g'), {O._q(chunking.NAME)}) AS has_names, length(regexp_replace(t, '^\\s+|\\s+$', '', 'g')) < 40 AS low_quality FROM chunks")
+@query(O.CHUNKS, f"SELECT chunk_id, page_start, page_end, length(t) AS n_chars, dialogue AS likely_dialogue, regexp_matches(regexp_replace(t, '[À-ɏ]', '_', 'g'), {O._q(T.DATE)}) AS has_dates, regexp_matches(regexp_replace(t, '[À-ɏ]', '_', 'g'), {O._q(chunking.NAME)}) AS has_names, length(regexp_replace(t, '^\\s+|\\s+$', '', 'g')) < 40 AS low_quality FROM chunks")
 def chunk_windows(spark: SparkSession, sf: str) -> DataFrame:
     return A.chunks(spark, sf).select("chunk_id", "page_start", "page_end", F.length("text").alias("n_chars"), "signals.likely_dialogue", "signals.has_dates", "signals.has_names", "signals.low_quality")
 
@@ -53,7 +53,7 @@ _WORDS = [*(f"kw_{p}" for p in T.PACKS), "keyword_hit_total"]
 
 
 def _features(name: str, cols: list[str]) -> None:
-    QUERIES[name] = lambda spark, sf: triage.features(A.chunks(spark, sf)).select("chunk_id", *cols)
+    QUERIES[name] = lambda spark, sf: triage.features(A.chunks(spark, sf), most=None, shaped=None).select("chunk_id", *cols)
     ORACLE[name] = O.sql(O.FEATURES, f"SELECT chunk_id, {', '.join(cols)} FROM flags")
 
 
@@ -188,6 +188,12 @@ def blocking_pairs(spark: SparkSession, sf: str) -> DataFrame:
     return A.pairs(written(A.observations(spark, sf))).select("key_type", "left", "right")
 
 
+@query(O.PEOPLE, "SELECT key_type, count(*) AS n_groups, sum(n)::BIGINT AS n_members FROM (SELECT key_type, key, count(*) AS n FROM keys GROUP BY ALL HAVING count(*) > 50) GROUP BY key_type")
+def oversized_groups(spark: SparkSession, sf: str) -> DataFrame:
+    """Groups that a cap of 50 would leave out."""
+    return resolve.oversized(resolve.blocking_keys(A.observations(spark, sf)), 50)
+
+
 @query(O.PEOPLE, "SELECT * FROM sp")
 def pair_scores(spark: SparkSession, sf: str) -> DataFrame:
     return A.scored(written(A.observations(spark, sf))).select("left", "right", "score", "decision", F.array_join("reasons", "|").alias("reasons"))
@@ -497,7 +503,7 @@ _REC = """rec AS (SELECT ['entities', 'events', 'conversations', 'identity_signa
 
 
 def _records(spark: SparkSession, sf: str, chunks: DataFrame | None = None) -> tuple[DataFrame, DataFrame]:
-    t = written(triage.triaged(chunks if chunks is not None else A.chunks(spark, sf)).select("chunk_id", "file_id", "text", "token_est", "route", "low_quality", "score"))
+    t = written(triage.triaged(chunks if chunks is not None else A.chunks(spark, sf), most=None, shaped=None).select("chunk_id", "file_id", "text", "token_est", "route", "low_quality", "score"))
     k, n = F.col("k"), F.col("token_est") + F.col("k")
     rows = t.withColumn("k", F.explode(F.array(*map(F.lit, range(4)))))
     error = F.when(n % 13 == 0, "invalid_json").when(n % 17 == 0, "rules_error")
@@ -536,7 +542,7 @@ def qa_rollup(spark: SparkSession, sf: str) -> DataFrame:
     """Pages get a source and a flag by their number. Pages and chunks are written once, as several parts read them."""
     i = F.col("page_index")
     pages = written(A.pages(spark, sf))
-    chunks = written(chunking.chunks(pages))
+    chunks = written(A.whole_chunks(pages))
     recs, t = _records(spark, sf, chunks)
     facts = pages.withColumns({"source": F.when(i % 3 == 0, "pdf_text").when(i % 3 == 1, "ocr"), "quality_flags": F.array_compact(F.array(F.lit("review"), F.when(i % 7 == 5, "low_text")))})
     return validate.rollup(facts, chunks, t, recs, {"chunks": 4}).drop("low_quality_chunks").withColumn("warnings", F.array_join("warnings", "|"))

@@ -31,7 +31,7 @@ pages AS (
         || ' Officer Dana Reed reported to Acme Inc. about Case #A' || (doc_id % 50 + 100) || '.' || CASE WHEN doc_id % 3 = 0 THEN chr(10) || 'Name: yes' ELSE '' END, chr(10)) AS l FROM documents))
 """
 CHUNKS = f"""{PAGES},
-said AS (SELECT *, regexp_matches(regexp_replace(substr(text, 1, 4000), '[À-ɏ]', '_', 'g'), {_q(_DIALOGUE)}) AS dialogue FROM pages),
+said AS (SELECT *, regexp_matches(regexp_replace(text, '[À-ɏ]', '_', 'g'), {_q(_DIALOGUE)}) AS dialogue FROM pages),
 ahead AS (SELECT *, lead(text) OVER w AS ntext, lead(dialogue) OVER w AS ndialogue FROM said WINDOW w AS (PARTITION BY file_id ORDER BY page_index)),
 chunks AS (
   SELECT file_id || ':' || page_index || '-' || (page_index + n - 1) AS chunk_id, doc_id, file_id, page_index AS page_start, page_index + n - 1 AS page_end,
@@ -56,7 +56,7 @@ chars AS (SELECT chunk_id, unnest(string_split({_BARE}, '')) AS c, generate_subs
 marks AS (SELECT chunk_id, i, c, CASE WHEN c = lag(c) OVER (PARTITION BY chunk_id ORDER BY i) THEN 0 ELSE 1 END AS s FROM chars WHERE c <> ''),
 islands AS (SELECT chunk_id, sum(s) OVER (PARTITION BY chunk_id ORDER BY i) AS g FROM marks),
 longest AS (SELECT chunk_id, max(n) AS run FROM (SELECT chunk_id, g, count(*) AS n FROM islands GROUP BY ALL) GROUP BY chunk_id),
-parts AS (SELECT *, {_BARE} AS bare, list_slice(list_filter(regexp_split_to_array({_SHAPE}, '\\s+'), lambda x: x <> ''), 1, 2000) AS toks,
+parts AS (SELECT *, {_BARE} AS bare, list_filter(regexp_split_to_array({_SHAPE}, '\\s+'), lambda x: x <> '') AS toks,
   {_FULL} AS nonempty, CASE WHEN t = '' THEN 0 ELSE len(string_split(regexp_replace(t, '\\n$', ''), chr(10))) END AS line_count,
   regexp_replace(t, '([^A-Za-z0-9_])', '\\1\\1', 'g') AS doubled, {_E} AS e FROM chunks),
 features AS (SELECT p.*, length(t) AS char_len, CASE WHEN length(t) > 0 THEN round(length(bare) / length(t), 6) ELSE 0.0 END AS non_ws_ratio,
@@ -118,7 +118,7 @@ ec AS (SELECT e.event_id, coalesce(s.value_norm, 'file:' || e.file_id) AS case_i
   FROM ev e LEFT JOIN (SELECT DISTINCT file_id, chunk_id, value_norm FROM sig WHERE attribute = 'case_id') s USING (file_id, chunk_id))
 """
 _NORM = "trim(regexp_replace(lower({}), '[^a-z0-9]+', ' ', 'g'))"
-_FULLNAME = "CASE {0} " + " ".join(f"WHEN {_q(s)} THEN {_q(f)}" for f, ss in NICKNAMES.items() for s in ss.split()) + " ELSE {0} END"
+_FULLNAME = "CASE {0} " + " ".join(f"WHEN {_q(s)} THEN {_q(f)}" for s, f in NICKNAMES.items()) + " ELSE {0} END"
 PEOPLE = f"""{CASES},
 obs AS (SELECT chunk_id AS obs_id, entity AS name, {_NORM.format('entity')} AS name_norm, file_id, chunk_id, page_start, page_end,
   split_part({_NORM.format('entity')}, ' ', 1) AS f, split_part({_NORM.format('entity')}, ' ', 2) AS l FROM ent WHERE type = 'person'),
