@@ -652,3 +652,11 @@ def stream_windows(spark: SparkSession, sf: str) -> DataFrame:
 @query("g AS (SELECT *, CASE WHEN ts - lag(ts) OVER w <= INTERVAL 30 MINUTE THEN 0 ELSE 1 END AS s FROM events WINDOW w AS (PARTITION BY user_id ORDER BY ts)), h AS (SELECT *, sum(s) OVER (PARTITION BY user_id ORDER BY ts) AS k FROM g)", "SELECT user_id, min(ts) AS session_start, max(ts) + INTERVAL 30 MINUTE AS session_end, count(*) AS n FROM h GROUP BY user_id, k")
 def stream_sessions(spark: SparkSession, sf: str) -> DataFrame:
     return streams.sessions(A.table(spark, sf, "events"))
+
+
+@query("w AS (SELECT user_id, event_id, (event_id % 40 + 1)::INT AS t, row_number() OVER (PARTITION BY user_id ORDER BY event_id::VARCHAR) AS r FROM events), walk(user_id, r, spent, taken) AS (SELECT user_id, 0::BIGINT, 0, false FROM (SELECT DISTINCT user_id FROM w) UNION ALL SELECT w.user_id, w.r, CASE WHEN k.spent + w.t <= 500 THEN k.spent + w.t ELSE k.spent END, k.spent + w.t <= 500 FROM walk k JOIN w ON w.user_id = k.user_id AND w.r = k.r + 1)", "SELECT 'u' || user_id AS file_id, event_id::VARCHAR AS chunk_id, t AS token_est, taken FROM w JOIN walk USING (user_id, r)")
+def stream_budget(spark: SparkSession, sf: str) -> DataFrame:
+    """Each user's events as a file's chunks, in order of their ids' text."""
+    e = A.table(spark, sf, "events")
+    rows = e.select(F.concat(F.lit("u"), F.col("user_id").cast("string")).alias("file_id"), F.col("event_id").cast("string").alias("chunk_id"), (F.col("event_id") % 40 + 1).cast("int").alias("token_est"))
+    return streams.running_budget(rows, 500)

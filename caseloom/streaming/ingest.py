@@ -2,6 +2,10 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -44,20 +48,30 @@ def deduplicated(events: DataFrame, key: str = "event_id", late: str = "2 hours"
 
 
 def running_budget(stream: DataFrame, budget: int) -> DataFrame:
-    """chunk_id, file_id, token_est, taken: chunks as they come, until their file's budget is spent; state is one number a file."""
-    from collections.abc import Iterator
-
-    import pandas as pd
+    """chunk_id, file_id, token_est, taken: a file's chunks until its budget is spent; one that doesn't fit is passed over. State is one number a file.
+
+    Within a batch chunks are taken by chunk_id, so a batch that is run again after a failure takes the same ones; batches follow each other. A file's new
+    chunks of one batch are held together in one task (as many as `files` of jsonl_stream bring). Works on a table as on a stream.
+    """
+    out = "chunk_id string, file_id string, token_est int, taken boolean"
+
+    def walked(b: pd.DataFrame, spent: int) -> tuple[pd.DataFrame, int]:
+        b = b[["chunk_id", "file_id", "token_est"]].sort_values("chunk_id", kind="stable")
+        n = b["token_est"].to_numpy()
+        if spent + int(n.sum()) <= budget:  # the whole batch fits
+            return b.assign(taken=True), spent + int(n.sum())
+        taken = np.zeros(len(n), bool)
+        for i, k in enumerate(n.tolist()):
+            if spent + k <= budget:
+                taken[i], spent = True, spent + k
+        return b.assign(taken=taken), spent
 
     def step(key, batches: Iterator[pd.DataFrame], state) -> Iterator[pd.DataFrame]:
         (spent,) = state.get if state.exists else (0,)
-        for b in batches:
-            taken = []
-            for n in b["token_est"]:
-                fits = spent + int(n) <= budget
-                spent += int(n) if fits else 0
-                taken.append(fits)
-            yield b[["chunk_id", "file_id", "token_est"]].assign(taken=taken)
+        made, spent = walked(pd.concat(list(batches), ignore_index=True), spent)
         state.update((spent,))
+        yield made
 
-    return stream.groupBy("file_id").applyInPandasWithState(step, "chunk_id string, file_id string, token_est int, taken boolean", "spent long", "append", "NoTimeout")
+    if not stream.isStreaming:
+        return stream.groupBy("file_id").applyInPandas(lambda b: walked(b, 0)[0], out)
+    return stream.groupBy("file_id").applyInPandasWithState(step, out, "spent long", "append", "NoTimeout")

@@ -322,3 +322,68 @@ def test_reports(spark):
     assert validate.class_report(p1).first().asDict() == {"classification": "text", "files": 2, "avg_chars": 7.5, "sampled": 1, "with_errors": 1}
     pg = spark.createDataFrame([("ocr", "", 0.1), ("ocr", "x", 0.9)], "source string, text string, quality_score_page double")
     assert validate.page_report(pg).first().low_pct == 50.0
+
+
+def test_graph_lookups(spark):
+    rows = [("Person", p, "IN_CASE", "Case", c) for p, c in (("1", "A"), ("2", "A"), ("3", "A"), ("3", "B"), ("4", "B"))] + [("Person", "1", "MENTIONED_IN_EVENT", "Event", "9")]
+    e = spark.createDataFrame(rows, "src_type string, src_id string, edge_type string, dst_type string, dst_id string")
+    ids = lambda df: [r[0] for r in df.collect()]
+    assert ids(graph.two_hop_of(e, "3")) == ["1", "2", "4"] and ids(graph.two_hop_of(e, "3", 2)) == ["1", "2"] and ids(graph.two_hop_of(e, "9")) == []
+    assert graph.two_hop(e).count() == 8 and graph.two_hop(e, limit=1).count() == 4
+    assert [tuple(r) for r in graph.person_profile(e, "1").collect()] == [("Case", "A"), ("Event", "9")]
+    proof = e.withColumns({"file_id": F.lit("f"), "chunk_id": F.col("dst_id"), "page_start": F.lit(1), "page_end": F.lit(2)})
+    found = graph.explain_edge(proof, {"src_id": "3", "edge_type": "IN_CASE"}).collect()
+    assert [r.chunk_id for r in found] == ["A", "B"] and graph.explain_edge(proof, {"src_id": "3"}, 1).count() == 1
+
+
+def test_parity_follows_only_what_changed(spark):
+    people = [("Person", str(p), "IN_CASE", "Case", c) for c in "AB" for p in range(6)] + [("Person", "7", "IN_CASE", "Case", "A")]
+    e = spark.createDataFrame(people, "src_type string, src_id string, edge_type string, dst_type string, dst_id string")
+    less = e.where("NOT (src_id = '7' OR src_id = '0' AND dst_id = 'A')")
+    got = {(r.kind, r.only_left, r.only_right) for r in graph.parity_report(e, less, e, e).collect()}
+    # 0 and the others still share B; 7 shared A with all six.
+    assert got == {("case_people", 2, 0), ("person_cases", 1, 0), ("person_twohop_via_case", 6, 0), ("person_twohop_via_case", 1, 0), ("count", 1, 1)}
+    assert graph.parity_report(e, e, e, e).count() == 0
+
+
+def test_chunk_tables_and_paths(spark):
+    rows = [("c", "f", 0, 1, "one", 1), ("c", "f", 0, 2, "two!", 2), ("d", None, 0, 1, "x", 3), ("e", "f", 3, 1, "x", 4)]
+    first, last = loading.chunk_tables(spark.createDataFrame(rows, "chunk_id string, file_id string, page_start int, page_end int, text string, seq int"), "seq")
+    assert [(r.chunk_id, r.page_end) for r in first.collect()] == [("c", 1)] and [(r.chunk_id, r.char_count) for r in last.collect()] == [("c", 4)]
+    from caseloom.functions import ids as I
+
+    made = spark.range(1).select(I.product_path(F.lit("Case #1"), F.lit("Time Line"), F.lit("x.json")).alias("p")).first().p
+    assert made.startswith("products/") and made.endswith("/time_line/x.json")
+
+
+def test_downstream_utility(spark):
+    ev = spark.createDataFrame([(1, "c1", "f"), (2, "c1", "f"), (3, "c2", "f")], "event_id long, chunk_id string, file_id string")
+    times = spark.createDataFrame([(1, "ok"), (2, "missing_anchor"), (3, "ok")], "event_id long, status string")
+    obs = spark.createDataFrame([("o1", "c1", "f"), ("o2", "c3", "f")], "obs_id string, chunk_id string, file_id string")
+    members = spark.createDataFrame([("o1", 1)], "obs_id string, person_id int")
+    assert {r.chunk_id: r.utility for r in routeml.utility(ev, times, obs, members).collect() if r.utility} == {"c1": 2, "c2": 1}
+
+
+def test_model_server_requests(monkeypatch, tmp_path):
+    from caseloom.operators import extract
+
+    server = extract.Http("openai", "m", extract.PROMPTS)
+    assert server.model == "m" and server.body("events", "t")["temperature"] == 0 and server.body("events", "t")["messages"][0]["content"].endswith("\n\nt")
+    assert server.said({"choices": [{"message": {"content": "x"}}]}) == "x" and extract.Http("ollama", "m", extract.PROMPTS).said({"response": "y"}) == "y"
+    assert "m:generateContent" in extract.Http("gemini", "m", extract.PROMPTS).url
+    monkeypatch.delenv("OPENAI_API_KEY", raising=False)
+    monkeypatch.chdir(tmp_path)
+    try:
+        server.ask("events", "t")
+        raise AssertionError("no key")
+    except ValueError as e:
+        assert "OPENAI_API_KEY" in str(e)
+    (tmp_path / ".env").write_text("# keys\nexport OPENAI_API_KEY='abc'\n")
+    assert extract.from_env_file("OPENAI_API_KEY") == "abc" and extract.from_env_file("OTHER") is None
+
+
+def test_labels_by_a_model(spark):
+    heads = spark.createDataFrame([("a", "old"), ("b", "kept")], "root string, label string")
+    members = spark.createDataFrame([("a", ["s:x"], ["river", "bank"]), ("b", ["s:y"], ["none"])], "root string, participant_keys array<string>, top_tokens array<string>")
+    got = {r.root: r.label for r in threads.model_labels(heads, members, lambda prompt: '{"label": " At the river "}' if "river" in prompt else "no json").collect()}
+    assert got == {"a": "At the river", "b": "kept"}
