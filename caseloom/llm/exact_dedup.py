@@ -1,11 +1,12 @@
 """Exact de-duplication by content-defined chunk recipes.
 
 A text (A-Z lower-cased, UTF-8) is cut where its own content says so; each chunk gets a digest, and a
-document becomes the ordered list of its chunks' digests: its recipe. The chunks' bytes are shuffled once,
-to verify that no two different chunks share a digest (else all is done again with a wider digest). From then on
-only recipes travel, about one hundredth of the text; equal recipes are equal texts.
+document becomes the ordered list of its chunks' digests: its recipe. Recipes are written once. Only digests that occur more than
+once can stand for different chunks, so only such chunks' bytes are shuffled, to verify that they are equal (else all is done again with a wider digest): a
+filter of FILTER bits, of bounded size whatever the input, tells which may, and where it fills up more of the bytes travel, at
+most all of them. From then on only recipes travel, about one hundredth of the text; equal recipes are equal texts.
 
-Null texts count as empty, and empty texts are equal. Repeated rows are members of their group like any
+Null texts count as empty, and empty texts are equal. Very long texts are chunked whole. Repeated rows are members of their group like any
 others; where several rows tie for the largest doc_id, `exact_groups` marks each of them as kept and
 `exact_dedup` returns one. A null doc_id is smaller than any other. Empty tables give no rows.
 """
@@ -25,6 +26,8 @@ from caseloom.llm.common import keep_rows, keyed, map_slices, table, utf8, writt
 
 #: A cut needs 1 in MASK + 1 window hashes; chunks have LEAST to MOST bytes, but for a text's last.
 MASK, LEAST, MOST = 1023, 512, 16384
+#: Bits of the filter of repeated digests: two megabytes on the driver and in each worker.
+FILTER = 1 << 24
 
 Digest = Callable[[bytes], bytes]
 
@@ -87,14 +90,38 @@ def recipes(docs: DataFrame, digest: Digest = DIGESTS[0]) -> DataFrame:
     return map_slices(rows, fn, f"__id {docs.schema['doc_id'].dataType.simpleString()}, __h long, __n int, text_sha256 string, recipe binary")
 
 
-def chunk_rows(docs: DataFrame, digest: Digest) -> DataFrame:
-    """Each document's chunks: key, chunk. What repeats inside one slice of rows comes once."""
+def repeated_bits(rows: DataFrame, width: int, bits: int = FILTER) -> np.ndarray:
+    """A bit for each digest (width bytes) that occurs more than once in the recipes, at its first eight bytes modulo `bits`."""
+    start = F.expr(f"transform(sequence(0, greatest(octet_length(recipe) div {width}, 1) - 1), i -> substring(recipe, i * {width} + 1, {width}))")
+    # A recipe that many documents have is counted once, by its number.
+    held = rows.where(F.octet_length("recipe") > 0).groupBy("recipe").agg(F.count("*").alias("n"))
+    each = held.select(F.explode(start).alias("digest"), "n").groupBy("digest").agg(F.sum("n").alias("n")).where("n > 1")
+    at = F.pmod(F.conv(F.hex(F.substring("digest", 1, 7)), 16, 10).cast("long"), F.lit(bits))
+    words = each.select(at.alias("at")).groupBy((F.col("at") / 64).cast("int").alias("word")).agg(F.bit_or(F.call_function("shiftleft", F.lit(1).cast("long"), (F.col("at") % 64).cast("int"))).alias("bits"))
+    out = np.zeros(bits // 64, np.uint64)
+    got = words.toArrow()  # at most one row for each 64 bits of the filter
+    out[got.column("word").to_numpy()] = got.column("bits").to_numpy().view(np.uint64)
+    return out
+
+
+def chunk_rows(docs: DataFrame, digest: Digest, filled: np.ndarray | None = None) -> DataFrame:
+    """Chunks whose digests the filter has (None: all): key, chunk. What repeats inside one slice of rows comes once."""
+    shipped = docs.sparkSession.sparkContext.broadcast(filled)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        bits = shipped.value
+
+        def passes(key: bytes) -> bool:
+            if bits is None:
+                return True
+            at = int.from_bytes(key[:7], "big") % (len(bits) * 64)
+            return bool(int(bits[at >> 6]) >> (at & 63) & 1)
+
         for batch in batches:
             for at in range(0, batch.num_rows, 64):
-                own = list({c for text in batch.column(0).slice(at, 64).to_pylist() for c in chunks(text.lower())})
-                yield pa.RecordBatch.from_arrays([pa.array(map(digest, own), pa.binary()), pa.array(own, pa.binary())], names=["key", "chunk"])
+                own = {c for text in batch.column(0).slice(at, 64).to_pylist() for c in chunks(text.lower())}
+                kept = [(key, c) for c in own if passes(key := digest(c))]
+                yield pa.RecordBatch.from_arrays([pa.array([k for k, _ in kept], pa.binary()), pa.array([c for _, c in kept], pa.binary())], names=["key", "chunk"])
 
     return docs.select(utf8("text").alias("data")).mapInArrow(run, "key binary, chunk binary")
 
@@ -102,10 +129,10 @@ def chunk_rows(docs: DataFrame, digest: Digest) -> DataFrame:
 def verified_recipes(docs: DataFrame, digests: tuple[Digest, ...] = DIGESTS) -> DataFrame:
     """recipes(), written, after a check on the bytes that a digest stands for one chunk only."""
     for digest in digests:
-        distinct = chunk_rows(docs, digest).distinct()
-        clash = distinct.groupBy("key").count().where("count > 1").limit(1).count()
-        if not clash:
-            return written(recipes(docs, digest))
+        rows = written(recipes(docs, digest))
+        distinct = chunk_rows(docs, digest, repeated_bits(rows, len(digest(b"")))).distinct()
+        if not distinct.groupBy("key").count().where("count > 1").limit(1).count():
+            return rows
     raise ValueError("different chunks share a digest of every width")
 
 
