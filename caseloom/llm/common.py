@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 from caseloom.operators.components import linked as components
 from caseloom.sources.scratch import written
 
-__all__ = ["components", "keep_rows", "keyed", "map_slices", "table", "utf8", "written"]
+__all__ = ["components", "keep_rows", "keyed", "map_slices", "shielded", "table", "utf8", "written"]
 
 #: Rows handled together inside a Python worker; bounds the Python copies of long texts.
 SLICE = 512
@@ -37,6 +37,14 @@ def utf8(c: str | Column) -> Column:
     return F.coalesce(F.col(c) if isinstance(c, str) else c, F.lit("")).cast("binary")
 
 
+def shielded(docs: DataFrame) -> tuple[DataFrame, Callable[[DataFrame], DataFrame]]:
+    """docs with its columns that begin with two underscores, as the operators' own do, under other names; and what gives rows docs' columns back."""
+    names = {c: f"user{i}_{c}" if c.startswith("__") else c for i, c in enumerate(docs.columns)}
+    while len({*names.values()} | {*docs.columns}) < len(docs.columns) + sum(a != b for a, b in names.items()):
+        names = {c: n if c == n else f"u{n}" for c, n in names.items()}
+    return docs.withColumnsRenamed(names), lambda df: df.select(*[F.col(f"`{n}`").alias(c) for c, n in names.items()])
+
+
 def keyed(docs: DataFrame) -> DataFrame:
     """With a row's identity: its id, its text's hash and length (ids can be null or come with several texts)."""
     return docs.withColumns({"__id": F.col("doc_id"), "__h": F.xxhash64("text"), "__n": F.coalesce(F.length("text"), F.lit(-1))})

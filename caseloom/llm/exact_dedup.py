@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import keep_rows, keyed, map_slices, table, utf8, written
+from caseloom.llm.common import keep_rows, keyed, map_slices, shielded, table, utf8, written
 
 #: A cut needs 1 in MASK + 1 window hashes; chunks have LEAST to MOST bytes, but for a text's last.
 MASK, LEAST, MOST = 1023, 512, 16384
@@ -145,10 +145,11 @@ def exact_groups(docs: DataFrame, digests: tuple[Digest, ...] = DIGESTS) -> Data
 
 def exact_dedup(docs: DataFrame) -> DataFrame:
     """One row of docs for each text: the one with the largest doc_id. All columns are kept."""
+    docs, back = shielded(docs)
     kept = exact_groups(docs).where(F.col("__id").eqNullSafe(F.col("keep_id")))
     # Equal texts in another case can tie for a null or repeated id: the smallest hash stays.
     kept = kept.groupBy("text_sha256", "__id").agg(F.min(F.struct("__h", "__n")).alias("k"), F.count("*").alias("__rep"))
-    return keep_rows(docs, written(kept.select("__id", "k.__h", "k.__n", "__rep")))
+    return back(keep_rows(docs, written(kept.select("__id", "k.__h", "k.__n", "__rep"))))
 
 
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -7,7 +7,11 @@ one-versus-one machines tell related languages apart by votes, summed margins se
 The models are fitted on a sample of the labelled documents outside the held-out quarter (CRC-32 of the
 id modulo 4 is 2), about PER_LANG of each language, chosen by a hash of the id. Text and language are all that is
 learned from. A null text, or one without letters, is "und" with score 0; so is every text if nothing could be
-learned. Rows with a null id are not learned from and count as not held out. Repeated rows get equal results.
+learned. Rows with a null id are not learned from and count as not held out. Repeated rows get equal results, very long texts are read whole, empty tables give no
+rows. Columns whose names clash with the operator's own are kept by `identified`; `predicted` replaces one named `__lang`.
+
+What goes to the driver is PER_LANG rows of DIM small numbers a language, and no more than MOST_LANGS languages, the most frequent ones, are learned (ties
+by name), so that a column full of typing errors doesn't fill it.
 """
 
 from __future__ import annotations
@@ -19,11 +23,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import table
+from caseloom.llm.common import shielded, table
 from caseloom.llm.linear import sigmoid, svm
 
 #: Hashed grams; documents of each language that are learned from, about.
 DIM, PER_LANG = 4096, 400
+#: Languages that are learned at most.
+MOST_LANGS = 500
 UND = "und"
 
 #: Languages by family; any other language is a family of its own.
@@ -124,7 +130,7 @@ def held_out() -> Column:
 def learn(docs: DataFrame, per_lang: int = PER_LANG) -> Model:
     """Fit on about per_lang documents of each language, of those not held out."""
     known = docs.where(F.col("lang").isNotNull() & (_fold() != 2) & F.col("text").rlike(r"\p{L}"))
-    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().collect()}
+    counts = {r.lang: r["count"] for r in known.groupBy("lang").count().orderBy(F.desc("count"), "lang").limit(MOST_LANGS).collect()}
     if not counts:
         return fit(np.zeros((0, DIM), np.float32), [])
     rate = F.create_map(*[F.lit(v) for lang, n in sorted(counts.items()) for v in (lang, min(1.0, per_lang / n))])
@@ -154,7 +160,8 @@ def predicted(docs: DataFrame, model: Model | None = None) -> DataFrame:
 
 def identified(docs: DataFrame) -> DataFrame:
     """docs without those whose language can't be told ("und"); all columns are kept."""
-    return predicted(docs).where(F.col("__lang.lang_pred") != UND).select(*docs.columns)
+    docs, back = shielded(docs)
+    return back(predicted(docs).where(F.col("__lang.lang_pred") != UND))
 
 
 def op10(spark: SparkSession, sf_dir: str) -> DataFrame:

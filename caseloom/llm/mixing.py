@@ -27,7 +27,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import keyed, table, written
+from caseloom.llm.common import keyed, shielded, table, written
 
 #: Weights of the sources in order, repeating; copies of a document and multiple of a source's size at most.
 WEIGHTS, MOST = (5.0, 2.0, 1.0), 3
@@ -180,6 +180,7 @@ def mixed(docs: DataFrame) -> DataFrame:
 
 def mixture(docs: DataFrame) -> DataFrame:
     """docs with each row as often as the mix takes it (0 to MOST times); all columns are kept."""
+    docs, back = shielded(docs)
     plan = written(planned(docs).select(*[F.col(c).alias(f"{c}k") for c in KEY], F.col("times").alias("__times"), F.col("copies").alias("__c")).where("__c > 0"))
     d = _named(docs)
     on = d["source"].eqNullSafe(plan["sourcek"]) & d["__id"].eqNullSafe(plan["__idk"])
@@ -188,10 +189,10 @@ def mixture(docs: DataFrame) -> DataFrame:
     found = d.join(plan, on).drop(*[f"{c}k" for c in KEY])
     once = found.where("__times = 1").withColumn("__i", F.explode(F.sequence(F.lit(1).cast("long"), F.col("__c")))).select(*docs.columns)
     if not plan.where("__times > 1").limit(1).count():
-        return once
+        return back(once)
     # Repeats are equal: one of them stands for all.
     one = found.where("__times > 1").dropDuplicates(["__id", "__h", "__n", "__x", "source"])
-    return once.unionByName(_repeated(one, "__c").select(*docs.columns))
+    return back(once.unionByName(_repeated(one, "__c").select(*docs.columns)))
 
 
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:

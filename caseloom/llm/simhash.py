@@ -22,7 +22,7 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from caseloom.llm.common import components, keep_rows, keyed, map_slices, table, utf8, written
+from caseloom.llm.common import components, keep_rows, keyed, map_slices, shielded, table, utf8, written
 
 BITS, BUDGET, SHINGLE, SEED = 64, 2, 3, 42
 #: Offset and length of the thirds that are the top of the three tries.
@@ -208,10 +208,11 @@ def simhash_groups(docs: DataFrame, limit: int = LIMIT) -> DataFrame:
 
 def simhash_dedup(docs: DataFrame) -> DataFrame:
     """One row of docs for each component: the one with the smallest doc_id. All columns are kept."""
+    docs, back = shielded(docs)
     kept = simhash_groups(docs).where(F.col("__id").eqNullSafe(F.col("component_id")))
     # Only rows with a null or repeated id can tie: one of them stays.
     kept = kept.groupBy("root", "__id").agg(F.min(F.struct("__h", "__n")).alias("k"), F.count("*").alias("__rep"))
-    return keep_rows(docs, written(kept.select("__id", "k.__h", "k.__n", "__rep")))
+    return back(keep_rows(docs, written(kept.select("__id", "k.__h", "k.__n", "__rep"))))
 
 
 def op7(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -45,6 +45,9 @@ def test_exact_groups_edges(spark):
     kept = sorted(((r.doc_id, r.text) for r in exact_dedup.exact_dedup(docs).collect()), key=str)
     assert [k[0] for k in kept] == [2, 3, 5, 7, 8, 8, None]
     assert exact_dedup.exact_dedup(docs).columns == docs.columns
+    own = docs.withColumnsRenamed({"kept": "__id", "fp": "__rep"})
+    for dedup in (exact_dedup.exact_dedup, simhash.simhash_dedup):
+        assert dedup(own).columns == own.columns and {(r["__id"], r["__rep"]) for r in dedup(own).collect()} == {("x", "y")}
     empty = spark.createDataFrame([], DOCS)
     assert exact_dedup.exact_groups(empty).count() == 0 and exact_dedup.exact_dedup(empty).count() == 0
 
@@ -118,3 +121,21 @@ def test_simhash_edges(spark):
     kept = simhash.simhash_dedup(docs)
     assert sorted(((r.doc_id, r.text[:8]) for r in kept.collect()), key=str) == [(2, ""), (5, "x x x x "), (8, "ONE  two"), (None, "quite an")]
     assert simhash.simhash_groups(spark.createDataFrame([], DOCS)).count() == 0
+
+
+def test_only_bytes_of_repeated_digests_are_compared(spark):
+    """And all of those, whichever document they are in, however small the filter."""
+    rnd = random.Random(9)
+    text = lambda: "".join(rnd.choices("abcdefgh ijkl.", k=6000))
+    shared = text()
+    docs = spark.createDataFrame(rows([(i, text()) for i in range(30)] + [(100 + i, text() + shared) for i in range(5)] + [(200, "short"), (201, "SHORT"), (202, None)]), DOCS)
+    count, every = defaultdict(int), {}
+    for r in docs.collect():
+        for c in exact_dedup.chunks((r.text or "").encode().lower()):
+            count[exact_dedup.DIGESTS[0](c)] += 1
+            every[exact_dedup.DIGESTS[0](c)] = c
+    again = {k for k, n in count.items() if n > 1}
+    for bits in (1 << 24, 64):
+        filled = exact_dedup.repeated_bits(exact_dedup.recipes(docs), 16, bits)
+        got = {bytes(r["key"]): bytes(r.chunk) for r in exact_dedup.chunk_rows(docs, exact_dedup.DIGESTS[0], filled).distinct().collect()}
+        assert again <= set(got) and all(every[k] == c for k, c in got.items()) and (bits == 64 or set(got) == again)

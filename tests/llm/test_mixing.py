@@ -79,5 +79,7 @@ def test_edges(spark):
     assert len(got) == 7 and {r["size"] for r in got if r["__id"] == 1} == {0}
     out = mixing.mixture(docs)
     assert out.columns == docs.columns and all(r.doc_id in (1, 2, None, 5, 6) for r in out.collect())
+    own = docs.withColumnsRenamed({"copies": "__x", "size": "__c"})
+    assert mixing.mixture(own).columns == own.columns and {(r["__x"], r["__c"]) for r in mixing.mixture(own).collect()} == {("x", 1)}
     empty = docs.limit(0)
     assert mixing.mixed(empty).count() == 0 and mixing.mixture(empty).count() == 0

@@ -20,6 +20,46 @@ def test_labels_of_held_out_documents_are_not_seen(spark):
     assert "zz" not in {lang for g in langid.learn(fake).langs for lang in g}
 
 
+def test_predictions_against_a_plain_version(spark):
+    """Grams counted one by one, margins added up one by one, for all documents."""
+    import math
+    from collections import Counter
+
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = langid.learn(docs)
+    got = {r.doc_id: r for r in langid.op10(spark, SF).collect()}
+    u32 = lambda x: x & 0xFFFFFFFF
+    for r in docs.limit(60).collect():
+        if not langid.has_letter(r.text):
+            assert got[r.doc_id].lang_pred == "und" and got[r.doc_id].score == 0
+            continue
+        letters = [c if c.isalpha() else " " for c in f" {r.text.lower()} "]
+        chars = [ord(c) for i, c in enumerate(letters) if i == 0 or c != " " or letters[i - 1] != " "]
+        grams = Counter()
+        for i, c in enumerate(chars):
+            one = u32(c * 2654435761)
+            hashes = [one]
+            if i + 1 < len(chars):
+                two = u32(u32((one ^ one >> 15) * 2246822519) + chars[i + 1] * 3266489917)
+                hashes.append(two)
+                if i + 2 < len(chars):
+                    hashes.append(u32(u32((two ^ two >> 13) * 668265263) + chars[i + 2] * 374761393))
+            grams.update((h ^ h >> 16) >> 4 & langid.DIM - 1 for h in hashes)
+        size = sum(grams.values())
+        x = {k: math.sqrt(n / size) for k, n in grams.items()}
+        margin = lambda w, b: sum(float(w[k]) * v for k, v in x.items()) + float(b)
+        families = [margin(w, b) for w, b in zip(model.family_w, model.family_b)]
+        f = families.index(max(families))
+        votes = [[0, 0.0] for _ in model.langs[f]]
+        for k, (g, i, j) in enumerate(model.pairs):
+            if g == f:
+                m = margin(model.pair_w[k], model.pair_b[k])
+                votes[i if m >= 0 else j][0] += 1
+                votes[i][1] += m
+                votes[j][1] -= m
+        assert got[r.doc_id].lang_pred == model.langs[f][max(range(len(votes)), key=lambda i: tuple(votes[i]))]
+
+
 def test_language_edges(spark):
     schema = "doc_id long, text string, lang string, source string, n_chars long, score double"
     rows = [(1, None, "en", "s", 1, 0.0), (None, "", None, "s", 1, 0.0), (3, "123 !?", "en", "s", 1, 0.0), (4, "the and of " * 30_000, "en", "s", 1, 0.0), (5, "the and", "en", "s", 1, 0.0), (6, "der die das und", "de", "s", 1, 0.0), (6, "der die das und", "de", "s", 1, 0.0), (7, "der und die", "de", "s", 1, 0.0)]
@@ -28,6 +68,8 @@ def test_language_edges(spark):
     assert [r.lang_pred for r in got[:3]] == ["und"] * 3 and [r.score for r in got[:3]] == [0.0] * 3
     kept = langid.identified(docs)
     assert kept.columns == docs.columns and sorted(r.doc_id for r in kept.collect()) == [4, 5, 6, 6, 7]
+    own = docs.withColumns({"__lang": langid.F.lit("mine"), "user6___lang": langid.F.lit("too")})
+    assert {(r["__lang"], r["user6___lang"]) for r in langid.identified(own).collect()} == {("mine", "too")} and langid.identified(own).columns == own.columns
     nothing = langid.predicted(docs.withColumn("lang", langid.F.lit(None).cast("string"))).select("__lang.lang_pred").distinct().collect()
     assert [r.lang_pred for r in nothing] == ["und"]
     assert langid.predicted(docs.limit(0)).count() == 0
@@ -70,6 +112,27 @@ def test_chain_categories_and_their_use(spark):
     assert abs(model.weights[-1][model.width : -1]).max() > 1
 
 
+def test_toxicity_against_a_plain_version(spark):
+    import math
+
+    docs = spark.read.parquet(f"{BIG}/documents.parquet")
+    model = toxicity.learn(docs, spark.read.parquet(f"{BIG}/labels.parquet"))
+    got = {r.doc_id: r.toxicity for r in toxicity.with_toxicity(docs, model).collect()}
+    for r in docs.limit(150).collect():
+        words = [w for w in "".join(c if c.isalpha() else " " for c in (r.text or "").lower()).split()]
+        share = {}
+        for w in words:
+            parts = {w} | {w[:n] + "-" for n in range(4, 8) if n < len(w)} | {"-" + w[-n:] for n in range(4, 8) if n < len(w)}
+            for u in parts & set(model.vocabulary):
+                share[u] = share.get(u, 0) + 1
+        done = []
+        for weights in model.weights:
+            z = weights[-1] + sum(weights[model.vocabulary[u]] * math.log1p(100.0 * n / len(words)) for u, n in share.items()) + sum(weights[model.width + k] * p for k, p in enumerate(done))
+            done.append(1 / (1 + math.exp(-z)))
+        assert all(abs(got[r.doc_id][f"p_{c}"] - p) < 1e-9 for c, p in zip(toxicity.CHAIN, done))
+        assert got[r.doc_id].toxic == (done[-1] >= model.threshold)
+
+
 def test_toxicity_edges(spark):
     docs = spark.createDataFrame([(1, None, 1), (None, "", 2), (2, "a bad word " * 20_000, 3)], "doc_id long, text string, toxicity int")
     labels = spark.createDataFrame([(1, None), (None, 1), (2, 1), (2, 0)], "doc_id long, toxic int")
