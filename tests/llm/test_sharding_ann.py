@@ -33,6 +33,39 @@ def test_shards_are_even_and_whole(spark):
     assert "Python" not in plan and "Arrow" not in plan
 
 
+def test_tree_against_one_in_memory(spark):
+    """The same cuts as a tree that sorts each node's points by the widest dimension and cuts at the weighted quantile."""
+    F = sharding.F
+    docs = spark.createDataFrame([(i * i % 997, f"{i} " * (1 + i * 37 % 90), ["en", "de", None][i % 3], f"s{i % 5}", 1, 1, "x") for i in range(500)], DOCS)
+    rows = docs.select("doc_id", "source", "lang", (F.octet_length("text") + 8).cast("long").alias("size"), F.crc32(F.col("text").cast("binary")).alias("text_crc32"), F.xxhash64("text").alias("h"))
+    points = sharding._points(rows)
+    for shards in (2, 7):
+        room = [1.0 + k % 3 for k in range(shards)]
+        got = {r.h: r.shard for r in points.select("h", sharding.shard_tree(points, room).alias("shard")).collect()}
+        want = {}
+
+        def split(found, leaves, want=want, room=room):
+            if len(leaves) == 1:
+                want.update({p.h: leaves[0] for p in found})
+                return
+            spread = [(max(p[c] for p in found) - min(p[c] for p in found)) >> sharding.TIE if found else 0 for c in sharding.DIMS]
+            dim = sharding.DIMS[spread.index(max(spread))]
+            half = len(leaves) // 2
+            low, high = sum(room[i] for i in leaves[:half]), sum(room[i] for i in leaves[half:])
+            goal, below, at = sum(p.weight for p in found) * low / (low + high), 0, 0
+            for c in sorted({p[dim] for p in found}):
+                w = sum(p.weight for p in found if p[dim] == c)
+                if below + w > goal:
+                    at = c + 1 if below + w - goal < goal - below else c
+                    break
+                below, at = below + w, c + 1
+            split([p for p in found if p[dim] < at], leaves[:half])
+            split([p for p in found if p[dim] >= at], leaves[half:])
+
+        split(points.collect(), list(range(shards)))
+        assert got == want
+
+
 def test_a_group_of_a_third(spark):
     data = [(i, "same text " * 30 if i % 3 == 0 else f"text {i} " * (5 + i % 50), "en", "s", 1, 1, "x") for i in range(600)]
     docs = spark.createDataFrame(data, DOCS)
