@@ -40,7 +40,7 @@ from caseloom.llm.common import table
 MODEL = "/opt/tokenizers/piece_bpe_32k.model"
 SPACE = "▁"
 #: Segments whose shortest path is remembered, and the longest of them; pairs of pieces whose weight in G is.
-CACHE, CACHED_CHARS, PAIRS = 200_000, 32, 500_000
+CACHE, CACHED_CHARS, PAIRS = 120_000, 32, 120_000
 #: Latin letters and digits, as a class of a regular expression.
 LATIN = "A-Za-zÀ-ÖØ-öø-ɏ0-9"
 
@@ -162,8 +162,8 @@ class Transducer:
         self.score = [s for _, s, _ in self.pieces]
         self.alphabet = set("".join(self.ids))
         self.rules, self.spaces = Rules(rules), spaces(self.prefix, self.squeeze)
-        self.lexicon = self._compiled(lambda p: p)
-        self.reversed = self._compiled(lambda p: p[::-1])
+        #: L, or L reversed, as the kind's search reads it.
+        self.lexicon = self._compiled((lambda p: p[::-1]) if self.kind == BPE else (lambda p: p))
         # An unknown character weighs 10 more than the dearest piece (a fixed value of the library).
         self.other = 10.0 - min((s for _, s, k in self.pieces if k == NORMAL), default=0.0)
         self.unk = next((i for i, (_, _, k) in enumerate(self.pieces) if k == UNKNOWN), 0)
@@ -237,13 +237,14 @@ class Transducer:
             out.append((score, parts[0], parts[-1]))
         return out
 
-    def _apart(self, pair: tuple[int, int]) -> bool:
-        """Whether G has the arc from piece to piece: no merge across their border comes before those inside them that prevent it.
+    def _apart(self, pair: int) -> bool:
+        """Whether G has the arc from piece to piece (pair: the first one's id times the number of pieces, plus the second one's): no merge across their border comes before those inside them that prevent it.
 
         Both sides' merges go on by score, the left one's first among equals; across is tried as the parts at the border stand.
         """
-        left, right = self.merges[pair[0]], self.merges[pair[1]]
-        if left[-1][1] != self.pieces[pair[0]][0] or right[-1][1] != self.pieces[pair[1]][0]:
+        first, second = divmod(pair, len(self.pieces))
+        left, right = self.merges[first], self.merges[second]
+        if left[-1][1] != self.pieces[first][0] or right[-1][1] != self.pieces[second][0]:
             return False  # merging never makes such a piece
         i = j = 0
         while True:
@@ -260,7 +261,7 @@ class Transducer:
                 j += 1
 
     def _bpe(self, s: str) -> bytes:
-        arcs, apart, merges, pieces = self.reversed, self.apart, self.merges, self.pieces
+        arcs, apart, merges, pieces, width = self.lexicon, self.apart, self.merges, self.pieces, len(self.pieces)
         n = len(s)
         #: The live state at each position: the last piece (-1: none that could merge), and where it starts.
         last, start = [-1] * (n + 1), [0] * (n + 1)
@@ -276,7 +277,7 @@ class Transducer:
             start[j] = j - 1
             while found:  # the longest first; all but one weigh infinity
                 i, piece = found.pop()
-                if apart[last[i], piece] if last[i] >= 0 else merges[piece][-1][1] == pieces[piece][0]:
+                if apart[last[i] * width + piece] if last[i] >= 0 else merges[piece][-1][1] == pieces[piece][0]:
                     last[j], start[j] = piece, i
                     break
         return self._output(s, last, start)
