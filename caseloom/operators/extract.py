@@ -147,7 +147,7 @@ def extracted(chunks: DataFrame, kind: str, provider: Provider, cache: DataFrame
                     items, error = [], f"{provider.name}_unavailable"
                 except Exception:  # one chunk's failure is its record's error
                     items, error = [], f"{provider.name}_error"
-                made.append((r.file_id, r.chunk_id, list(r.page_range), json.dumps(items), len(items), provider.model, error, r.text_hash, version))
+                made.append((r.file_id, r.chunk_id, list(r.page_range), json.dumps(items), len(items), getattr(provider, "model", provider.name), error, r.text_hash, version))
             yield pd.DataFrame(made, columns=[c.split(" ")[0] for c in out.split(", ")])
 
     fresh = todo.select("file_id", "chunk_id", "page_range", "text", "text_hash").mapInPandas(run, out)

@@ -194,7 +194,7 @@ def test_loading(spark, tmp_path):
     rec = read_jsonl(spark, f"file://{tmp_path}/x.jsonl", loading.record_schema("entities")).cache()
     got = loading.observations(rec, "entities").collect()
     assert [(r.entity, r.quote, r.page_start, r.page_end, r.char_start, r.char_end, r.source_phase, r.model) for r in got] == [("Ann", "a b", 3, 4, 1, 4, "legacy", "m")]
-    assert loading.load_counts(rec).first().asDict() == {"records": 3, "json_decode_errors": 1, "invalid_record_shape": 1, "items": 3}
+    assert loading.load_counts(rec).first().asDict() == {"records_total": 3, "json_decode_errors": 1, "invalid_record_shape": 1, "rows_attempted": 3, "invalid_item_shape": 1, "rows_inserted": 1, "rows_skipped": 2}
     assert good_and_bad(rec)[1].count() == 1
     signal = {"person": "Ann", "attribute": "DOB", "value": "1/2/1980", "quote": "q"}
     (tmp_path / "s.jsonl").write_text(json.dumps({"file_id": "f", "chunk_id": "c", "items": [signal, {**signal, "quote": None}, {**signal, "attribute": "x"}]}))
