@@ -168,11 +168,12 @@ def load(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
 def run_resolve(spark: SparkSession, a: argparse.Namespace) -> DataFrame:
     s = CaseStore(spark, f"{a.root}/store")
     obs = written(resolve.with_signals(resolve.observed(s.read("entities")), s.read("identity_signals")))
-    scored = written(resolve.scored_pairs(resolve.candidate_pairs(resolve.blocking_keys(obs), a.group), obs))
-    clusters = written(resolve.clustered(obs, scored))
+    found = written(resolve.profiles(obs))
+    scored = written(resolve.profile_scores(found, a.group))
+    clusters = written(resolve.clustered_profiles(obs, found, scored))
     people = written(resolve.person_ids(resolve.people(obs, clusters)))
     s.write("person_observations", obs)
-    s.write("person_resolution_edges", scored)
+    s.write("person_resolution_edges", resolve.expanded(scored, resolve.profile_members(obs, found, a.group), "score", "decision", "reasons"))
     s.write("person_clusters", people)
     s.write("person_cluster_members", clusters.join(people.select("root", "person_id"), "root").select("obs_id", "person_id"))
     return people
